@@ -1,0 +1 @@
+"""Left empty on purpose: the feature set being matched is batch only."""
