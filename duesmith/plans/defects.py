@@ -308,7 +308,7 @@ def _doubled(T: Tables) -> DataFrame:
     return schedule_defects.double_billed(T, FROM, TO)
 
 
-def _surplus(T: Tables) -> DataFrame:
+def surplus(T: Tables) -> DataFrame:
     return schedule_defects.surplus_requests(T, _doubled(T), FROM, TO)
 
 
@@ -328,15 +328,15 @@ def duplicates(T: Tables) -> DataFrame:
     return schedule_defects.dup_payment_requests(T.payment_request)
 
 
-def _exposure(T: Tables) -> DataFrame:
+def exposure(T: Tables) -> DataFrame:
     return link_defects.multi_invoice_exposure(T)
 
 
 QUERIES: dict[str, Query] = {
     "double_billed_items": Query(_doubled, DOUBLED),
-    "double_bill_ranked_requests": Query(_surplus, SURPLUS),
+    "double_bill_ranked_requests": Query(surplus, SURPLUS),
     "surplus_unpaid_payment_requests": Query(
-        lambda T: schedule_defects.unpaid_payment_requests(T, _surplus(T)),
+        lambda T: schedule_defects.unpaid_payment_requests(T, surplus(T)),
         f"""SELECT * FROM {{payment_request}}
 WHERE tx_payment_id IS NULL AND invoice_request_id IN (SELECT invoice_request_id FROM ({SURPLUS}) s)""",
     ),
@@ -361,12 +361,12 @@ WHERE tx_payment_id IS NULL AND invoice_request_id IN (SELECT invoice_request_id
     "mispointed_requests": Query(lambda T: link_defects.mispointed_requests(T, multi(T)), MISPOINTED),
     "mispointed_request_items": Query(lambda T: link_defects.mispointed_items(T, multi(T)), MISPOINTED_ITEMS),
     "removable_invoices": Query(lambda T: link_defects.removable_invoices(T, multi(T)), REMOVABLE),
-    "multi_invoice_payment_invoices": Query(_exposure, EXPOSURE),
+    "multi_invoice_payment_invoices": Query(exposure, EXPOSURE),
     "multi_invoice_payment_requests": Query(
-        lambda T: link_defects.exposed_requests(T, _exposure(T)), EXPOSED_REQUESTS
+        lambda T: link_defects.exposed_requests(T, exposure(T)), EXPOSED_REQUESTS
     ),
     "multi_invoice_unmarked_payment_requests": Query(
-        lambda T: link_defects.exposed_payment_requests(T, _exposure(T)), EXPOSED_PAYMENTS
+        lambda T: link_defects.exposed_payment_requests(T, exposure(T)), EXPOSED_PAYMENTS
     ),
     "overpaid_invoices": Query(payment_defects.overpaid, OVERPAID),
     "overpaid_with_org": Query(lambda T: payment_defects.overpaid(T, include_orgs=True), OVERPAID_ORGS),
