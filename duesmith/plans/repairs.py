@@ -9,6 +9,7 @@ from duesmith.operators import changes, link_defects, repairs, schedule_defects
 from duesmith.plans import Query
 from duesmith.plans import defects as found
 from duesmith.sources.tables import Tables
+from duesmith.sources.workspace import stored
 
 
 def _preview_sql(table: str, key: str, columns: dict[str, str], rows: str) -> str:
@@ -130,7 +131,8 @@ JOIN (SELECT old_item, min(new_item) AS new_item FROM item_pairs GROUP BY old_it
 
 
 def _resynced(T: Tables) -> tuple[Tables, DataFrame]:
-    missing = found.unexcused(T)
+    # The defect list is a working table: it outlives the detaching that removes the defect.
+    missing = stored(found.unexcused(T), "missing-requests")
     detached = repairs.detach_requests(T, missing)
     keys = detached.rows.select("invoice_request_id")
     fresh_id = (-1 - F.col("invoice_request_id")).alias("invoice_request_id")

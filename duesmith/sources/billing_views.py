@@ -228,10 +228,10 @@ FROM {orders}"""
 
 VIEWS["payment_process_batch"] = """
 SELECT batch AS payment_process_batch_id, CAST(min(o_custkey) % 25 AS INT) AS business_unit_id
-FROM (SELECT @IDIV(o_orderkey, 50) AS batch, o_custkey FROM {orders}) o GROUP BY batch"""
+FROM (SELECT @IDIV(o_orderkey, 2) AS batch, o_custkey FROM {orders}) o GROUP BY batch"""
 
 VIEWS["payment_process_request"] = """
-SELECT o_orderkey AS payment_process_request_id, @IDIV(o_orderkey, 50) AS payment_process_batch_id,
+SELECT o_orderkey AS payment_process_request_id, @IDIV(o_orderkey, 2) AS payment_process_batch_id,
        CASE WHEN o_orderkey % 12 = 1 THEN o_orderkey - 1 ELSE o_orderkey END AS tx_payment_id,
        CASE CAST(o_orderkey % 6 AS INT) WHEN 0 THEN 'VC' WHEN 1 THEN 'AC' WHEN 2 THEN 'MC' WHEN 3 THEN 'DC'
             WHEN 4 THEN 'VD' ELSE 'BC' END || CAST(100000 + o_orderkey % 900000 AS STRING) AS token,
@@ -264,7 +264,7 @@ SELECT i.client_account_id * 2 AS member_agreement_id, i.party_role_id, i.client
        p.tender_type_id, tt.name AS tender_type_name, tt.tender_interface_id, p.credit_card_type_id,
        CAST(t.tx_invoice_id % 27 AS INT) AS gl_id,
        i.payment_due_date AS due_date, i.payment_due_date_utc AS due_date_utc,
-       CASE WHEN p.tx_payment_id IS NOT NULL THEN @IDIV(p.tx_payment_id, 50) END AS payment_process_batch_id,
+       CASE WHEN p.tx_payment_id IS NOT NULL THEN @IDIV(p.tx_payment_id, 2) END AS payment_process_batch_id,
        CASE WHEN p.tx_payment_id % 4 = 0 THEN @IDIV(p.tx_payment_id, 200) END AS gateway_batch_id,
        CASE WHEN p.is_declined AND p.tx_payment_id % 5 = 3 THEN p.tx_payment_id END AS decline_tx_payment_id
 FROM {tx_transaction} t
