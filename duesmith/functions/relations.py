@@ -33,6 +33,20 @@ def not_in(df: DataFrame, column: str, keys: DataFrame, key: str | None = None)
     )
 
 
+def left_join_sparse(df: DataFrame, other: DataFrame, key: str, spread_by: str, ways: int = 256) -> DataFrame:
+    """Left join on a key that is often NULL.
+
+    NULL keys match nothing but would all hash to one task; a second key column
+    spreads them by another column of the same row.
+    """
+    salt = F.when(F.col(key).isNull(), F.pmod(F.hash(spread_by), F.lit(ways))).otherwise(0)
+    return (
+        df.withColumn("_salt", salt)
+        .join(other.withColumn("_salt", F.lit(0)), [key, "_salt"], "left")
+        .drop("_salt")
+    )
+
+
 def one_per_key(df: DataFrame, key: str | Sequence[str], *values: str) -> DataFrame:
     """One row for each key: the smallest value tuple wins."""
     keys = [key] if isinstance(key, str) else list(key)

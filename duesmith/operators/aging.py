@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duesmith.functions.money import money, signed, sum_where
-from duesmith.functions.relations import keys_of
+from duesmith.functions.relations import keys_of, left_join_sparse
 from duesmith.functions.times import day_crossings, moment, to_utc, ts
 from duesmith.operators.ledger import accounts_of, invoice_balance, invoice_charges
 from duesmith.schema import LINK_INVOICE_REQUEST, LINK_PAYMENT_REQUEST_ITEM, ROLE_MEMBER, TX_PAYMENT, TX_TENDER
@@ -159,7 +159,7 @@ def ar_aging(
             day_crossings(F.coalesce("payment_due_date", "target_date"), ts(as_of)).alias("age"),
         )
         .join(invoice_balance(T.tx_transaction), "tx_invoice_id")
-        .join(requests, "request_id", "left")
+        .transform(left_join_sparse, requests, "request_id", "tx_invoice_id")
         .join(roles, "party_role_id")
     )
     age, net = F.col("age"), F.col("balance")

@@ -169,7 +169,9 @@ def cancelled_agreements(T: Tables, cutoff: datetime | str) -> DataFrame:
 def exclude_legitimate(missing: DataFrame, T: Tables, cutoff: datetime | str) -> DataFrame:
     """Missing requests less those of agreements that owe nothing: zero-priced, fully
     sponsored, cancelled before the cutoff, or billed to a zero-amount invoice."""
-    items = T.member_agreement_item.select("member_agreement_item_id", "member_agreement_id")
+    items = T.member_agreement_item.select("member_agreement_item_id", "member_agreement_id").join(
+        keys_of(missing, "member_agreement_id"), "member_agreement_id", "left_semi"
+    )
 
     def owners(rows: DataFrame) -> DataFrame:
         return rows.select("member_agreement_item_id").join(items, "member_agreement_item_id").select("member_agreement_id")

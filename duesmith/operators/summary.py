@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duesmith.functions.money import money, sum_where
-from duesmith.functions.relations import keys_of
+from duesmith.functions.relations import keys_of, left_join_sparse
 from duesmith.functions.times import day_crossings, to_utc, ts
-from duesmith.operators.ledger import amounts_by_group, first_sale_item
+from duesmith.operators.ledger import first_sale_item
 from duesmith.schema import (
     CARD_INTERFACES, ROLE_MEMBER, ROLE_ORGANIZATION, TX_FEE, TX_PAYMENT, TX_SALE, TX_TAX, TX_TENDER,
 )
@@ -56,7 +56,7 @@ def keep_reportable(base: DataFrame, T: Tables, from_utc: Column, to_utc_: Colum
         "decline_tx_payment_id",
     ).select(F.col("decline_tx_payment_id").alias("tx_payment_id"), F.lit(True).alias("_in_window"))
     return (
-        base.join(in_window, "tx_payment_id", "left")
+        left_join_sparse(base, in_window, "tx_payment_id", "tx_transaction_id")
         .where(
             ~F.col("is_payment_declined")
             | F.col("decline_tx_payment_id").isNotNull()
@@ -142,6 +142,23 @@ def _directory(T: Tables) -> DataFrame:
     )
 
 
+def _group_amounts(base: DataFrame) -> DataFrame:
+    """Distinct sale and fee amounts of each (invoice, group): their sum and number."""
+    kind = F.col("tx_type_id")
+    distinct = (
+        base.where(kind.isin(TX_SALE, TX_FEE))
+        .select("tx_invoice_id", "group_id", "tx_type_id", money("amount").alias("amount"))
+        .distinct()
+    )
+    columns = []
+    for name, tx_type in (("sale", TX_SALE), ("fee", TX_FEE)):
+        columns += [
+            sum_where(kind == tx_type).alias(name),
+            F.count(F.when(kind == tx_type, 1)).alias(f"{name}_rows"),
+        ]
+    return distinct.groupBy("tx_invoice_id", "group_id").agg(*columns)
+
+
 def billing_summary(
     T: Tables,
     from_local: datetime | str,
@@ -166,13 +183,6 @@ def billing_summary(
     start, end = to_utc(ts(from_local), zone), to_utc(ts(to_local), zone)
     base = billing_base(T.billing_service_tx, zone, from_local, to_local, batched_only, gateway_batch)
 
-    def by_group(tx_type: int, name: str) -> DataFrame:
-        return (
-            amounts_by_group(base, tx_type)
-            .groupBy("tx_invoice_id", "group_id")
-            .agg(F.coalesce(F.sum("amount"), F.lit(0)).alias(name), F.count("*").alias(f"{name}_rows"))
-        )
-
     kept = keep_reportable(base, T, start, end)
     if tenders is not None:
         kept = kept.where(F.col("tender_type_id").isin(*tenders))
@@ -209,8 +219,7 @@ def billing_summary(
         .join(ledger_code, "gl_id", "left")
         .join(card, "credit_card_type_id", "left")
         .join(directory, "party_role_id")
-        .join(by_group(TX_SALE, "sale"), ["tx_invoice_id", "group_id"], "left")
-        .join(by_group(TX_FEE, "fee"), ["tx_invoice_id", "group_id"], "left")
+        .join(_group_amounts(base), ["tx_invoice_id", "group_id"], "left")
         .join(first_item, ["tx_invoice_id", "group_id"], "left")
     )
     one = F.lit(1)
