@@ -195,7 +195,7 @@ SELECT l_orderkey * 10 + l_linenumber AS tx_transaction_id, l_orderkey AS tx_inv
        CAST(CASE WHEN l_linenumber IN (1, 2, 3) THEN 1 ELSE 1 + l_orderkey % 2 END AS INT) AS group_id,
        CASE WHEN l_linenumber IN (4, 5, 7) THEN {_LINE_PAYMENT} ELSE part_key END AS item_id,
        CAST(CAST(cents AS DECIMAL(18,0)) * 0.01 AS DECIMAL(18,2)) AS amount,
-       l_linenumber IN (4, 5) OR (l_linenumber = 7 AND flag <> 'R') AS is_accounting_credit,
+       l_linenumber IN (4, 5) OR (l_linenumber = 7 AND returned = 0) AS is_accounting_credit,
        CASE WHEN l_linenumber IN (1, 2, 3, 6) THEN 2 WHEN l_orderkey % 13 = 0 THEN 8
             WHEN l_linenumber = 4 AND l_orderkey % 5 = 2 THEN NULL ELSE 3 END AS link_type_id,
        CASE WHEN l_linenumber = 6 THEN l_orderkey * 4 + 1 WHEN l_linenumber < 4 THEN l_orderkey * 4
@@ -209,7 +209,7 @@ SELECT l_orderkey * 10 + l_linenumber AS tx_transaction_id, l_orderkey AS tx_inv
        CAST(l_linenumber AS INT) AS display_order, ship AS target_date, ship + INTERVAL '5' HOUR AS target_date_utc,
        CAST(l_orderkey % 26 AS INT) AS target_business_unit_id
 FROM (SELECT l_orderkey, l_linenumber, sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS cents,
-             max(l_partkey) AS part_key, max(l_returnflag) AS flag, min(l_shipdate) AS ship
+             max(l_partkey) AS part_key, max(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS returned, min(l_shipdate) AS ship
       FROM {{lineitem}} GROUP BY l_orderkey, l_linenumber) l"""
 
 VIEWS["tx_payment"] = """
