@@ -14,11 +14,13 @@ from duesmith.schema import LINK_INVOICE_REQUEST, LINK_SPONSOR, TX_PAYMENT, TX_S
 from duesmith.sources.tables import Tables
 
 
-def missing_payment_tx(T: Tables) -> DataFrame:
+def missing_payment_tx(T: Tables, reference_mode: bool = False) -> DataFrame:
     """Payment-request items whose transaction does not exist, with the payment, its
-    gateway requests and the sale transactions of the invoice.
+    gateway request and the sale transaction of the invoice.
 
-    An item without any transaction id is not missing one.
+    An item without any transaction id is not missing one.  Each item shows the
+    earliest gateway request and sale and how many there are; both are reduced before
+    the join.  ``reference_mode`` lists every item with every request and sale.
     """
     dangling = not_in(
         T.payment_request_item.select("payment_request_item_id", "payment_request_id", "tx_transaction_id"),
@@ -39,6 +41,17 @@ def missing_payment_tx(T: Tables) -> DataFrame:
     sales = T.tx_transaction.where(F.col("tx_type_id") == TX_SALE).select(
         F.col("tx_transaction_id").alias("sale_transaction_id"), "tx_invoice_id", "group_id"
     )
+    if not reference_mode:
+        gateway = gateway.groupBy("tx_payment_id").agg(
+            F.min("payment_process_request_id").alias("payment_process_request_id"),
+            F.min_by("token", "payment_process_request_id").alias("token"),
+            F.count("*").alias("gateway_requests"),
+        )
+        sales = sales.groupBy("tx_invoice_id").agg(
+            F.min("sale_transaction_id").alias("sale_transaction_id"),
+            F.min_by("group_id", "sale_transaction_id").alias("group_id"),
+            F.count("*").alias("sales"),
+        )
     return (
         dangling.join(requests, "payment_request_id")
         .join(payments, "tx_payment_id")
@@ -115,22 +128,50 @@ def mispointed_requests(T: Tables, multi: DataFrame) -> DataFrame:
 
 def mispointed_items(T: Tables, multi: DataFrame) -> DataFrame:
     """Request items whose transaction differs from a sale transaction of the suspect
-    invoice their request points to."""
+    invoice their request points to.
+
+    One row for each item, with the smallest differing sale transaction and how many
+    differ.  The two smallest sales of an invoice answer that for all its items, so
+    items and sales are never paired.
+    """
+    suspects = keys_of(_unsponsored(T, multi), "tx_invoice_id")
     requests = T.invoice_request.select("invoice_request_id", "tx_invoice_id").join(
-        _unsponsored(T, multi), "tx_invoice_id", "left_semi"
+        suspects, "tx_invoice_id", "left_semi"
     )
-    items = T.invoice_request_item.select("invoice_request_item_id", "invoice_request_id", "tx_transaction_id")
-    sales = T.tx_transaction.where(F.col("tx_type_id") == TX_SALE).select(
-        F.col("tx_transaction_id").alias("sale_transaction_id"), "tx_invoice_id"
+    items = T.invoice_request_item.where(F.col("tx_transaction_id").isNotNull()).select(
+        "invoice_request_item_id", "invoice_request_id", "tx_transaction_id"
     )
+    sales = (
+        T.tx_transaction.where(F.col("tx_type_id") == TX_SALE)
+        .select("tx_transaction_id", "tx_invoice_id")
+        .join(suspects, "tx_invoice_id", "left_semi")
+    )
+    smallest = sales.groupBy("tx_invoice_id").agg(
+        F.min("tx_transaction_id").alias("first_sale"), F.count("*").alias("sales")
+    )
+    second = (
+        sales.join(smallest, "tx_invoice_id")
+        .where(F.col("tx_transaction_id") > F.col("first_sale"))
+        .groupBy("tx_invoice_id")
+        .agg(F.min("tx_transaction_id").alias("second_sale"))
+    )
+    is_sale = F.col("own_sale").isNotNull()
     return (
         items.join(requests, "invoice_request_id")
-        .join(sales, "tx_invoice_id")
-        .where(F.col("sale_transaction_id") != F.col("tx_transaction_id"))
+        .join(smallest, "tx_invoice_id")
+        .join(second, "tx_invoice_id", "left")
+        .join(sales.withColumn("own_sale", F.lit(True)), ["tx_invoice_id", "tx_transaction_id"], "left")
         .select(
-            "invoice_request_item_id", "invoice_request_id", "tx_invoice_id", "tx_transaction_id",
-            "sale_transaction_id",
+            "invoice_request_item_id",
+            "invoice_request_id",
+            "tx_invoice_id",
+            "tx_transaction_id",
+            F.when(F.col("first_sale") != F.col("tx_transaction_id"), F.col("first_sale"))
+            .otherwise(F.col("second_sale"))
+            .alias("sale_transaction_id"),
+            (F.col("sales") - is_sale.cast("int")).alias("differing_sales"),
         )
+        .where(F.col("differing_sales") > 0)
     )
 
 

@@ -136,14 +136,21 @@ def relink(T: Tables, missing: DataFrame, pairs: DataFrame | None = None) -> Rel
         "member_agreement_item_id",
         F.col("invoice_request_item_id").alias("new_item_id"),
     )
-    item_pairs = (
-        old_items.join(pairs.select("old_request_id", "new_request_id"), "old_request_id")
-        .join(new_items, ["new_request_id", "member_agreement_item_id"])
-    )
-    by_item = one_per_key(item_pairs, "new_item_id", "old_item_id", "old_transaction_id")
-    by_old_item = one_per_key(item_pairs, "old_item_id", "new_item_id").select(
-        F.col("old_item_id").alias("link_id"), "new_item_id"
+    # Either side is reduced to its smallest item before it meets the other, so a
+    # request that lists one agreement item many times is never paired with itself.
+    request_pair = pairs.select("old_request_id", "new_request_id")
+    old_items = old_items.join(request_pair, "old_request_id")
+    new_items = new_items.join(request_pair, "new_request_id")
+    same_item = ["old_request_id", "new_request_id", "member_agreement_item_id"]
+    by_item = new_items.join(
+        old_items.groupBy(*same_item).agg(
+            F.min_by("old_transaction_id", "old_item_id").alias("old_transaction_id")
+        ),
+        same_item,
     )
+    by_old_item = old_items.join(
+        new_items.groupBy(*same_item).agg(F.min("new_item_id").alias("new_item_id")), same_item
+    ).select(F.col("old_item_id").alias("link_id"), "new_item_id")
     invoices = T.tx_invoice.where(F.col("link_type_id") == LINK_INVOICE_REQUEST).select("tx_invoice_id", "link_id")
     transactions = T.tx_transaction.where(F.col("link_type_id") == LINK_INVOICE_REQUEST_ITEM).select(
         "tx_transaction_id", "link_id"
@@ -192,16 +199,12 @@ class CreatedTransactions:
 def create_missing_tx(T: Tables, missing: DataFrame, style: str = "card") -> CreatedTransactions:
     """The payment transactions that dangling payment-request items point to.
 
-    Each item gets one transaction.  New ids start above the largest id and keep the
+    ``missing`` names one gateway request and sale for each item.  Each item gets one
+    transaction.  New ids start above the largest id and keep the
     distance between item ids, so no task has to number all rows.  ``style`` chooses
     the description: "card" names the tender and last digits, "plain" only the date.
     """
-    chosen = one_per_key(
-        missing, "payment_request_item_id",
-        "sale_transaction_id", "payment_process_request_id", "tx_invoice_id", "group_id", "tx_payment_id", "token",
-        "target_date", "target_date_utc", "payment_amount", "target_business_unit_id",
-    )
-    lines = T.tx_transaction.join(keys_of(chosen, "tx_invoice_id"), "tx_invoice_id", "left_semi")
+    lines = T.tx_transaction.join(keys_of(missing, "tx_invoice_id"), "tx_invoice_id", "left_semi")
     counts = lines.groupBy("tx_invoice_id").agg(F.count("*").alias("lines"))
     top = T.tx_transaction.agg(F.max("tx_transaction_id").alias("top")).scalar()
     payment = F.concat(F.lit("ID: "), F.col("tx_payment_id").cast("string"))
@@ -231,7 +234,7 @@ def create_missing_tx(T: Tables, missing: DataFrame, style: str = "card") -> Cre
         "target_business_unit_id": F.col("target_business_unit_id"),
     }
     target = T.tx_transaction.schema
-    inserts = chosen.join(counts, "tx_invoice_id").select(
+    inserts = missing.join(counts, "tx_invoice_id").select(
         *[values[field.name].cast(field.dataType).alias(field.name) for field in target]
     )
     items = inserts.select(F.col("link_id").alias("payment_request_item_id"), "tx_transaction_id")

@@ -129,6 +129,15 @@ JOIN {invoice_request} mair ON mair.invoice_request_id = mapr.invoice_request_id
 JOIN {tx_transaction} t ON t.tx_invoice_id = mair.tx_invoice_id AND t.tx_type_id = 1
 WHERE maipri.tx_transaction_id NOT IN (SELECT tx_transaction_id FROM {tx_transaction})"""
 
+MISSING_TX_ITEMS = f"""
+SELECT * EXCLUDE (nth) FROM (
+  SELECT *, row_number() OVER (PARTITION BY payment_request_item_id
+                               ORDER BY sale_transaction_id, payment_process_request_id) AS nth,
+         count(DISTINCT payment_process_request_id) OVER (PARTITION BY payment_request_item_id) AS gateway_requests,
+         count(DISTINCT sale_transaction_id) OVER (PARTITION BY payment_request_item_id) AS sales
+  FROM ({MISSING_TX}) m) r
+WHERE nth = 1"""
+
 MULTI = f"""
 SELECT pr.role_id, invreq.invoice_request_id, invreq.member_agreement_id, count(*) AS invoice_count
 FROM {{tx_invoice}} inv
@@ -159,13 +168,14 @@ WHERE mapri.tx_transaction_id IS NOT NULL AND t.link_type_id <> 8
 
 MISPOINTED_ITEMS = f"""
 SELECT mairi.invoice_request_item_id, mairi.invoice_request_id, mair.tx_invoice_id, mairi.tx_transaction_id,
-       t.tx_transaction_id AS sale_transaction_id
+       min(t.tx_transaction_id) AS sale_transaction_id, count(*) AS differing_sales
 FROM {{invoice_request}} mair
 JOIN {{invoice_request_item}} mairi ON mairi.invoice_request_id = mair.invoice_request_id
-JOIN ({LINKED}) i ON i.tx_invoice_id = mair.tx_invoice_id
+JOIN (SELECT DISTINCT tx_invoice_id FROM ({LINKED}) l) i ON i.tx_invoice_id = mair.tx_invoice_id
 JOIN {{tx_transaction}} t ON t.tx_invoice_id = i.tx_invoice_id
 WHERE t.tx_type_id = 1 AND t.tx_transaction_id <> mairi.tx_transaction_id
-  AND i.tx_invoice_id NOT IN (SELECT tx_invoice_id FROM ({SPONSOR}) s)"""
+  AND i.tx_invoice_id NOT IN (SELECT tx_invoice_id FROM ({SPONSOR}) s)
+GROUP BY ALL"""
 
 REMOVABLE = f"""
 SELECT DISTINCT tx_invoice_id FROM ({LINKED}) l
@@ -355,7 +365,10 @@ WHERE tx_payment_id IS NULL AND invoice_request_id IN (SELECT invoice_request_id
     "sync_worklist": Query(
         lambda T: schedule_defects.sync_worklist(unexcused(T), T, CUTOFF, SYNC_COMMAND), WORKLIST
     ),
-    "missing_payment_transactions": Query(link_defects.missing_payment_tx, MISSING_TX),
+    "missing_payment_transactions": Query(link_defects.missing_payment_tx, MISSING_TX_ITEMS),
+    "missing_payment_transactions_reference_mode": Query(
+        lambda T: link_defects.missing_payment_tx(T, reference_mode=True), MISSING_TX
+    ),
     "multi_linked_requests": Query(multi, MULTI),
     "sponsor_transactions": Query(lambda T: link_defects.sponsor_tx(T, multi(T)), SPONSOR),
     "mispointed_requests": Query(lambda T: link_defects.mispointed_requests(T, multi(T)), MISPOINTED),

@@ -99,7 +99,8 @@ def missing_books(spark):
 def test_missing_transactions_are_created_once_for_each_item(spark):
     T = missing_books(spark)
     missing = link_defects.missing_payment_tx(T)
-    assert as_set(missing, "payment_request_item_id") == {(1,), (4,)}
+    assert as_set(missing, "payment_request_item_id", "gateway_requests", "sales") == {(1, 2, 2), (4, 2, 2)}
+    assert link_defects.missing_payment_tx(T, reference_mode=True).count() == 2 * 2 * 2
     created = repairs.create_missing_tx(T, missing)
     rows = created.inserts.orderBy("link_id").collect()
     assert [(r.tx_transaction_id, r.link_id, r.display_order, r.amount) for r in rows] == [(54, 1, 4, 12), (57, 4, 4, 12)]
@@ -157,6 +158,24 @@ def test_repoints_write_one_row_for_each_key(small):
         assert change.apply(small).count() == small[change.table].count()
 
 
+def test_mispointed_item_takes_the_smallest_other_sale(spark):
+    T = bundle(
+        spark,
+        tx_invoice=[dict(tx_invoice_id=5, link_type_id=4, link_id=1)],
+        invoice_request=[request(1, tx_invoice_id=5)],
+        invoice_request_item=[
+            dict(invoice_request_item_id=i, invoice_request_id=1, tx_transaction_id=target)
+            for i, target in enumerate([50, 51, 99, None])
+        ],
+        tx_transaction=[tx(50, 5), tx(51, 5), tx(52, 5), tx(40, 5, kind=2)],
+    )
+    multi = spark.createDataFrame([(1,)], "invoice_request_id long")
+    found = link_defects.mispointed_items(T, multi)
+    assert as_set(found, "invoice_request_item_id", "sale_transaction_id", "differing_sales") == {
+        (0, 51, 2), (1, 50, 2), (2, 50, 3),
+    }
+
+
 def test_exposure_keeps_cents_and_filters_only_on_demand(spark):
     T = bundle(
         spark,
