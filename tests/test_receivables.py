@@ -198,3 +198,16 @@ def test_results_do_not_depend_on_partition_count(spark, small):
         assert answer() == first
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_tables_from_parquet_keep_the_declared_schema(spark, small):
+    from duesmith.sources.tables import Tables
+
+    root = new_folder(spark, "books")
+    for name in ("tx_transaction", "tx_invoice"):
+        small[name].write.parquet(f"{root}/{name}")
+    T = Tables.from_parquet(spark, root)
+    assert T.tx_transaction.columns == small.tx_transaction.columns
+    assert ledger.invoice_balance(T.tx_transaction).exceptAll(ledger.invoice_balance(small.tx_transaction)).count() == 0
+    with pytest.raises(KeyError):
+        T["no_such_table"]
