@@ -50,6 +50,8 @@ def left_join_sparse(df: DataFrame, other: DataFrame, key: str, spread_by: str,
 def one_per_key(df: DataFrame, key: str | Sequence[str], *values: str) -> DataFrame:
     """One row for each key: the smallest value tuple wins."""
     keys = [key] if isinstance(key, str) else list(key)
+    if len(values) == 1:
+        return df.groupBy(*keys).agg(F.min(values[0]).alias(values[0]))
     return (
         df.groupBy(*keys)
         .agg(F.min(F.struct(*values)).alias("_least"))

@@ -208,7 +208,10 @@ def zero_rows(aging: DataFrame, T: Tables) -> DataFrame:
 
 
 def zero_fill(aging: DataFrame, T: Tables) -> DataFrame:
-    """The aging rows plus ``zero_rows``."""
+    """The aging rows plus ``zero_rows``.
+
+    ``aging`` is read twice, so pass a stored table rather than a plan.
+    """
     return aging.unionByName(zero_rows(aging, T))
 
 

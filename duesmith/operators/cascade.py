@@ -80,6 +80,7 @@ STEPS = (
     Step("member_agreement_promotion", "@agreements", "member_agreement_id"),
     Step("member_agreement", "@agreements", "member_agreement_id"),
 )
+PROMOTION_TABLES = ("promotion_effect_application", "promotion_effect", "member_agreement_promotion")
 _STEP_OF = {step.table: step for step in STEPS}
 
 
@@ -101,9 +102,11 @@ class Cascade:
     than its own tasks.
     """
 
-    def __init__(self, T: Tables, agreements: DataFrame):
+    def __init__(self, T: Tables, agreements: DataFrame, promotions: bool = True):
         self.T = T
         self._agreements = agreements
+        # The oldest form of the cascade knew no promotion tables.
+        self.steps = STEPS if promotions else tuple(s for s in STEPS if s.table not in PROMOTION_TABLES)
         self._doomed: dict[str, DataFrame] = {}
 
     @cached_property
@@ -225,6 +228,7 @@ class Cascade:
                 F.lit(n).alias("step"), F.lit(step.table).alias("table_name"), F.col(step.key).alias("row_key")
             )
             for n, step in enumerate(STEPS, start=1)
+            if step in self.steps
         ]
         return reduce(DataFrame.unionByName, parts)
 
@@ -241,6 +245,6 @@ class Cascade:
         """The bundle after the deletes and the re-pricing."""
         left = apply_all(self.T, self.repriced_payments())
         survivors = {
-            step.table: left[step.table].join(self.doomed(step.table), step.key, "left_anti") for step in STEPS
+            step.table: left[step.table].join(self.doomed(step.table), step.key, "left_anti") for step in self.steps
         }
         return left.replace(**survivors)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -105,6 +106,11 @@ def _planned(plan: DataFrame, table: str) -> DataFrame:
     return plan.where(F.col("table_name") == table).select(F.col("row_key").alias(key_of(table)))
 
 
+def run_label(started: datetime) -> str:
+    """Folder name of a removal run: day, hour, minute and second of its start."""
+    return f"invoice_removal_{started.day}_{started.hour}_{started.minute}_{started.second}"
+
+
 def before_images(T: Tables, plan: DataFrame, run_folder: str) -> dict[str, DataFrame]:
     """Copy every row the plan touches to ``run_folder/<table>`` and read it back.
 

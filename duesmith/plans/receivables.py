@@ -12,7 +12,7 @@ from duesmith.plans import Query
 from duesmith.schema import ACTIVE, ACTIVE_STATUSES, TX_FEE, TX_SALE
 from duesmith.sources import snapshots
 from duesmith.sources.tables import Tables
-from duesmith.sources.workspace import new_folder
+from duesmith.sources.workspace import new_folder, stored
 
 AS_OF = "2000-01-01 00:00:00"
 FROM, TO, ZONE = "1998-01-01 00:00:00", "1999-01-01 00:00:00", "America/New_York"
@@ -303,8 +303,12 @@ UNION ALL SELECT 'payment_request_items', l.member_agreement_id, pi.payment_requ
   JOIN {payment_request_item} pi ON pi.payment_request_id = p.payment_request_id"""
 
 
+def _filled(T: Tables) -> DataFrame:
+    return aging.zero_fill(stored(aging.ar_aging(T, AS_OF), "aging"), T)
+
+
 def _refreshed(T: Tables) -> DataFrame:
-    filled = aging.zero_fill(aging.ar_aging(T, AS_OF), T)
+    filled = _filled(T)
     return snapshots.refresh_snapshot(new_folder(filled.sparkSession, "ar-aging"), filled, AS_OF)
 
 
@@ -316,7 +320,7 @@ QUERIES: dict[str, Query] = {
     ),
     "account_total_balance": Query(lambda T: ledger.account_total(T), ACCOUNT_TOTAL),
     "ar_aging_snapshot": Query(lambda T: aging.ar_aging(T, AS_OF), AGING),
-    "ar_aging_zero_fill": Query(lambda T: aging.zero_fill(aging.ar_aging(T, AS_OF), T), FILLED),
+    "ar_aging_zero_fill": Query(_filled, FILLED),
     "ar_aging_refresh": Query(
         _refreshed, f"SELECT DATE '2000-01-01' AS aged_date, f.* FROM ({FILLED}) f"
     ),

@@ -163,7 +163,8 @@ def _resynced(T: Tables) -> tuple[Tables, DataFrame]:
 def _relink(part: str):
     def run(T: Tables) -> DataFrame:
         after, missing = _resynced(T)
-        return getattr(repairs.relink(after, missing), part).preview(after)
+        pairs = stored(repairs.request_pairs(after, missing), "request-pairs")
+        return getattr(repairs.relink(after, missing, pairs), part).preview(after)
 
     return run
 

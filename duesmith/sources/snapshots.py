@@ -31,8 +31,8 @@ def refresh_snapshot(
         if previous is not None:
             kept = spark.read.schema(stamped.schema).parquet(previous)
             stamped = stamped.unionByName(kept.where(~F.col("business_unit_id").isin(*units)))
-    # One directory for each unit, but several files where a unit is large.
-    stamped.write.partitionBy("business_unit_id").parquet(path)
+    # Few files for each unit; a large unit is split over several tasks and files.
+    stamped.hint("rebalance", "business_unit_id").write.partitionBy("business_unit_id").parquet(path)
     return read_snapshot(spark, path, stamped)
 
 

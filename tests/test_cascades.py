@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from datetime import datetime
+
 from duesmith.operators import link_defects, removal
 from duesmith.operators.cascade import STEPS, Cascade, key_of
 from duesmith.sources.workspace import new_folder
@@ -88,3 +90,20 @@ def test_before_images_restore_the_tables(spark, small):
         restored = untouched.unionByName(images[table])
         assert images[table].schema == small[table].schema or images[table].columns == small[table].columns
         assert restored.exceptAll(small[table]).count() == small[table].exceptAll(restored).count() == 0
+
+
+def test_old_form_leaves_promotions(spark):
+    T = bundle(
+        spark,
+        member_agreement=[dict(member_agreement_id=1)],
+        member_agreement_promotion=[dict(member_agreement_promotion_id=5, member_agreement_id=1)],
+    )
+    agreements = spark.createDataFrame([(1,)], "member_agreement_id long")
+    assert as_set(Cascade(T, agreements).plan(), "step", "table_name", "row_key") == {
+        (38, "member_agreement_promotion", 5), (39, "member_agreement", 1),
+    }
+    assert as_set(Cascade(T, agreements, promotions=False).plan(), "table_name") == {("member_agreement",)}
+
+
+def test_run_label():
+    assert removal.run_label(datetime(2014, 9, 19, 7, 5, 3)) == "invoice_removal_19_7_5_3"

@@ -211,3 +211,23 @@ def test_tables_from_parquet_keep_the_declared_schema(spark, small):
     assert ledger.invoice_balance(T.tx_transaction).exceptAll(ledger.invoice_balance(small.tx_transaction)).count() == 0
     with pytest.raises(KeyError):
         T["no_such_table"]
+
+
+def test_bucketed_ledger_sums_and_joins_without_a_shuffle(spark, small):
+    from duesmith.sources.layout import from_catalog, save_bucketed
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucketed_books")
+    try:
+        save_bucketed(small, "bucketed_books", new_folder(spark, "buckets"), 4, ("tx_invoice", "tx_transaction"))
+        T = from_catalog(spark, "bucketed_books")
+        joined = ledger.invoice_balance(T.tx_transaction).join(T.tx_invoice, "tx_invoice_id")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        expected = ledger.invoice_balance(small.tx_transaction)
+        assert ledger.invoice_balance(T.tx_transaction).exceptAll(expected).count() == 0
+    finally:
+        spark.sql("DROP DATABASE bucketed_books CASCADE")
