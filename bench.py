@@ -62,6 +62,8 @@ def main() -> None:
     chosen = sys.argv[1:] or HEADLINE
     queries = catalog()
     seconds: dict[str, float] = {}
+    # The first query of a session pays for class loading; keep that out of the figures.
+    queries[chosen[0]].run(T).write.format("noop").mode("overwrite").save()
     for name in chosen:
         runs = []
         for _ in range(rounds):
