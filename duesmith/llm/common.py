@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +64,12 @@ def last_at_most(values: Column, wanted: Column, at: str | None = None, bits: in
     )
 
 
+def texts_of(column: pa.Array, most: int = 256) -> Iterator[tuple[int, list[str]]]:
+    """A text column in short lists, each with the number of its first row; null: empty."""
+    for begin in range(0, len(column), most):
+        yield begin, [text or "" for text in column.slice(begin, most).to_pylist()]
+
+
 def in_portions(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
     """Ranges of neighbouring items whose sizes add up to about ``most``; a larger item stands alone."""
     begin = total = 0

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from duesmith.llm.common import id_and_text, last_at_most, read_table, ship_code
+from duesmith.llm.common import id_and_text, last_at_most, read_table, ship_code, texts_of
 from duesmith.llm.pieces import encoder, prove_whole_tokens
 from duesmith.sources.workspace import stored
 
@@ -55,7 +55,8 @@ def token_pieces(
             source: list[int] = []
             out: list[tuple[int, int, int, int]] = []
             kept: list[np.ndarray] = []
-            for row, ids in enumerate(encode(batch.column("text").to_pylist())):
+            tokens = ((begin + i, ids) for begin, texts in texts_of(batch.column("text")) for i, ids in enumerate(encode(texts)))
+            for row, ids in tokens:
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4", copy=False)
                 begin, end = 0, (len(ids) - 1) % capacity + 1
                 piece = 0

@@ -10,6 +10,7 @@ the tokenizer library, once for each worker as long as the table holds them.
 from __future__ import annotations
 
 import functools
+import os
 import unicodedata
 from dataclasses import dataclass
 
@@ -18,6 +19,9 @@ from tokenizers import Tokenizer
 
 from duesmith.llm.common import in_portions
 
+# Spark runs a worker for each core; more threads below it would only cost memory.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 LETTER, NUMBER, SPACE, OTHER = range(4)
 #: The code points with the Unicode property White_Space.
 WHITE_SPACE = [
@@ -26,7 +30,7 @@ WHITE_SPACE = [
 #: Characters handled by one round of array operations; keeps the arrays in cache.
 PORTION = 200_000
 #: Slots of the table of known pre-tokens; it is emptied when half of them are taken.
-SLOTS_LOG2 = 22
+SLOTS_LOG2 = 21
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from duesmith.llm import packing, token_counts
+from duesmith.llm import exact_dedup, packing, token_counts
 
 QUERIES = {
+    "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op3_packing": packing.op3_packing,
     "op7_token_counts": token_counts.op7_token_counts,
 }
 
-CHECKS: dict[str, str] = {}
+CHECKS: dict[str, str] = {
+    "op1_exact_dedup": exact_dedup.OP1_CHECK,
+}

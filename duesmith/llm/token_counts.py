@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duesmith.llm.common import id_and_text, read_table, ship_code
+from duesmith.llm.common import id_and_text, read_table, ship_code, texts_of
 from duesmith.llm.pieces import encoder, prove_whole_tokens
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -37,9 +37,9 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id"
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = encoder(tokenizer_path, whole).counts
         for batch in batches:
-            numbers = pa.array(counts(batch.column("text").to_pylist()), pa.int64())
+            numbers = [n for _, texts in texts_of(batch.column("text")) for n in counts(texts)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("n_bytes"), numbers], ["doc_id", "n_bytes", "n_tokens"]
+                [batch.column("doc_id"), batch.column("n_bytes"), pa.array(numbers, pa.int64())], ["doc_id", "n_bytes", "n_tokens"]
             )
 
     return rows.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), "text").mapInArrow(
