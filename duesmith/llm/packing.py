@@ -32,7 +32,7 @@ from duesmith.sources.workspace import stored
 CAPACITY = 2048
 END_ID = 0
 #: Pieces that one task numbers together.
-RANK_CHUNK = 50_000
+RANK_CHUNK = 10_000
 TOKENIZER = "byte_bpe_50k.json"
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from duesmith.llm import exact_dedup, packing, token_counts
+from duesmith.llm import exact_dedup, packing, simhash, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op3_packing": packing.op3_packing,
+    "op4_toxicity": toxicity.op4_toxicity,
+    "op5_simhash": simhash.op5_simhash,
     "op7_token_counts": token_counts.op7_token_counts,
+    "op10_warc": warc.op10_warc,
 }
 
 CHECKS: dict[str, str] = {
