@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from duesmith.llm import exact_dedup, packing, simhash, token_counts, toxicity, warc
+from duesmith.llm import exact_dedup, packing, secrets, simhash, substring_dedup, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op3_packing": packing.op3_packing,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_simhash": simhash.op5_simhash,
+    "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_token_counts": token_counts.op7_token_counts,
+    "op8_secrets": secrets.op8_secrets,
     "op10_warc": warc.op10_warc,
 }
 
 CHECKS: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.OP1_CHECK,
+    "op6_substring_dedup": substring_dedup.OP6_CHECK,
 }

@@ -1,0 +1,103 @@
+"""Secrets in texts: fixed forms, and values in credential context that are costly to guess.
+
+Three forms are searched as they are defined (assignments, access keys, long hexadecimal numbers).
+A value that follows a credential word in some looser way is kept as well, as ``guess``, when the
+cheapest split into words, dates, repeats, keyboard walks and random characters still takes at
+least ``10 ** LEAST_COST`` guesses (``guessing``) and no span of the fixed forms touches it.
+
+One scan without a shuffle.  Null and empty texts have no spans; null or repeated ids give rows like
+any other; an empty table gives no rows; other columns are ignored.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from duesmith.llm.common import id_and_text, read_table, ship_code, texts_of
+from duesmith.llm.guessing import guess_cost
+
+KINDS = ("assign", "access", "hex", "guess")
+#: Guesses, as a power of ten, from which a value counts as a secret.
+LEAST_COST = 10.0
+
+_ASSIGN = re.compile(
+    r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE
+)
+_ACCESS = re.compile(r"AKIA[A-Z0-9]+")
+_HEX = re.compile(r"[0-9a-f]+")
+_LONG_HEX = re.compile(r"[0-9a-f]{32}")
+_CONTEXT = re.compile(
+    r"""(?:password|passwd|passphrase|passcode|pwd|secret|token|credentials?|api[_\x20-]?key|bearer)"""
+    r"""["']?[\x20\t]*(?:\b(?:is|was|are)\b|:=|=>|->|[:=])?[\x20\t]*["'`<(]?([^\s"'`<>()]{6,})""",
+    re.ASCII | re.IGNORECASE,
+)
+#: What each of the patterns with credential words needs, in lower case.
+_WORDS = ("passw", "secret", "token", "apikey", "api_key", "passphrase", "passcode", "pwd", "credential", "api", "bearer")
+
+
+def find_secrets(text: str, least_cost: float = LEAST_COST) -> list[tuple[str, int, int]]:
+    """``(kind, start, end)`` in code points, by start and then in the order of ``KINDS``."""
+    spans: list[tuple[str, int, int]] = []
+    low = text.lower()
+    credential = any(word in low for word in _WORDS)
+    if credential:
+        spans += [("assign", *m.span()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 8]
+    if "AKIA" in text:
+        spans += [("access", *m.span()) for m in _ACCESS.finditer(text) if len(m[0]) >= 16]
+    if _LONG_HEX.search(text):
+        spans += [("hex", *m.span()) for m in _HEX.finditer(text) if len(m[0]) >= 32]
+    if credential:
+        taken = sorted((start, end) for _, start, end in spans)
+        for m in _CONTEXT.finditer(text):
+            value = m[1].rstrip(".,;:!?]}")
+            start, end = m.start(1), m.start(1) + len(value)
+            if len(value) >= 6 and not any(s < end and start < e for s, e in taken) and guess_cost(value) >= least_cost:
+                spans.append(("guess", start, end))
+    return sorted(spans, key=lambda span: (span[1], KINDS.index(span[0]), span[2]))
+
+
+def secret_spans(docs: DataFrame, least_cost: float = LEAST_COST) -> DataFrame:
+    """``doc_id`` and ``found`` (kind, start, end, value) of every document."""
+    ship_code(docs.sparkSession)
+    rows = id_and_text(docs)
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    span = pa.list_(
+        pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string())])
+    )
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                [{"kind": k, "start": s, "end": e, "value": text[s:e]} for k, s, e in find_secrets(text, least_cost)]
+                for _, texts in texts_of(batch.column("text"))
+                for text in texts
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, span)], ["doc_id", "found"])
+
+    return rows.mapInArrow(
+        search, f"doc_id {id_type}, found array<struct<kind: string, start: bigint, end: bigint, value: string>>"
+    )
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def joined(spans: Column) -> Column:
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))),
+            ",",
+        )
+
+    def of_kind(kind: str) -> Column:
+        return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    found = F.col("found")
+    return secret_spans(read_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *map(of_kind, KINDS),
+        F.sha2(joined(F.filter(found, lambda s: s["kind"] != "guess")), 256).alias("base_sha256"),
+        joined(found).alias("spans"),
+    )

@@ -1,6 +1,6 @@
 """Toxicity scores by FTRL-proximal logistic regression on hashed word n-grams and skip-grams.
 
-Learning takes a bounded sample of labelled rows (``MOST_LABELS``), dealt to ``SHARDS`` tasks that
+Learning takes a bounded sample of labelled rows (``MOST_LABELS``), dealt to tasks that
 each run FTRL-proximal with rates of their own for every coordinate; L1 leaves few weights, which
 are averaged over the shards.  Their number is bounded by the number of hash buckets, so they
 travel with the scoring function.  Scoring is one scan of whole texts, without a shuffle.
@@ -23,14 +23,16 @@ from pyspark.sql import types as T
 
 from duesmith.llm.common import read_table, ship_code
 from duesmith.llm.words import NOT_ALNUM, Words, mix, words_of
+from duesmith.sources.workspace import stored
 
 #: Labelled rows that learning takes at most.
 MOST_LABELS = 24_000
-SHARDS = 3
+#: Of these, rows that one task learns from.
+SHARD_LABELS = 8_000
 BITS = 20
 BIAS = 1 << BITS
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 1.5, 1.0
+EPOCHS = 5
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 12.0, 0.1
 
 
 def _features(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -79,7 +81,7 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text, bucket = _present(*_features(words))
             cuts = np.searchsorted(text, np.arange(len(words.cuts)))
             for i in range(len(words.cuts) - 1):
-                at = np.append(bucket[cuts[i] : cuts[i + 1]], BIAS)
+                at = np.append(bucket[cuts[i] : cuts[i + 1]], BIAS).astype(np.int32)
                 examples.append((at, int(labels[words.first + i])))
     model = Ftrl()
     order = np.random.default_rng(7)
@@ -101,18 +103,21 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELS) -> tuple[
         .agg(F.max("toxic").alias("toxic"))
     )
     chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    chosen = stored(chosen, "chosen-labels")
+    shards = max(1, -(-chosen.count() // SHARD_LABELS))
     # At most ``most`` pairs of an id and a label.
     shown = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    shards = shown.repartition(SHARDS, F.xxhash64("doc_id")).sortWithinPartitions("doc_id", "text")
+    shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")
+    dealt = shown.repartitionById(shards, shard).sortWithinPartitions("doc_id", "text")
     weights = (
-        shards.select("text", F.col("toxic").cast("int").alias("toxic"))
+        dealt.select("text", F.col("toxic").cast("int").alias("toxic"))
         .mapInArrow(_train, "i bigint, w double")
         .groupBy("i")
         .agg(F.sum("w").alias("w"))
         .orderBy("i")
         .toPandas()  # at most one row for each hash bucket
     )
-    return weights["i"].to_numpy(np.int64), weights["w"].to_numpy(np.float64) / SHARDS
+    return weights["i"].to_numpy(np.int64), weights["w"].to_numpy(np.float64) / shards
 
 
 def held_out(id_column: str) -> Column:
