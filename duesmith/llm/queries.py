@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from duesmith.llm import exact_dedup, packing, secrets, simhash, substring_dedup, token_counts, toxicity, warc
+from duesmith.llm import decontamination, exact_dedup, packing, secrets, simhash, substring_dedup, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_decontamination": decontamination.op2_decontamination,
     "op3_packing": packing.op3_packing,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_simhash": simhash.op5_simhash,

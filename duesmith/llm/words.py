@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes handled by one round of array operations; keeps the arrays in cache.
 PORTION = 1 << 18
@@ -18,8 +19,6 @@ BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
 #: As BLANK, and all ASCII that is neither letter nor digit.
 NOT_ALNUM = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
-#: Lower case for A-Z; other bytes stay.
-LOWER = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.uint8)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -69,27 +68,24 @@ class Words:
 def words_of(column: pa.Array, separators: np.ndarray = BLANK, lower: bool = False) -> Iterator[Words]:
     """Portions of the column with their words; null and empty texts have none."""
     column = column.cast(pa.large_string())
+    if lower:
+        column = pc.utf8_lower(column)
     n = len(column)
     if not n:
         return
     _, offsets, data = column.buffers()
     bounds = np.frombuffer(offsets, np.int64)[column.offset : column.offset + n + 1]
-    valid = column.is_valid().to_numpy(zero_copy_only=False)
     everything = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     begin = 0
     while begin < n:
         end = max(begin + 1, int(np.searchsorted(bounds, bounds[begin] + PORTION, "right")) - 1)
         end = min(end, n)
         part = everything[bounds[begin] : bounds[end]]
-        yield _find(begin, part, bounds[begin : end + 1] - bounds[begin], valid[begin:end], separators, lower)
+        yield _find(begin, part, bounds[begin : end + 1] - bounds[begin], separators)
         begin = end
 
 
-def _find(
-    first: int, data: np.ndarray, bounds: np.ndarray, valid: np.ndarray, separators: np.ndarray, lower: bool
-) -> Words:
-    if lower:
-        data = LOWER[data]
+def _find(first: int, data: np.ndarray, bounds: np.ndarray, separators: np.ndarray) -> Words:
     n = len(data)
     inside = ~separators[data]
     edge = np.zeros(n + 1, bool)
