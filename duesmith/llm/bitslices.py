@@ -13,13 +13,14 @@ _ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def planes_of(fingerprints: np.ndarray) -> np.ndarray:
-    """Vertical form: ``[64, blocks]``; bit i of word (b, t) is bit b of fingerprint ``64 t + i``."""
-    blocks = -(-len(fingerprints) // LANES)
-    padded = np.zeros(blocks * LANES, np.uint64)
-    padded[: len(fingerprints)] = fingerprints
-    bits = np.unpackbits(padded.view(np.uint8).reshape(blocks, LANES, 8), axis=2, bitorder="little")
+    """Vertical form of ``[n, words]`` fingerprints: bit i of (b, t) is bit b of fingerprint ``64 t + i``."""
+    n, words = fingerprints.shape
+    blocks = -(-n // LANES)
+    padded = np.zeros((blocks * LANES, words), np.uint64)
+    padded[:n] = fingerprints
+    bits = np.unpackbits(padded.view(np.uint8).reshape(blocks, LANES, 8 * words), axis=2, bitorder="little")
     packed = np.packbits(bits.transpose(2, 0, 1), axis=2, bitorder="little")
-    return np.ascontiguousarray(packed).view(np.uint64).reshape(64, blocks)
+    return np.ascontiguousarray(packed).view(np.uint64).reshape(64 * words, blocks)
 
 
 def lanes_below(count: np.ndarray) -> np.ndarray:
@@ -29,33 +30,36 @@ def lanes_below(count: np.ndarray) -> np.ndarray:
 
 
 def within(
-    planes: np.ndarray, block: np.ndarray, query: np.ndarray, allowed: np.ndarray, radius: int
+    planes: np.ndarray, block: np.ndarray, queries: np.ndarray, query: np.ndarray, allowed: np.ndarray, radius: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """Which (query, block) pairs have allowed lanes at most ``radius`` bits away, and which lanes.
 
-    Differing bits are added up for 64 lanes at a time: three planes go through a full adder, its
-    sum and carry into bitwise counters.  A pair is abandoned once all its lanes are too far.
+    ``query`` numbers rows of ``queries``.  Differing bits are added up for 64 lanes at a time:
+    three planes go through a full adder, its sum and carry into bitwise counters.  A pair is
+    abandoned once all its lanes are too far.
     """
     width = max(1, radius.bit_length())
     found: list[np.ndarray] = []
     masks: list[np.ndarray] = []
+
+    def add(bits: np.ndarray, level: int, counters: list, alive: np.ndarray) -> None:
+        for i in range(level, width):
+            carry = counters[i] & bits
+            counters[i] ^= bits
+            bits = carry
+        alive &= ~bits  # beyond the counters
+
+    def differ(b: int, where: np.ndarray, asked: np.ndarray) -> np.ndarray:
+        bit = (asked[:, b >> 6] >> np.uint64(b & 63)) & np.uint64(1)
+        return planes[b][where] ^ (np.uint64(0) - bit)
+
     for begin in range(0, len(block), PAIRS):
         pair = np.arange(begin, min(begin + PAIRS, len(block)))
         pair = pair[allowed[pair] != 0]
-        where, asked, alive = block[pair], query[pair], allowed[pair].copy()
+        where, asked, alive = block[pair], queries[query[pair]], allowed[pair].copy()
         counters = [np.zeros(len(pair), np.uint64) for _ in range(width)]
-
-        def add(bits: np.ndarray, level: int, counters: list, alive: np.ndarray) -> None:
-            for i in range(level, width):
-                carry = counters[i] & bits
-                counters[i] ^= bits
-                bits = carry
-            alive &= ~bits  # beyond the counters
-
-        def differ(b: int, where: np.ndarray, asked: np.ndarray) -> np.ndarray:
-            return planes[b][where] ^ (np.uint64(0) - ((asked >> np.uint64(b)) & np.uint64(1)))
-
-        for b in range(0, 63, 3):
+        last = len(planes) - 2
+        for b in range(0, last, 3):
             x, y, z = (differ(b + i, where, asked) for i in range(3))
             half = x ^ y
             add(half ^ z, 0, counters, alive)
@@ -69,7 +73,8 @@ def within(
             if not len(pair):
                 break
         if len(pair):
-            add(differ(63, where, asked), 0, counters, alive)
+            for b in range(last - last % -3, len(planes)):
+                add(differ(b, where, asked), 0, counters, alive)
             alive &= ~_exceeds(counters, radius)
             stay = alive != 0
             found.append(pair[stay])
@@ -127,7 +132,7 @@ def linked(fingerprints: np.ndarray, bucket_ends: np.ndarray, radius: int) -> np
     lanes = lanes_below(np.clip(bucket_ends[query] - base, 0, LANES)) & ~lanes_below(
         np.clip(query + 1 - base, 0, LANES)
     )
-    pairs, masks = within(planes, block, fingerprints[query], lanes, radius)
+    pairs, masks = within(planes, block, fingerprints, query, lanes, radius)
     row, lane = set_lanes(masks)
     return _roots(n, query[pairs[row]], block[pairs[row]] * LANES + lane)
 
@@ -144,10 +149,10 @@ def linked_by_search(fingerprints: np.ndarray, radius: int, together: int = 256)
             now, frontier = frontier[:together], frontier[together:]
             planes = planes_of(fingerprints[left])
             blocks = planes.shape[1]
-            query = np.repeat(fingerprints[now], blocks)
+            query = np.repeat(now, blocks)
             block = np.tile(np.arange(blocks), len(now))
             lanes = lanes_below(np.clip(len(left) - block * LANES, 0, LANES))
-            pairs, masks = within(planes, block, query, lanes, radius)
+            pairs, masks = within(planes, block, fingerprints, query, lanes, radius)
             row, lane = set_lanes(masks)
             reached = np.unique(block[pairs[row]] * LANES + lane)
             root[left[reached]] = seed
