@@ -43,6 +43,14 @@ def id_and_text(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     )
 
 
+def unused_name(name: str, docs: DataFrame) -> str:
+    """``name``, with as many underscores as it takes to be no column of ``docs``."""
+    taken = {column.lower() for column in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def last_at_most(values: Column, wanted: Column, at: str | None = None, bits: int = 20) -> Column:
     """How many leading elements of the sorted array ``values`` are at most ``wanted``.
 

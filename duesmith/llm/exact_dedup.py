@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from duesmith.llm.common import BLANKS, last_at_most, read_table
+from duesmith.llm.common import BLANKS, last_at_most, read_table, unused_name
 from duesmith.sources.workspace import stored
 
 #: Characters of a text that a splitter carries.
@@ -131,15 +131,15 @@ def equal_texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, that stay when equal texts are reduced to one."""
+    key, digest, again = (unused_name(name, docs) for name in ("stay_id", "stay_digest", "again"))
     stay = equal_texts(docs, id_column, text_column).where("kept").select(
-        F.col("doc_id").alias("stay_id_"), F.col("text_sha256").alias("stay_digest_")
+        F.col("doc_id").alias(key), F.col("text_sha256").alias(digest)
     )
-    digest = F.sha2(normalised(docs[text_column]), 256)
-    joined = docs.join(
-        stay, docs[id_column].eqNullSafe(F.col("stay_id_")) & (digest == F.col("stay_digest_")), "inner"
-    )
-    again = Window.partitionBy("stay_id_", "stay_digest_").orderBy("stay_id_")
-    return joined.withColumn("again_", F.row_number().over(again)).where("again_ = 1").select(*docs.columns)
+    same = docs[id_column].eqNullSafe(stay[key]) & (F.sha2(normalised(docs[text_column]), 256) == stay[digest])
+    # Rows that agree in id and text are repeats of one row.
+    repeats = Window.partitionBy(key, digest).orderBy(key)
+    joined = docs.join(stay, same).withColumn(again, F.row_number().over(repeats))
+    return joined.where(F.col(again) == 1).select(*docs.columns)
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

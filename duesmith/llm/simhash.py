@@ -12,8 +12,8 @@ bucket is searched breadth first: what is reached is compared no more, so a dens
 copies costs about its size.
 
 ``similar_groups`` finds texts that share at least ``similarity`` of their shingles, which differ in
-too many bits for 64-bit blocks.  It draws fingerprints of 256 bits, whose differing bits tell that
-share to about 0.05, allows the bits that the share leads to plus one standard deviation, and
+too many bits for 64-bit blocks.  It draws fingerprints of 512 bits, whose differing bits tell that
+share to about 0.04, allows the bits that the share leads to and ``MARGIN`` standard deviations, and
 compares those that agree on two smallest shingle hashes in at least one of ``BANDS`` tables.
 A pair at exactly 0.8 misses all of them once in some 28,000 cases.
 
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from duesmith.llm.bitslices import linked, linked_by_search
-from duesmith.llm.common import id_and_text, read_table, ship_code, texts_of
+from duesmith.llm.common import id_and_text, read_table, ship_code, texts_of, unused_name
 from duesmith.llm.components import components
 from duesmith.llm.words import mix
 from duesmith.sources.workspace import stored
@@ -50,8 +50,9 @@ SEARCH_ROWS = 1024
 #: Hashes whose bits are counted together.
 _PORTION = 1 << 15
 #: 64-bit words of the wide fingerprints, and tables that these are compared in.
-WIDE = 4
+WIDE = 8
 BANDS = 10
+MARGIN = 1.5
 _TURNS = np.random.default_rng(5).integers(0, 1 << 63, 2 * BANDS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -193,9 +194,9 @@ def near_groups(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIU
 
 
 def similar_radius(similarity: float, bits: int) -> int:
-    """Differing bits to allow: those expected at that share of common shingles, and a deviation."""
+    """Differing bits to allow: those expected at that share of common shingles, and a margin."""
     share = acos(2 * similarity / (1 + similarity)) / pi
-    return int(bits * share + sqrt(bits * share * (1 - share)))
+    return int(bits * share + MARGIN * sqrt(bits * share * (1 - share)))
 
 
 def _sketch(hashes: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -250,24 +251,21 @@ def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
 
     Of each group the smallest ``doc_id`` stays (a null one only if all are), of repeated rows one.
     """
-    text = F.coalesce(docs["text"], F.lit(""))
-    keyed = docs.withColumn("row_key_", F.xxhash64(docs["doc_id"], text))
-    ids = keyed.select("row_key_", "doc_id").distinct()
+    key, kept, again = (unused_name(name, docs) for name in ("row_key", "kept_key", "again"))
+    keyed = docs.withColumn(key, F.xxhash64(docs["doc_id"], F.coalesce(docs["text"], F.lit(""))))
+    ids = keyed.select(F.col(key).alias("id_key"), "doc_id").distinct()
     groups = similar_groups(docs, words, similarity).distinct()
     least = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_key")))
     stay = (
-        groups.join(ids, groups["row_key"] == ids["row_key_"])
+        groups.join(ids, groups["row_key"] == ids["id_key"])
         .groupBy("root")
         .agg(least.alias("least"))
-        .select(F.col("least.row_key").alias("stay_key_"))
-    )
-    again = Window.partitionBy("row_key_").orderBy("row_key_")
-    return (
-        keyed.join(stay, F.col("row_key_") == F.col("stay_key_"))
-        .withColumn("again_", F.row_number().over(again))
-        .where("again_ = 1")
-        .select(*docs.columns)
+        .select(F.col("least.row_key").alias(kept))
     )
+    # Rows with one key are repeats of one row.
+    joined = keyed.join(stay, F.col(key) == F.col(kept))
+    joined = joined.withColumn(again, F.row_number().over(Window.partitionBy(key).orderBy(key)))
+    return joined.where(F.col(again) == 1).select(*docs.columns)
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
