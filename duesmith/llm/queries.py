@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from duesmith.llm import decontamination, exact_dedup, packing, secret_scan, simhash, substring_dedup, token_counts, toxicity, warc
+from duesmith.llm import (
+    decontamination,
+    exact_dedup,
+    packing,
+    personal_data,
+    secret_scan,
+    simhash,
+    substring_dedup,
+    token_counts,
+    toxicity,
+    warc,
+)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -13,6 +24,7 @@ QUERIES = {
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_secrets": secret_scan.op8_secrets,
+    "op9_personal_data": personal_data.op9_personal_data,
     "op10_warc": warc.op10_warc,
 }
 
