@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from duesmith.functions.money import money, signed, sum_where
 from duesmith.functions.relations import keys_of, left_join_sparse
 from duesmith.functions.times import day_crossings, moment, to_utc, ts
-from duesmith.operators.ledger import accounts_of, invoice_balance, invoice_charges
+from duesmith.operators.ledger import accounts_of, invoice_balance, invoice_charges, lines_of
 from duesmith.schema import LINK_INVOICE_REQUEST, LINK_PAYMENT_REQUEST_ITEM, ROLE_MEMBER, TX_PAYMENT, TX_TENDER
 from duesmith.sources.tables import Tables
 
@@ -96,11 +96,12 @@ def account_aging(
         sums += [sum_where(test, side).alias(f"{side}_{n}") for side in ("charges", "payments")]
     sums += [F.sum(side).alias(f"{side}_{len(ranges)}") for side in ("charges", "payments")]
 
-    per_account = (
-        invoices.join(invoice_charges(T.tx_transaction), "tx_invoice_id")
-        .groupBy("client_account_id")
-        .agg(*sums)
-    )
+    accounts = accounts_of(T, parties)
+    tx = T.tx_transaction
+    if parties is not None:
+        invoices = invoices.join(accounts, "client_account_id", "left_semi")
+        tx = lines_of(tx, invoices)
+    per_account = invoices.join(invoice_charges(tx), "tx_invoice_id").groupBy("client_account_id").agg(*sums)
     long = []
     for n, (label, recent, older) in enumerate([(r[0], r[1], r[2]) for r in ranges] + [("Total", None, None)]):
         charges, payments = F.col(f"charges_{n}"), F.col(f"payments_{n}")
@@ -118,8 +119,7 @@ def account_aging(
             )
         )
     return (
-        accounts_of(T, parties)
-        .join(per_account, "client_account_id", "left")
+        accounts.join(per_account, "client_account_id", "left")
         .select(F.col("client_account_id").alias("account_id"), F.explode(F.array(*long)).alias("r"))
         .select("r.range", "r.from_date", "r.to_date", "account_id", "r.charges", "r.payments", "r.balance")
     )
@@ -145,6 +145,10 @@ def ar_aging(
         invoices = invoices.where(F.col("client_account_id") == account)
     if party is not None:
         roles = roles.where(F.col("party_id") == party)
+        invoices = invoices.join(roles, "party_role_id", "left_semi")
+    tx = T.tx_transaction
+    if (business_unit, party, account) != (None, None, None):
+        tx = lines_of(tx, invoices)
 
     requests = T.invoice_request.select(
         F.col("invoice_request_id").alias("request_id"), "member_agreement_id"
@@ -158,7 +162,7 @@ def ar_aging(
             F.when(F.col("link_type_id") == LINK_INVOICE_REQUEST, F.col("link_id")).alias("request_id"),
             day_crossings(F.coalesce("payment_due_date", "target_date"), ts(as_of)).alias("age"),
         )
-        .join(invoice_balance(T.tx_transaction), "tx_invoice_id")
+        .join(invoice_balance(tx), "tx_invoice_id")
         .transform(left_join_sparse, requests, "request_id", "tx_invoice_id")
         .join(roles, "party_role_id")
     )
@@ -276,8 +280,14 @@ def _schedule(T: Tables) -> DataFrame:
 
 
 def _rebased(due: DataFrame, T: Tables, copies: Column) -> DataFrame:
-    units = T.business_unit.select("business_unit_id")
-    joined = due.join(units, "business_unit_id", "left_semi").join(_schedule(T), "tx_invoice_id", "left")
+    """Due rows on the amounts and dates of their schedule; rows of unknown units stay as they are."""
+    units = T.business_unit.select("business_unit_id", F.lit(True).alias("known"))
+    schedule = _schedule(T).withColumnRenamed("tx_invoice_id", "scheduled_invoice")
+    joined = (
+        due.join(units, "business_unit_id", "left")
+        .withColumn("scheduled_invoice", F.when(F.col("known"), F.col("tx_invoice_id")))
+        .transform(left_join_sparse, schedule, "scheduled_invoice", "tx_invoice_id")
+    )
     planned = F.coalesce(F.col("scheduled"), F.lit(0)) * copies + F.col("unpriced") * F.col("due_amount")
     return joined.withColumn(
         "due_amount", F.when(F.col("unpriced").isNull(), F.col("due_amount")).otherwise(planned)
@@ -285,11 +295,16 @@ def _rebased(due: DataFrame, T: Tables, copies: Column) -> DataFrame:
 
 
 def rebase_due(due: DataFrame, T: Tables) -> DataFrame:
-    """New amount and date of each due transaction, from its payment-request items."""
+    """``due`` with the amounts and dates of its payment-request items in place of its own.
+
+    A transaction whose schedule names several dates has a row for each of them.
+    """
+    keys = [column for column in due.columns if column != "due_amount"]
     return (
         _rebased(due, T, F.lit(1))
-        .groupBy("tx_transaction_id", "target_date_utc")
+        .groupBy(*keys)
         .agg(money(F.sum("due_amount")).alias("due_amount"))
+        .select(*due.columns)
     )
 
 

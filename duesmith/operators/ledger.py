@@ -30,6 +30,11 @@ def invoice_balance(tx: DataFrame) -> DataFrame:
     return tx.groupBy("tx_invoice_id").agg(money(F.sum(signed())).alias("balance"))
 
 
+def lines_of(tx: DataFrame, invoices: DataFrame) -> DataFrame:
+    """Ledger lines of the given invoices alone, for sums that need no others."""
+    return tx.join(keys_of(invoices, "tx_invoice_id"), "tx_invoice_id", "left_semi")
+
+
 def accounts_of(T: Tables, parties: DataFrame | None = None) -> DataFrame:
     """Client accounts held by the parties; by default, of every member."""
     if parties is None:
@@ -41,9 +46,12 @@ def accounts_of(T: Tables, parties: DataFrame | None = None) -> DataFrame:
 def account_total(T: Tables, parties: DataFrame | None = None) -> DataFrame:
     """All charges less all credits of each account."""
     accounts = accounts_of(T, parties)
+    invoices, tx = T.tx_invoice.select("tx_invoice_id", "client_account_id"), T.tx_transaction
+    if parties is not None:
+        invoices = invoices.join(accounts, "client_account_id", "left_semi")
+        tx = lines_of(tx, invoices)
     totals = (
-        T.tx_invoice.select("tx_invoice_id", "client_account_id")
-        .join(invoice_charges(T.tx_transaction), "tx_invoice_id")
+        invoices.join(invoice_charges(tx), "tx_invoice_id")
         .groupBy("client_account_id")
         .agg(F.sum("charges").alias("charges"), F.sum("payments").alias("payments"))
     )
@@ -64,11 +72,14 @@ def amounts_by_group(base: DataFrame, tx_type: int) -> DataFrame:
     )
 
 
-def first_sale_item(T: Tables) -> DataFrame:
-    """Item of the earliest sale transaction in each (invoice, group)."""
+def first_sale_item(T: Tables, groups: DataFrame | None = None) -> DataFrame:
+    """Item of the earliest sale transaction in each (invoice, group), or of those in ``groups``."""
+    sales = T.tx_transaction.where(F.col("tx_type_id") == TX_SALE)
+    if groups is not None:
+        keys = ["tx_invoice_id", "group_id"]
+        sales = sales.join(keys_of(groups, *keys), keys, "left_semi")
     first = (
-        T.tx_transaction.where(F.col("tx_type_id") == TX_SALE)
-        .groupBy("tx_invoice_id", "group_id")
+        sales.groupBy("tx_invoice_id", "group_id")
         .agg(F.min_by("item_id", "tx_transaction_id").alias("sale_item_id"))
     )
     item = T.item.select(

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from duesmith.functions.money import money
 from duesmith.functions.relations import keys_of, not_in
 from duesmith.functions.times import ts
-from duesmith.operators.ledger import invoice_balance
+from duesmith.operators.ledger import invoice_balance, lines_of
 from duesmith.schema import LINK_INVOICE_REQUEST, LINK_SPONSOR, TX_PAYMENT, TX_SALE
 from duesmith.sources.tables import Tables
 
@@ -185,7 +187,7 @@ def removable_invoices(T: Tables, multi: DataFrame) -> DataFrame:
     )
 
 
-def multi_invoice_exposure(T: Tables, min_balance: float | None = None) -> DataFrame:
+def multi_invoice_exposure(T: Tables, min_balance: Decimal | str | None = None) -> DataFrame:
     """Invoices touched by a payment that covers several invoices, with member, payment
     amount, balance and the request they link to."""
     payments = T.tx_payment.where("is_multi_invoice").select(
@@ -204,14 +206,14 @@ def multi_invoice_exposure(T: Tables, min_balance: float | None = None) -> DataF
     )
     exposed = (
         touched.join(invoices, "tx_invoice_id")
-        .join(invoice_balance(T.tx_transaction), "tx_invoice_id", "left")
+        .join(invoice_balance(lines_of(T.tx_transaction, touched)), "tx_invoice_id", "left")
         .join(T.party_role.select("party_role_id", "role_id", "created_date"), "party_role_id")
         .select(
             "tx_invoice_id", "party_role_id", "role_id", "created_date", "payment_amount", "balance",
             "invoice_request_id",
         )
     )
-    return exposed if min_balance is None else exposed.where(F.col("balance") >= min_balance)
+    return exposed if min_balance is None else exposed.where(F.col("balance") >= money(F.lit(str(min_balance))))
 
 
 def exposed_requests(T: Tables, exposure: DataFrame) -> DataFrame:

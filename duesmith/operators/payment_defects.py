@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from duesmith.functions.money import money, sum_where
 from duesmith.functions.relations import keys_of
 from duesmith.functions.text import like
 from duesmith.functions.times import moment, ts
+from duesmith.operators.ledger import lines_of
 from duesmith.schema import ACTIVE, ROLE_MEMBER, TX_PAYMENT
 from duesmith.sources.tables import Tables
 
@@ -95,10 +97,10 @@ def cash_overcredited(T: Tables, interfaces: Sequence[int]) -> DataFrame:
     )
     net = F.col("amount") * (F.col("is_accounting_credit").cast("int") * 2 - 1)
     credited = (
-        T.tx_transaction.groupBy("tx_invoice_id")
+        lines_of(T.tx_transaction, paid_in_cash)
+        .groupBy("tx_invoice_id")
         .agg(money(F.sum(net)).alias("amt"))
         .where(F.col("amt") > 0)
-        .join(keys_of(paid_in_cash, "tx_invoice_id"), "tx_invoice_id", "left_semi")
     )
     return (
         credited.join(T.tx_invoice.select("tx_invoice_id", "party_role_id"), "tx_invoice_id")
@@ -112,7 +114,7 @@ def repeat_declines(
     aging: DataFrame,
     card_like: str = "%VISA%",
     sponsor_like: str = "%Sponsor%",
-    min_past_due: float = 1,
+    min_past_due: Decimal | str = "1",
     status: int = ACTIVE,
     ignore_case: bool = False,
 ) -> DataFrame:
@@ -143,7 +145,7 @@ def repeat_declines(
     )
     # Each decline counts once for every active agreement, as the original join repeats it.
     fourth = third.groupBy("role_id").agg(F.sum("agreements").alias("n")).where(F.col("n") > 1)
-    past_due = keys_of(aging.where(F.col("total_past_due") > min_past_due), "party_role_id")
+    past_due = keys_of(aging.where(F.col("total_past_due") > money(F.lit(str(min_past_due)))), "party_role_id")
     members = keys_of(
         T.party_role.where(F.col("party_role_type_id") == ROLE_MEMBER)
         .join(past_due, "party_role_id", "left_semi"),

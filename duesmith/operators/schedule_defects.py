@@ -91,10 +91,15 @@ def rank_duplicates(
         # rank() counts the repeats of all earlier rows, and every row repeats equally often.
         position = (F.col("_place") - 1) * F.col("_groups") + 1
         return ranked.withColumn("position", position.cast("bigint")).select("position", *columns)
+    groups = duplicates.select(
+        F.col("invoice_request_id").alias("_request"), F.col("due_date_utc").alias("_due")
+    )
+    # Requests without a due date are duplicates of each other, as in the grouping.
+    same = (F.col("invoice_request_id") == F.col("_request")) & F.col("due_date_utc").eqNullSafe(F.col("_due"))
     affected = (
         payment_requests.where(F.col("process_type").isNull())
         .select(*columns)
-        .join(duplicates.select("invoice_request_id", "due_date_utc"), ["invoice_request_id", "due_date_utc"], "left_semi")
+        .join(groups, same, "left_semi")
         .withColumn("_part", F.struct("invoice_request_id", "due_date_utc"))
     )
     return number_within(

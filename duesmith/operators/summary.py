@@ -213,7 +213,7 @@ def billing_summary(
     )
     card = T.credit_card_type.select("credit_card_type_id", F.col("description").alias("card"))
 
-    first_item = first_sale_item(T).withColumnRenamed("sale_item_id", "first_item_id")
+    first_item = first_sale_item(T, base).withColumnRenamed("sale_item_id", "first_item_id")
     rows = (
         kept.join(unit, "business_unit_id", "left" if units is None and division is None else "inner")
         .join(ledger_code, "gl_id", "left")

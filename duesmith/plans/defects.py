@@ -48,7 +48,7 @@ SELECT rank() OVER (PARTITION BY mapr.invoice_request_id, mapr.due_date_utc
                     ORDER BY mapr.status, mapr.payment_request_id) AS position,
        mapr.payment_request_id, mapr.invoice_request_id, mapr.due_date_utc, mapr.status, mapr.tx_payment_id
 FROM {{payment_request}} mapr
-JOIN ({DUPLICATED}) d ON d.invoice_request_id = mapr.invoice_request_id AND d.due_date_utc = mapr.due_date_utc
+JOIN ({DUPLICATED}) d ON d.invoice_request_id = mapr.invoice_request_id AND d.due_date_utc IS NOT DISTINCT FROM mapr.due_date_utc
 WHERE mapr.process_type IS NULL"""
 
 RANKED_AS_WRITTEN = f"""

@@ -9,7 +9,7 @@ from duesmith.functions.money import money
 from duesmith.functions.times import to_utc, ts
 from duesmith.operators import agreements, aging, ledger, summary
 from duesmith.plans import Query
-from duesmith.schema import ACTIVE, ACTIVE_STATUSES, TX_FEE, TX_SALE
+from duesmith.schema import ACTIVE, ACTIVE_STATUSES, ROLE_MEMBER, TX_FEE, TX_SALE
 from duesmith.sources import snapshots
 from duesmith.sources.tables import Tables
 from duesmith.sources.workspace import new_folder, stored
@@ -118,22 +118,33 @@ FROM {{tx_transaction}} t
 JOIN {{tx_invoice}} i ON i.tx_invoice_id = t.tx_invoice_id AND i.target_date < '{AS_OF}'
 JOIN {{client_account_party}} cap ON cap.client_account_id = i.client_account_id AND cap.primary_party"""
 
-# One row for each due transaction and payment-request item, as a correlated query states it.
+# The due table after its update: what the schedule says for units that exist, else the row itself.
 REBASED_ROWS = """
-SELECT d.party_id, d.tx_transaction_id, coalesce(mapr.due_date_utc, d.target_date_utc) AS target_date_utc,
-       coalesce(mapri.fixed_amount + coalesce(paid.total, 0), d.due_amount) AS due_amount
+SELECT d.party_id, d.tx_transaction_id, coalesce(u.new_amount, d.due_amount) AS due_amount,
+       CASE WHEN u.tx_transaction_id IS NULL THEN d.target_date_utc ELSE u.new_date END AS target_date_utc,
+       d.link_type_id, d.link_id, d.business_unit_id, d.tx_invoice_id
 FROM due d
-JOIN {business_unit} bu ON bu.business_unit_id = d.business_unit_id
-LEFT JOIN {invoice_request} mair ON mair.tx_invoice_id = d.tx_invoice_id
-LEFT JOIN {payment_request} mapr ON mapr.invoice_request_id = mair.invoice_request_id
-LEFT JOIN {payment_request_item} mapri ON mapri.payment_request_id = mapr.payment_request_id
-LEFT JOIN (SELECT link_id, sum(CASE WHEN is_accounting_credit THEN -amount ELSE amount END) AS total
-           FROM {tx_transaction} WHERE link_type_id = 3 AND tx_type_id IN (4, 5) GROUP BY link_id) paid
-  ON paid.link_id = mapri.payment_request_item_id"""
+LEFT JOIN (
+  SELECT party_id, tx_transaction_id, new_date, sum(piece) AS new_amount
+  FROM (SELECT o.party_id, o.tx_transaction_id, coalesce(s.due_date_utc, o.target_date_utc) AS new_date,
+               coalesce(s.planned, o.due_amount) AS piece
+        FROM due o
+        LEFT JOIN (SELECT ir.tx_invoice_id, pr.due_date_utc,
+                          item.fixed_amount + coalesce(sum(CASE WHEN t.is_accounting_credit THEN -t.amount ELSE t.amount END), 0) AS planned
+                   FROM {invoice_request} ir
+                   LEFT JOIN {payment_request} pr USING (invoice_request_id)
+                   LEFT JOIN {payment_request_item} item USING (payment_request_id)
+                   LEFT JOIN {tx_transaction} t
+                     ON t.link_id = item.payment_request_item_id AND t.link_type_id = 3 AND t.tx_type_id IN (4, 5)
+                   GROUP BY ir.invoice_request_id, ir.tx_invoice_id, pr.payment_request_id, pr.due_date_utc,
+                            item.payment_request_item_id, item.fixed_amount) s
+          ON s.tx_invoice_id = o.tx_invoice_id
+        WHERE o.business_unit_id IN (SELECT business_unit_id FROM {business_unit})) pieces
+  GROUP BY party_id, tx_transaction_id, new_date) u
+  ON u.party_id = d.party_id AND u.tx_transaction_id = d.tx_transaction_id"""
 
 REBASED = f"""WITH due AS ({DUE}), rebased AS ({REBASED_ROWS})
-SELECT tx_transaction_id, target_date_utc, CAST(sum(due_amount) AS DECIMAL(18,2)) AS due_amount
-FROM rebased GROUP BY tx_transaction_id, target_date_utc"""
+SELECT * REPLACE (CAST(due_amount AS DECIMAL(18,2)) AS due_amount) FROM rebased"""
 
 BUCKETS = f"""WITH due AS ({DUE}), rebased AS ({REBASED_ROWS})
 SELECT party_id,
@@ -308,10 +319,37 @@ def _filled(T: Tables) -> DataFrame:
 
 
 def _refreshed(T: Tables) -> DataFrame:
-    filled = _filled(T)
+    filled = snapshots.of_known_units(_filled(T), T)
     return snapshots.refresh_snapshot(new_folder(filled.sparkSession, "ar-aging"), filled, AS_OF)
 
 
+LATER, SOME_UNITS, ONE_ACCOUNT = "2000-02-01 00:00:00", (1, 3, 5), 40
+
+
+def _partly_refreshed(T: Tables) -> DataFrame:
+    """A full version, then a later one of three units only."""
+    spark = T.tx_invoice.sparkSession
+    first, second = new_folder(spark, "ar-aging"), new_folder(spark, "ar-aging")
+    snapshots.refresh_snapshot(first, snapshots.of_known_units(_filled(T), T), AS_OF)
+    later = aging.zero_fill(stored(aging.ar_aging(T, LATER), "aging"), T)
+    later = snapshots.of_known_units(later, T)
+    return snapshots.refresh_snapshot(second, later, LATER, previous=first, units=SOME_UNITS)
+
+
+KNOWN = f"SELECT * FROM ({FILLED}) f WHERE business_unit_id IN (SELECT business_unit_id FROM {{business_unit}})"
+
+
+def _some_parties(T: Tables) -> DataFrame:
+    """Every seventh member."""
+    return T.party_role.where((F.col("party_role_type_id") == ROLE_MEMBER) & (F.col("party_id") % 7 == 0))
+
+
+def _of_some(sql: str, column: str) -> str:
+    return f"""SELECT r.* FROM ({sql}) r WHERE {column} IN (
+  SELECT client_account_id FROM {{client_account_party}} WHERE party_id IN (
+    SELECT party_id FROM {{party_role}} WHERE party_role_type_id = 1 AND party_id % 7 = 0))"""
+
+
 QUERIES: dict[str, Query] = {
     "account_aging_target_date": Query(lambda T: aging.account_aging(T, None, AS_OF), TARGET_AGING),
     "account_aging_due_date": Query(
@@ -322,10 +360,25 @@ QUERIES: dict[str, Query] = {
     "ar_aging_snapshot": Query(lambda T: aging.ar_aging(T, AS_OF), AGING),
     "ar_aging_zero_fill": Query(_filled, FILLED),
     "ar_aging_refresh": Query(
-        _refreshed, f"SELECT DATE '2000-01-01' AS aged_date, f.* FROM ({FILLED}) f"
+        _refreshed, f"SELECT DATE '2000-01-01' AS aged_date, f.* FROM ({KNOWN}) f"
+    ),
+    "ar_aging_partial_refresh": Query(
+        _partly_refreshed,
+        f"""SELECT DATE '2000-01-01' AS aged_date, f.* FROM ({KNOWN}) f WHERE business_unit_id NOT IN {SOME_UNITS}
+UNION ALL SELECT DATE '{LATER[:10]}', f.* FROM ({KNOWN.replace(AS_OF, LATER)}) f WHERE business_unit_id IN {SOME_UNITS}""",
+    ),
+    "account_aging_of_parties": Query(
+        lambda T: aging.account_aging(T, _some_parties(T), AS_OF), _of_some(TARGET_AGING, "account_id")
+    ),
+    "account_total_of_parties": Query(
+        lambda T: ledger.account_total(T, _some_parties(T)), _of_some(ACCOUNT_TOTAL, "account_id")
+    ),
+    "ar_aging_of_account": Query(
+        lambda T: aging.ar_aging(T, AS_OF, account=ONE_ACCOUNT),
+        f"SELECT * FROM ({AGING}) a WHERE client_account_id = {ONE_ACCOUNT}",
     ),
     "ar_aging_row_count": Query(
-        lambda T: snapshots.snapshot_count(_refreshed(T)), f"SELECT count(*) AS row_count FROM ({FILLED}) f"
+        lambda T: snapshots.snapshot_count(_refreshed(T)), f"SELECT count(*) AS row_count FROM ({KNOWN}) f"
     ),
     "transactions_due": Query(
         lambda T: aging.transactions_due(T, AS_OF),

@@ -160,7 +160,8 @@ SELECT o_orderkey * 8 + nth AS payment_request_id, o_orderkey AS invoice_request
        CAST((o_orderkey + nth) % 3 AS INT) AS status,
        CASE WHEN o_orderkey % 17 = 4 THEN 1 WHEN (o_orderkey + nth) % 19 = 5 THEN 0 END AS process_type
 FROM (SELECT o_orderkey, o_orderstatus, nth,
-             {_MONTH} + INTERVAL '30' DAY * CAST(CASE WHEN o_orderkey % 5 = 2 THEN 0 ELSE nth END AS INT) AS due
+             CASE WHEN o_orderkey % 10 = 7 THEN NULL
+                  ELSE {_MONTH} + INTERVAL '30' DAY * CAST(CASE WHEN o_orderkey % 5 = 2 THEN 0 ELSE nth END AS INT) END AS due
       FROM (SELECT o_orderkey, o_orderstatus, o_orderdate, @EACH(CAST(o_orderkey % 4 AS INT)) AS nth
             FROM {{orders}}) e) o"""
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from duesmith import schema
+from duesmith.functions.times import moment, window
 from duesmith.sources.tables import Tables
 
 # The column that most joins and sums of a table use; other tables stay unbucketed.
@@ -24,25 +28,40 @@ BUCKET_KEYS = {
 }
 
 
-def save_bucketed(T: Tables, database: str, root: str, buckets: int, tables=tuple(BUCKET_KEYS)) -> None:
+def save_bucketed(T: Tables, database: str, root: str, buckets: int, tables=tuple(BUCKET_KEYS), skewed=()) -> None:
     """Store tables as external bucketed tables of ``database`` under ``root``.
 
-    Tables that are joined with each other share one bucket count.  Rebalancing by the
-    key first keeps the number of files low, and splits a hot key over several tasks.
-    One task reads a whole bucket, so leave out tables whose key is that skewed.
+    Tables that are joined with each other share one bucket count.  Shuffling by the key into
+    as many partitions first gives one file for each bucket.  A table named in ``skewed`` is
+    rebalanced instead, which splits a hot key over several tasks and files.
     """
     for name in tables:
         key = BUCKET_KEYS[name]
+        dealt = T[name].hint("rebalance", key) if name in skewed else T[name].repartition(buckets, key)
         (
-            T[name]
-            .hint("rebalance", key)
-            .write.bucketBy(buckets, key)
+            dealt.write.bucketBy(buckets, key)
             .sortBy(key)
             .option("path", f"{root}/{name}")
             .saveAsTable(f"{database}.{name}")
         )
 
 
+def save_by_month(df: DataFrame, date: str, path: str) -> None:
+    """Store rows in one folder for each month of ``date``, so that a window reads only its months.
+
+    A month is split over several tasks and files where it is large.
+    """
+    month = F.date_format(date, "yyyy-MM")
+    df.withColumn("month", month).hint("rebalance", "month").write.partitionBy("month").parquet(path)
+
+
+def read_months(spark: SparkSession, path: str, date: str, from_date: datetime | str, to_date: datetime | str) -> DataFrame:
+    """Rows of ``save_by_month`` with ``date`` in ``[from_date, to_date)``."""
+    first, last = (moment(edge).strftime("%Y-%m") for edge in (from_date, to_date))
+    rows = spark.read.parquet(path).where(F.col("month").between(first, last) & window(date, from_date, to_date))
+    return rows.drop("month")
+
+
 def from_catalog(spark: SparkSession, database: str) -> Tables:
     """The bundle over tables of a catalog database."""
     return Tables(lambda name: spark.table(f"{database}.{name}"), schema.TABLES)

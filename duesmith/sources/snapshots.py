@@ -1,14 +1,33 @@
-"""The cached aging snapshot, published as immutable versions."""
+"""The cached aging snapshot, published as immutable versions.
+
+A version is a folder with the rows that it replaced, by unit, and a list that names for every unit
+the version that holds its rows.  A refresh of some units writes these and a new list; the rows of
+all other units stay where they are.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from duesmith.functions.relations import keys_of
 from duesmith.functions.times import moment
+from duesmith.sources.tables import Tables
+
+UNIT = "business_unit_id"
+
+
+def _named(units: Sequence[int]):
+    return F.coalesce(F.col(UNIT).isin(*units), F.lit(False))
+
+
+def of_known_units(aging: DataFrame, T: Tables) -> DataFrame:
+    """Aging rows of the units that exist, which are the ones a refresh publishes."""
+    return aging.join(keys_of(T.business_unit, UNIT), UNIT, "left_semi").select(*aging.columns)
 
 
 def refresh_snapshot(
@@ -20,24 +39,41 @@ def refresh_snapshot(
 ) -> DataFrame:
     """Write a snapshot version stamped with the local cutoff date and read it back.
 
-    Without ``units`` the version replaces every unit.  With ``units`` those are
-    replaced, even by nothing, and all others come over from ``previous``; a job
-    never overwrites the path it reads.
+    Without ``units`` the version replaces every unit.  With ``units`` those are replaced, even by
+    nothing, and all others, rows without a unit among them, come over from ``previous``.
     """
+    if units is not None and previous is None:
+        raise ValueError("a refresh of some units needs the previous version for the others")
     spark = aging.sparkSession
     stamped = aging.select(F.lit(moment(as_of).date().isoformat()).cast("date").alias("aged_date"), "*")
     if units is not None:
-        stamped = stamped.where(F.col("business_unit_id").isin(*units))
-        if previous is not None:
-            kept = spark.read.schema(stamped.schema).parquet(previous)
-            stamped = stamped.unionByName(kept.where(~F.col("business_unit_id").isin(*units)))
+        stamped = stamped.where(_named(units))
     # Few files for each unit; a large unit is split over several tasks and files.
-    stamped.hint("rebalance", "business_unit_id").write.partitionBy("business_unit_id").parquet(path)
+    stamped.hint("rebalance", UNIT).write.partitionBy(UNIT).parquet(f"{path}/rows")
+    written = _rows(spark, path, stamped).select(UNIT).distinct().withColumn("version", F.lit(path))
+    if units is not None:
+        written = written.unionByName(spark.read.parquet(f"{previous}/units").where(~_named(units)))
+    written.coalesce(1).write.parquet(f"{path}/units")  # one row for each unit
     return read_snapshot(spark, path, stamped)
 
 
+def _rows(spark: SparkSession, version: str, like: DataFrame) -> DataFrame:
+    return spark.read.schema(like.schema).parquet(f"{version}/rows").select(*like.columns)
+
+
 def read_snapshot(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
+    """All units of a version, each from the folder that its list names."""
+    listed: dict[str, list[int | None]] = {}
+    for row in spark.read.parquet(f"{path}/units").collect():
+        listed.setdefault(row["version"], []).append(row[UNIT])
+    parts = []
+    for version, units in sorted(listed.items()):
+        numbers = [unit for unit in units if unit is not None]
+        wanted = _named(numbers) if numbers else F.lit(False)
+        if None in units:
+            wanted = wanted | F.col(UNIT).isNull()
+        parts.append(_rows(spark, version, like).where(wanted))
+    return reduce(DataFrame.unionByName, parts) if parts else _rows(spark, path, like)
 
 
 def snapshot_count(snapshot: DataFrame) -> DataFrame:
