@@ -40,6 +40,13 @@ HEADLINE = (
     "stop_duplicate_payment_requests",
     "agreement_cascade_plan",
     "removal_dry_run",
+    "cascade_apply",
+    "invoice_removal_plan",
+    "before_images",
+    "relink_transactions",
+    "removal_apply",
+    "refresh_due_amounts",
+    "removal_guard",
 )
 
 

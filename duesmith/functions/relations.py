@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 CHUNK = 65_536
@@ -16,6 +16,11 @@ def live(process_type: Column | str = "process_type") -> Column:
     return F.coalesce(process_type, F.lit(0)) != 1
 
 
+def key_list(spark: SparkSession, column: str, ids: Sequence[int]) -> DataFrame:
+    """Ids given one by one, as the key list that operators take."""
+    return spark.createDataFrame([(i,) for i in ids], f"{column} bigint")
+
+
 def keys_of(df: DataFrame, *columns: str) -> DataFrame:
     """Distinct non-null keys."""
     return df.select(*columns).dropna().distinct()

@@ -82,6 +82,7 @@ STEPS = (
 )
 PROMOTION_TABLES = ("promotion_effect_application", "promotion_effect", "member_agreement_promotion")
 _STEP_OF = {step.table: step for step in STEPS}
+_PARENTS = {step.parent for step in STEPS}
 
 
 def agreements_of_members(T: Tables, role_ids: DataFrame) -> DataFrame:
@@ -115,9 +116,8 @@ class Cascade:
 
     @cached_property
     def requests(self) -> DataFrame:
-        return self.T.invoice_request.join(self.agreements, "member_agreement_id", "left_semi").select(
-            "invoice_request_id"
-        )
+        rows = self.T.invoice_request.join(self.agreements, "member_agreement_id", "left_semi")
+        return stored(rows.select("invoice_request_id"), "cascade-requests")
 
     @cached_property
     def item_transactions(self) -> DataFrame:
@@ -132,7 +132,7 @@ class Cascade:
 
     @cached_property
     def invoices(self) -> DataFrame:
-        return keys_of(self.item_transactions, "tx_invoice_id")
+        return stored(keys_of(self.item_transactions, "tx_invoice_id"), "cascade-invoices")
 
     @cached_property
     def payment_state(self) -> DataFrame:
@@ -218,7 +218,9 @@ class Cascade:
             else:
                 parents, parent_key = self.doomed(step.parent), key_of(step.parent)
             named = parents.select(F.col(parent_key).alias(step.link))
-            self._doomed[table] = self.T[table].join(named, step.link, "left_semi").select(step.key)
+            rows = self.T[table].join(named, step.link, "left_semi").select(step.key)
+            # What other tables hang on is read by each of them.
+            self._doomed[table] = stored(rows, f"doomed-{table}") if table in _PARENTS else rows
         return self._doomed[table]
 
     def plan(self) -> DataFrame:
@@ -242,9 +244,12 @@ class Cascade:
         return ChangeSet("tx_payment", "tx_payment_id", rows)
 
     def apply(self) -> Tables:
-        """The bundle after the deletes and the re-pricing."""
+        """The bundle after the deletes and the re-pricing, from the stored plan."""
         left = apply_all(self.T, self.repriced_payments())
-        survivors = {
-            step.table: left[step.table].join(self.doomed(step.table), step.key, "left_anti") for step in self.steps
-        }
+        plan = stored(self.plan(), "cascade-plan", by=["table_name"])
+
+        def going(step: Step) -> DataFrame:
+            return plan.where(F.col("table_name") == step.table).select(F.col("row_key").alias(step.key))
+
+        survivors = {step.table: left[step.table].join(going(step), step.key, "left_anti") for step in self.steps}
         return left.replace(**survivors)

@@ -16,6 +16,7 @@ from duesmith.functions.times import moment, ts
 from duesmith.operators.ledger import lines_of
 from duesmith.schema import ACTIVE, ROLE_MEMBER, TX_PAYMENT
 from duesmith.sources.tables import Tables
+from duesmith.sources.workspace import stored
 
 
 def overpaid_invoices(T: Tables) -> DataFrame:
@@ -39,11 +40,11 @@ def overpaid_invoices(T: Tables) -> DataFrame:
     )
 
 
-def overpaid(T: Tables, include_orgs: bool = False) -> DataFrame:
+def overpaid(T: Tables, include_orgs: bool = False, ordered: bool = False) -> DataFrame:
     """Over-paid invoices with the primary party's member name and the unit.
 
     With ``include_orgs``, accounts held by organisations stay and the organisation's
-    name stands in for the first name.
+    name stands in for the first name.  ``ordered`` sorts by invoice date and id.
     """
     holders = T.client_account_party.where("primary_party").select("client_account_id", "party_id")
     invoices = T.tx_invoice.select(
@@ -70,7 +71,8 @@ def overpaid(T: Tables, include_orgs: bool = False) -> DataFrame:
     else:
         roles = T.party_role.select(F.col("party_role_id").alias("m_role_id"), "role_id")
         named = found.join(members, "party_id").join(roles, "m_role_id")
-    return named.select("role_id", "first_name", "last_name", "tx_invoice_id", "target_date", "unit_name")
+    rows = named.select("role_id", "first_name", "last_name", "tx_invoice_id", "target_date", "unit_name")
+    return rows.orderBy("target_date", "tx_invoice_id") if ordered else rows
 
 
 def overpaid_by_account(T: Tables) -> DataFrame:
@@ -129,7 +131,8 @@ def repeat_declines(
     ).select("tx_transaction_id", "tx_invoice_id", "description", "link_type_id")
     first = keys_of(declines.where(like("description", card_like, ignore_case)), "tx_invoice_id")
     invoices = T.tx_invoice.select("tx_invoice_id", "party_role_id", "billing_status", "tx_invoice_status_id")
-    on_card = declines.join(first, "tx_invoice_id", "left_semi").join(invoices, "tx_invoice_id")
+    # Few rows, and read by every later step.
+    on_card = stored(declines.join(first, "tx_invoice_id", "left_semi").join(invoices, "tx_invoice_id"), "declines")
     repeated = on_card.groupBy("party_role_id").agg(F.count("*").alias("n")).where(F.col("n") > 1)
 
     agreements = (
@@ -143,6 +146,7 @@ def repeat_declines(
         .join(T.party_role.select("party_role_id", "role_id"), "party_role_id")
         .join(agreements, "party_role_id")
     )
+    third = stored(third, "declines")
     # Each decline counts once for every active agreement, as the original join repeats it.
     fourth = third.groupBy("role_id").agg(F.sum("agreements").alias("n")).where(F.col("n") > 1)
     past_due = keys_of(aging.where(F.col("total_past_due") > money(F.lit(str(min_past_due)))), "party_role_id")

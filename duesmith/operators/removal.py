@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
@@ -13,6 +14,7 @@ from duesmith.operators.cascade import key_of
 from duesmith.operators.changes import ChangeSet, apply_all
 from duesmith.schema import TX_PAYMENT, TX_SALE
 from duesmith.sources.tables import Tables
+from duesmith.sources.workspace import stored
 
 # Table, what happens to its rows, and the column a clearing step empties; in order.
 ACTIONS = (
@@ -28,55 +30,80 @@ ACTIONS = (
     ("tx_transaction", "delete", None),
     ("tx_invoice", "delete", None),
 )
-GUARDED = tuple(table for table, action, _ in ACTIONS if action == "clear")
-
-
-def _references(T: Tables, invoices: DataFrame) -> dict[str, DataFrame]:
-    """Row key and invoice of every dependent row, by table."""
-    targets = keys_of(invoices, "tx_invoice_id")
-    lines = T.tx_transaction.select("tx_transaction_id", "tx_invoice_id", "tx_type_id", "item_id").join(
-        targets, "tx_invoice_id", "left_semi"
-    )
-    line_keys = lines.select("tx_transaction_id", "tx_invoice_id")
-    sales = lines.where(F.col("tx_type_id") == TX_SALE).select("tx_transaction_id", "tx_invoice_id")
-    payments = (
-        lines.where(F.col("tx_type_id") == TX_PAYMENT)
-        .select(F.col("item_id").alias("tx_payment_id"), "tx_invoice_id")
-        .distinct()
-        .join(T.tx_payment.select("tx_payment_id"), "tx_payment_id", "left_semi")
-    )
-    activities = T.activity.select("activity_id", "tx_transaction_id").join(sales, "tx_transaction_id")
-
-    def by(table: str, column: str, parents: DataFrame) -> DataFrame:
-        key = key_of(table)
-        return T[table].select(*dict.fromkeys([key, column])).join(parents, column).select(
-            F.col(key).alias("row_key"), "tx_invoice_id"
-        )
 
-    return {
-        "payment_request_item": by("payment_request_item", "tx_transaction_id", line_keys),
-        "payment_request": by("payment_request", "tx_payment_id", payments),
-        "invoice_request_item": by("invoice_request_item", "tx_transaction_id", line_keys),
-        "invoice_request": T.invoice_request.select(
-            F.col("invoice_request_id").alias("row_key"), "tx_invoice_id"
-        ).join(targets, "tx_invoice_id", "left_semi").select("row_key", "tx_invoice_id"),
-        "activity_transaction": by("activity_transaction", "activity_id", activities.select("activity_id", "tx_invoice_id")),
-        "activity": activities.select(F.col("activity_id").alias("row_key"), "tx_invoice_id"),
-        "payment_process_request": by("payment_process_request", "tx_payment_id", payments),
-        "tx_payment": payments.select(F.col("tx_payment_id").alias("row_key"), "tx_invoice_id"),
-        "member_rental": by("member_rental", "tx_transaction_id", line_keys),
-        "tx_transaction": line_keys.select(F.col("tx_transaction_id").alias("row_key"), "tx_invoice_id"),
-        "tx_invoice": T.tx_invoice.join(targets, "tx_invoice_id", "left_semi").select(
-            F.col("tx_invoice_id").alias("row_key"), "tx_invoice_id"
-        ),
-    }
+
+class _Targets:
+    """Invoices to remove with their ledger lines and payments, stored once for all branches."""
+
+    def __init__(self, T: Tables, targets: DataFrame, lines: DataFrame, payments: DataFrame):
+        self.T, self.invoices, self.lines, self.payments = T, targets, lines, payments
+
+    @classmethod
+    def of(cls, T: Tables, invoices: DataFrame) -> _Targets:
+        targets = stored(keys_of(invoices, "tx_invoice_id"), "removal-targets")
+        lines = stored(
+            T.tx_transaction.select("tx_transaction_id", "tx_invoice_id", "tx_type_id", "item_id").join(
+                targets, "tx_invoice_id", "left_semi"
+            ),
+            "removal-lines",
+        )
+        payments = (
+            lines.where(F.col("tx_type_id") == TX_PAYMENT)
+            .select(F.col("item_id").alias("tx_payment_id"), "tx_invoice_id")
+            .distinct()
+            .join(T.tx_payment.select("tx_payment_id"), "tx_payment_id", "left_semi")
+        )
+        return cls(T, targets, lines, stored(payments, "removal-payments"))
+
+    def without(self, invoices: DataFrame) -> _Targets:
+        """The same less some invoices."""
+        parts = (self.invoices, self.lines, self.payments)
+        return _Targets(self.T, *[part.join(invoices, "tx_invoice_id", "left_anti") for part in parts])
+
+    def sales(self) -> DataFrame:
+        return self.lines.where(F.col("tx_type_id") == TX_SALE)
+
+    def keys(self, table: str) -> DataFrame:
+        """Keys of the rows of ``table`` that depend on the invoices."""
+        column, parents = {
+            "payment_request_item": ("tx_transaction_id", self.lines),
+            "payment_request": ("tx_payment_id", self.payments),
+            "invoice_request_item": ("tx_transaction_id", self.lines),
+            "invoice_request": ("tx_invoice_id", self.invoices),
+            "activity": ("tx_transaction_id", self.sales()),
+            "payment_process_request": ("tx_payment_id", self.payments),
+            "tx_payment": ("tx_payment_id", self.payments),
+            "member_rental": ("tx_transaction_id", self.lines),
+            "tx_transaction": ("tx_transaction_id", self.lines),
+            "tx_invoice": ("tx_invoice_id", self.invoices),
+        }.get(table) or ("activity_id", self.keys("activity").withColumnRenamed("row_key", "activity_id"))
+        named = keys_of(parents, column)
+        if table == "tx_transaction":  # the lines are rows of the table already
+            return named.select(F.col(column).alias("row_key"))
+        return self.T[table].join(named, column, "left_semi").select(F.col(key_of(table)).alias("row_key"))
+
+    def blocked(self) -> DataFrame:
+        """Invoices that a request or payment request refers to, and from where.
+
+        Referring rows are reduced to what they name before they meet the invoices, so a payment
+        over many invoices and with many requests makes one row for each invoice.
+        """
+        parts = []
+        for table, column, parents in (
+            ("payment_request_item", "tx_transaction_id", self.lines),
+            ("payment_request", "tx_payment_id", self.payments),
+            ("invoice_request_item", "tx_transaction_id", self.lines),
+            ("invoice_request", "tx_invoice_id", self.invoices),
+        ):
+            named = keys_of(self.T[table], column)
+            hit = keys_of(parents.join(named, column, "left_semi"), "tx_invoice_id")
+            parts.append(hit.select("tx_invoice_id", F.lit(table).alias("referrer")))
+        return reduce(DataFrame.unionByName, parts)
 
 
 def blocked_invoices(T: Tables, invoices: DataFrame) -> DataFrame:
     """Invoices that a request or payment request still refers to, and from where."""
-    references = _references(T, invoices)
-    parts = [references[table].select("tx_invoice_id", F.lit(table).alias("referrer")) for table in GUARDED]
-    return reduce(DataFrame.unionByName, parts).distinct()
+    return _Targets.of(T, invoices).blocked()
 
 
 def removal_plan(T: Tables, invoices: DataFrame, protect: bool = True) -> DataFrame:
@@ -86,20 +113,17 @@ def removal_plan(T: Tables, invoices: DataFrame, protect: bool = True) -> DataFr
     cleared; without it references are cleared.  The plan is the dry run: nothing
     is written until it is applied.
     """
+    targets = _Targets.of(T, invoices)
     if protect:
-        invoices = keys_of(invoices, "tx_invoice_id").join(
-            blocked_invoices(T, invoices).select("tx_invoice_id"), "tx_invoice_id", "left_anti"
-        )
-    references = _references(T, invoices)
+        targets = targets.without(stored(keys_of(targets.blocked(), "tx_invoice_id"), "blocked-invoices"))
     parts = [
-        references[table]
-        .select(
+        targets.keys(table).select(
             F.lit(n).alias("step"), F.lit(table).alias("table_name"), "row_key", F.lit(action).alias("action")
         )
         for n, (table, action, _) in enumerate(ACTIONS, start=1)
         if not (protect and action == "clear")
     ]
-    return reduce(DataFrame.unionByName, parts).distinct()
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _planned(plan: DataFrame, table: str) -> DataFrame:
@@ -107,17 +131,21 @@ def _planned(plan: DataFrame, table: str) -> DataFrame:
 
 
 def run_label(started: datetime) -> str:
-    """Folder name of a removal run: day, hour, minute and second of its start."""
-    return f"invoice_removal_{started.day}_{started.hour}_{started.minute}_{started.second}"
+    """Folder name of a removal run, from its start to the second."""
+    return f"invoice_removal_{started:%Y_%m_%d_%H_%M_%S}"
 
 
-def before_images(T: Tables, plan: DataFrame, run_folder: str) -> dict[str, DataFrame]:
+def before_images(
+    T: Tables, plan: DataFrame, run_folder: str, tables: Sequence[str] = tuple(table for table, _, _ in ACTIONS)
+) -> dict[str, DataFrame]:
     """Copy every row the plan touches to ``run_folder/<table>`` and read it back.
 
+    Store the plan by ``table_name``, so that each table reads its own keys only.
+
     A folder that exists already stops the run, so no image is ever overwritten.
     """
     images = {}
-    for table, _, _ in ACTIONS:
+    for table in tables:
         path = f"{run_folder}/{table}"
         rows = T[table].join(_planned(plan, table), key_of(table), "left_semi").select(*T[table].columns)
         rows.write.mode("errorifexists").parquet(path)

@@ -11,6 +11,7 @@ from duesmith.functions.relations import keys_of, live, number_within
 from duesmith.functions.times import ts, window
 from duesmith.schema import ACTIVE, ENTITY_AGREEMENT
 from duesmith.sources.tables import Tables
+from duesmith.sources.workspace import stored
 
 
 def double_billed(T: Tables, from_date: datetime | str, to_date: datetime | str) -> DataFrame:
@@ -174,6 +175,7 @@ def cancelled_agreements(T: Tables, cutoff: datetime | str) -> DataFrame:
 def exclude_legitimate(missing: DataFrame, T: Tables, cutoff: datetime | str) -> DataFrame:
     """Missing requests less those of agreements that owe nothing: zero-priced, fully
     sponsored, cancelled before the cutoff, or billed to a zero-amount invoice."""
+    missing = stored(missing, "missing-requests")
     items = T.member_agreement_item.select("member_agreement_item_id", "member_agreement_id").join(
         keys_of(missing, "member_agreement_id"), "member_agreement_id", "left_semi"
     )
@@ -200,14 +202,16 @@ def exclude_legitimate(missing: DataFrame, T: Tables, cutoff: datetime | str) ->
     return missing.join(keys_of(excused, "member_agreement_id"), "member_agreement_id", "left_anti")
 
 
-def sync_worklist(missing: DataFrame, T: Tables, cutoff: datetime | str, command: str) -> DataFrame:
+def sync_worklist(
+    missing: DataFrame, T: Tables, cutoff: datetime | str, command: str, ordered: bool = False
+) -> DataFrame:
     """Agreements still to re-sync by unit, with the command text that would do it.
 
-    ``command`` holds ``{unit}`` and ``{agreement}``; nothing is executed.
+    ``ordered`` sorts by unit and agreement.  ``command`` holds ``{unit}`` and ``{agreement}``; nothing is executed.
     """
     head, rest = command.split("{unit}")
     middle, tail = rest.split("{agreement}")
-    return (
+    work = (
         T.member_agreement.select("business_unit_id", "member_agreement_id")
         .join(keys_of(missing, "member_agreement_id"), "member_agreement_id", "left_semi")
         .join(cancelled_agreements(T, cutoff), "member_agreement_id", "left_anti")
@@ -220,3 +224,4 @@ def sync_worklist(missing: DataFrame, T: Tables, cutoff: datetime | str, command
             ),
         )
     )
+    return work.orderBy("business_unit_id", "member_agreement_id") if ordered else work

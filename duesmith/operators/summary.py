@@ -173,9 +173,12 @@ def billing_summary(
     batched_only: bool = False,
     gateway_batch: int | None = None,
     reference_mode: bool = False,
+    ordered: bool = False,
 ) -> DataFrame:
     """Who was billed for what in the window, with tax, tender, decline and payment.
 
+    ``ordered`` sorts by invoice, group and transaction.
+
     A group may hold several distinct sale or tax amounts.  By default each row sees
     their sum once.  ``reference_mode`` reproduces the original result, in which
     every pair of them repeats the row; the repeats are counted, never built.
@@ -242,7 +245,7 @@ def billing_summary(
     tender = F.when(F.col("tender_interface_id").isin(*CARD_INTERFACES), F.col("card")).otherwise(
         F.col("tender_type_name")
     )
-    return rows.groupBy("tx_transaction_id", "tx_invoice_id", "group_id").agg(
+    report = rows.groupBy("tx_transaction_id", "tx_invoice_id", "group_id").agg(
         F.max("division_id").alias("division_id"),
         F.max("division_name").alias("division_name"),
         F.max(F.when(F.col("bu_name").isNotNull(), F.col("business_unit_id"))).alias("business_unit_id"),
@@ -272,3 +275,4 @@ def billing_summary(
         money(F.sum(F.when(paid, own).otherwise(0))).alias("payment"),
         *_currency_columns(end, copies),
     )
+    return report.orderBy("tx_invoice_id", "group_id", "tx_transaction_id") if ordered else report

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duesmith.functions.money import money
+from duesmith.functions.relations import key_list
 from duesmith.operators import link_defects, removal, schedule_defects
 from duesmith.operators.cascade import STEPS, Cascade, agreements_of_members, key_of
 from duesmith.plans import Query
@@ -224,6 +225,39 @@ def _survivors(T: Tables) -> DataFrame:
     return _sizes(T, _cascade(T).apply(), [step.table for step in STEPS])
 
 
+def _old_form(T: Tables) -> DataFrame:
+    """The cascade as it was before promotions were stored."""
+    cancelled = schedule_defects.cancelled_agreements(T, CANCELLED_BEFORE)
+    return Cascade(T, T.member_agreement.join(cancelled, "member_agreement_id", "left_semi"), promotions=False).plan()
+
+
+OLD_PLAN = f"WITH {ROOTS}" + " UNION ALL ".join(
+    f"\nSELECT {n} AS step, '{table}' AS table_name, {key_of(table)} AS row_key FROM {{{table}}} WHERE {condition}"
+    for n, (table, condition) in enumerate(CONDITIONS.items(), start=1)
+    if not table.startswith(("promotion_", "member_agreement_promotion"))
+)
+
+# Ids as a user types them into a script.
+LISTED = (4, 8, 12, 16, 100, 104, 1_000_000)
+
+
+def _listed(T: Tables) -> DataFrame:
+    return Cascade(T, key_list(T.member_agreement.sparkSession, "member_agreement_id", LISTED)).plan()
+
+
+LISTED_PLAN = PLAN.replace(
+    AGREEMENTS, f"\nSELECT member_agreement_id FROM {{member_agreement}} WHERE member_agreement_id IN {LISTED}"
+)
+
+SURVIVING_PAYMENTS = f"""WITH {ROOTS}, priced AS ({_LEFT_PAYMENTS})
+SELECT p.* REPLACE (
+  CAST(CASE WHEN n.tx_payment_id IS NULL THEN p.amount ELSE n.amount END AS DECIMAL(18,2)) AS amount,
+  CASE WHEN n.tx_payment_id IS NULL THEN p.is_reversal ELSE n.is_reversal END AS is_reversal)
+FROM {{tx_payment}} p
+LEFT JOIN priced n ON n.tx_payment_id = p.tx_payment_id AND p.tx_payment_id IN (SELECT tx_payment_id FROM pay)
+WHERE NOT ({CONDITIONS["tx_payment"]})"""
+
+
 def _repriced(T: Tables) -> DataFrame:
     return _cascade(T).repriced_payments().preview(T).withColumn("new_amount", money("new_amount"))
 
@@ -237,7 +271,7 @@ def _dry_run(T: Tables) -> DataFrame:
 
 
 def _images(T: Tables) -> DataFrame:
-    plan = stored(_dry_run(T), "removal-plan")
+    plan = stored(_dry_run(T), "removal-plan", by=["table_name"])
     images = removal.before_images(T, plan, new_folder(plan.sparkSession, "before-images"))
     parts = [
         rows.select(F.lit(table).alias("table_name"), F.col(key_of(table)).alias("row_key"))
@@ -246,8 +280,27 @@ def _images(T: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _image_of(table: str):
+    def image(T: Tables) -> DataFrame:
+        plan = stored(_dry_run(T), "removal-plan", by=["table_name"])
+        return removal.before_images(T, plan, new_folder(plan.sparkSession, "before-images"), [table])[table]
+
+    return image
+
+
+def _cleared(table: str):
+    """Rows of a cleared table that the plan names, after it was applied."""
+
+    def rows(T: Tables) -> DataFrame:
+        plan = stored(_dry_run(T), "removal-plan", by=["table_name"])
+        keys = plan.where(F.col("table_name") == table).select(F.col("row_key").alias(key_of(table)))
+        return removal.apply_removal(T, plan)[table].join(keys, key_of(table), "left_semi").select(*T[table].columns)
+
+    return rows
+
+
 def _removed(T: Tables) -> DataFrame:
-    plan = stored(_dry_run(T), "removal-plan")
+    plan = stored(_dry_run(T), "removal-plan", by=["table_name"])
     after = removal.apply_removal(T, plan)
     parts = [
         after[table].agg(
@@ -294,5 +347,19 @@ QUERIES: dict[str, Query] = {
     "invoice_removal_plan": Query(lambda T: removal.removal_plan(T, _suspects(T)), PROTECTED),
     "removal_dry_run": Query(_dry_run, DRY_RUN),
     "removal_apply": Query(_removed, REMOVED),
+    "cascade_surviving_payments": Query(lambda T: _cascade(T).apply()["tx_payment"], SURVIVING_PAYMENTS),
+    "agreement_cascade_plan_old_form": Query(_old_form, OLD_PLAN),
+    "agreement_cascade_plan_listed": Query(_listed, LISTED_PLAN),
+    **{
+        f"before_image_{table}": Query(_image_of(table), f"WITH {_TARGETS} SELECT * FROM {{{table}}} WHERE {condition}")
+        for table, condition in (_DELETES[8], _DELETES[10], _CLEARS[2])
+    },
+    **{
+        f"removal_cleared_{table}": Query(
+            _cleared(table),
+            f"WITH {_TARGETS} SELECT * REPLACE (NULL AS {_CLEARED_COLUMNS[table]}) FROM {{{table}}} WHERE {condition}",
+        )
+        for table, condition in _CLEARS.values()
+    },
     "before_images": Query(_images, f"SELECT table_name, row_key FROM ({DRY_RUN}) p"),
 }

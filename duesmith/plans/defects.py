@@ -210,16 +210,14 @@ WHERE mapr.process_type IS NULL"""
 # --- payments -----------------------------------------------------------------
 
 _OVERPAID_CTE = """
-unlinked AS (SELECT tx_invoice_id FROM {tx_transaction}
-             WHERE link_type_id IS NULL AND tx_type_id = 4 AND is_accounting_credit),
-linked AS (SELECT t.tx_invoice_id FROM {tx_transaction} t JOIN unlinked u ON u.tx_invoice_id = t.tx_invoice_id
-           WHERE t.link_type_id IS NOT NULL AND t.tx_type_id = 4),
-due AS (SELECT tx_invoice_id, sum(amount) AS amount FROM {tx_transaction}
-        WHERE tx_invoice_id IN (SELECT tx_invoice_id FROM linked) AND NOT is_accounting_credit GROUP BY tx_invoice_id),
-paid AS (SELECT tx_invoice_id, sum(amount) AS amount FROM {tx_transaction}
-         WHERE tx_invoice_id IN (SELECT tx_invoice_id FROM linked) AND is_accounting_credit GROUP BY tx_invoice_id),
-over AS (SELECT t.* FROM due d JOIN paid p ON p.tx_invoice_id = d.tx_invoice_id
-         JOIN {tx_invoice} t ON t.tx_invoice_id = p.tx_invoice_id WHERE d.amount < p.amount)"""
+flags AS (SELECT tx_invoice_id,
+                 bool_or(tx_type_id = 4 AND link_type_id IS NULL AND is_accounting_credit) AS unlinked,
+                 bool_or(tx_type_id = 4 AND link_type_id IS NOT NULL) AS linked,
+                 sum(amount) FILTER (WHERE NOT is_accounting_credit) AS charged,
+                 sum(amount) FILTER (WHERE is_accounting_credit) AS credited
+          FROM {tx_transaction} GROUP BY tx_invoice_id),
+over AS (SELECT t.* FROM flags JOIN {tx_invoice} t USING (tx_invoice_id)
+         WHERE unlinked AND linked AND charged < credited)"""
 
 OVERPAID = f"""WITH {_OVERPAID_CTE}
 SELECT pr.role_id, c.first_name, c.last_name, t.tx_invoice_id, t.target_date, bu.name AS unit_name
@@ -365,6 +363,9 @@ WHERE tx_payment_id IS NULL AND invoice_request_id IN (SELECT invoice_request_id
     "sync_worklist": Query(
         lambda T: schedule_defects.sync_worklist(unexcused(T), T, CUTOFF, SYNC_COMMAND), WORKLIST
     ),
+    "sync_worklist_in_order": Query(
+        lambda T: schedule_defects.sync_worklist(unexcused(T), T, CUTOFF, SYNC_COMMAND, ordered=True), WORKLIST
+    ),
     "missing_payment_transactions": Query(link_defects.missing_payment_tx, MISSING_TX_ITEMS),
     "missing_payment_transactions_reference_mode": Query(
         lambda T: link_defects.missing_payment_tx(T, reference_mode=True), MISSING_TX
@@ -382,6 +383,7 @@ WHERE tx_payment_id IS NULL AND invoice_request_id IN (SELECT invoice_request_id
         lambda T: link_defects.exposed_payment_requests(T, exposure(T)), EXPOSED_PAYMENTS
     ),
     "overpaid_invoices": Query(payment_defects.overpaid, OVERPAID),
+    "overpaid_in_order": Query(lambda T: payment_defects.overpaid(T, ordered=True), OVERPAID),
     "overpaid_with_org": Query(lambda T: payment_defects.overpaid(T, include_orgs=True), OVERPAID_ORGS),
     "overpaid_by_account": Query(payment_defects.overpaid_by_account, OVERPAID_COUNT),
     "cash_overcredited_invoices": Query(

@@ -314,6 +314,21 @@ UNION ALL SELECT 'payment_request_items', l.member_agreement_id, pi.payment_requ
   JOIN {payment_request_item} pi ON pi.payment_request_id = p.payment_request_id"""
 
 
+def _detail(part: str):
+    return lambda T: agreements.billing_details(T, T.member_agreement, [part])[part]
+
+
+_LIVE = "SELECT * FROM {invoice_request} WHERE coalesce(process_type, 0) <> 1"
+_OF_LIVE = f"(SELECT invoice_request_id, member_agreement_id FROM ({_LIVE}) r) l"
+DETAILS = {
+    "invoice_requests": _LIVE,
+    "invoice_request_items": f"SELECT i.*, l.member_agreement_id FROM {{invoice_request_item}} i JOIN {_OF_LIVE} USING (invoice_request_id)",
+    "payment_requests": f"SELECT p.*, l.member_agreement_id FROM {{payment_request}} p JOIN {_OF_LIVE} USING (invoice_request_id)",
+    "payment_request_items": f"""SELECT i.*, l.member_agreement_id FROM {{payment_request_item}} i
+JOIN {{payment_request}} p USING (payment_request_id) JOIN {_OF_LIVE} ON l.invoice_request_id = p.invoice_request_id""",
+}
+
+
 def _filled(T: Tables) -> DataFrame:
     return aging.zero_fill(stored(aging.ar_aging(T, AS_OF), "aging"), T)
 
@@ -409,6 +424,9 @@ LEFT JOIN {item} it ON it.item_id = t.item_id WHERE nth = 1""",
         f"WITH base AS ({BASE}) SELECT tx_invoice_id, {SPLIT_COLUMNS} FROM base b GROUP BY tx_invoice_id",
     ),
     "billing_summary": Query(lambda T: summary.billing_summary(T, FROM, TO, ZONE), SUMMARY),
+    "billing_summary_in_order": Query(
+        lambda T: summary.billing_summary(T, FROM, TO, ZONE, ordered=True), SUMMARY
+    ),
     "billing_summary_reference_mode": Query(
         lambda T: summary.billing_summary(T, FROM, TO, ZONE, reference_mode=True), FANNED_SUMMARY
     ),
@@ -422,6 +440,7 @@ LEFT JOIN {item} it ON it.item_id = t.item_id WHERE nth = 1""",
         "SELECT count(*) AS active FROM {member_agreement} WHERE status IN (5, 8, 9, 11, 10, 4)",
     ),
     "agreement_billing_details": Query(_billing_details, BILLING_DETAILS),
+    **{f"agreement_billing_{part}": Query(_detail(part), sql) for part, sql in DETAILS.items()},
     "agreement_items_perpetual": Query(
         lambda T: agreements.agreement_items(T, T.member_agreement).withColumn("price", money("price")),
         """SELECT mai.member_agreement_item_id, mai.member_agreement_id, mai.item_id,

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 _local_folders: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,11 +32,23 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a table that several branches read and give back the stored copy."""
+def stored(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """Write a table that several branches read and give back the stored copy.
+
+    ``by`` names columns that make folders, for readers that want some of their values only.
+    """
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete what this application has stored so far; nothing lazy may still need it."""
+    for path in _made.pop(spark.sparkContext.applicationId, []):
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -106,4 +106,4 @@ def test_old_form_leaves_promotions(spark):
 
 
 def test_run_label():
-    assert removal.run_label(datetime(2014, 9, 19, 7, 5, 3)) == "invoice_removal_19_7_5_3"
+    assert removal.run_label(datetime(2014, 9, 19, 7, 5, 3)) == "invoice_removal_2014_09_19_07_05_03"
