@@ -232,6 +232,12 @@ def create_missing_tx(T: Tables, missing: DataFrame, style: str = "card") -> Cre
         "target_date": F.col("target_date"),
         "target_date_utc": F.col("target_date_utc"),
         "target_business_unit_id": F.col("target_business_unit_id"),
+        "target_date_zone_format": F.col("target_date_zone_format"),
+        "quantity": F.lit(None),
+        "unit_price": F.lit(None),
+        "comments": F.lit(""),
+        "work_unit_id": F.lit(0),
+        "price_id": F.lit(0),
     }
     target = T.tx_transaction.schema
     inserts = missing.join(counts, "tx_invoice_id").select(

@@ -195,7 +195,11 @@ SELECT (SELECT max(tx_transaction_id) FROM {{tx_transaction}}) + 1 + c.payment_r
        {description} AS description,
        CAST((SELECT count(*) + 1 FROM {{tx_transaction}} t WHERE t.tx_invoice_id = c.tx_invoice_id) AS INT)
          AS display_order,
-       c.target_date, c.target_date_utc, c.target_business_unit_id
+       c.target_date, c.target_date_utc, c.target_business_unit_id,
+       (SELECT p.target_date_zone_format FROM {{tx_payment}} p WHERE p.tx_payment_id = c.tx_payment_id)
+         AS target_date_zone_format,
+       CAST(NULL AS DECIMAL(16,7)) AS quantity, CAST(NULL AS DECIMAL(12,3)) AS unit_price, '' AS comments,
+       CAST(0 AS BIGINT) AS work_unit_id, 0 AS price_id
 FROM chosen c"""
 
 

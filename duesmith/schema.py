@@ -98,7 +98,8 @@ TABLES: dict[str, str] = {
         "tx_transaction_id bigint, tx_invoice_id bigint, tx_type_id int, group_id int, item_id bigint, "
         "amount decimal(18,2), is_accounting_credit boolean, link_type_id int, link_id bigint, "
         "description string, display_order int, target_date timestamp_ntz, target_date_utc "
-        "timestamp_ntz, target_business_unit_id int"
+        "timestamp_ntz, target_business_unit_id int, target_date_zone_format string, quantity "
+        "decimal(16,7), unit_price decimal(12,3), comments string, work_unit_id bigint, price_id int"
     ),
     "tx_payment": (
         "tx_payment_id bigint, client_account_id bigint, party_role_id bigint, target_business_unit_id "

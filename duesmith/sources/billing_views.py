@@ -208,7 +208,12 @@ SELECT l_orderkey * 10 + l_linenumber AS tx_transaction_id, l_orderkey AS tx_inv
                          WHEN 3 THEN 'DISC' ELSE 'Bank Draft(US)' END || ' | Payment request due'
             END AS description,
        CAST(l_linenumber AS INT) AS display_order, ship AS target_date, ship + INTERVAL '5' HOUR AS target_date_utc,
-       CAST(l_orderkey % 26 AS INT) AS target_business_unit_id
+       CAST(l_orderkey % 26 AS INT) AS target_business_unit_id,
+       CASE WHEN l_orderkey % 2 = 0 THEN 'EST' ELSE 'CST' END AS target_date_zone_format,
+       CAST(CASE WHEN l_linenumber IN (1, 6) THEN 1 END AS DECIMAL(16,7)) AS quantity,
+       CAST(CASE WHEN l_linenumber IN (1, 6) THEN CAST(cents AS DECIMAL(18,0)) * 0.01 END AS DECIMAL(12,3)) AS unit_price,
+       CASE WHEN l_linenumber = 7 THEN 'declined or paid late' ELSE '' END AS comments,
+       CAST(0 AS BIGINT) AS work_unit_id, CAST(l_orderkey % 9 AS INT) AS price_id
 FROM (SELECT l_orderkey, l_linenumber, sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS cents,
              max(l_partkey) AS part_key, max(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS returned, min(l_shipdate) AS ship
       FROM {{lineitem}} GROUP BY l_orderkey, l_linenumber) l"""
