@@ -190,7 +190,8 @@ def near_groups(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIU
     named = distinct.join(moved, "fp", "left").select(
         "fp", F.coalesce("component_id", "smallest").alias("component_id")
     )
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    # Stored, so that the join is free to split a fingerprint that very many documents share.
+    return marked.join(stored(named, "named-fingerprints"), "fp").select("doc_id", "fp", "component_id")
 
 
 def similar_radius(similarity: float, bits: int) -> int:
@@ -243,7 +244,7 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     tables = distinct.select(F.posexplode("keys").alias("table", "key"), "node", *names)
     roots = components(_compared(tables, similar_radius(similarity, 64 * WIDE)))
     named = distinct.join(roots, "node", "left").select(*names, F.coalesce("root", "node").alias("root"))
-    return marked.join(named, names).select("row_key", "root")
+    return marked.join(stored(named, "named-sketches"), names).select("row_key", "root")
 
 
 def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
