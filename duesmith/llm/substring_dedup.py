@@ -138,14 +138,15 @@ def _windows(texts: DataFrame, window: int) -> DataFrame:
 def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> DataFrame:
     """``row_key, start, n_windows``: runs of windows whose words also start anywhere else."""
     parsed = stored(factors(docs, window, run), "factors")
-    shared = parsed.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # Key lists are stored before they are joined: a join of two plain shuffles can split a hot key.
+    shared = stored(parsed.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "anchors")
     known = stored(parsed.join(shared, "anchor", "left_semi"), "shared-factors")
 
     contents = known.groupBy("anchor", "content").agg(
         F.count("*").alias("copies"), F.min(F.struct("row_key", "start", "n_windows")).alias("one")
     )
     contents = stored(contents, "contents")
-    several = contents.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    several = stored(contents.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "several")
     compared = (
         contents.join(several, "anchor", "left_semi")
         .groupBy("one.row_key")
@@ -154,6 +155,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> Dat
     texts = _keyed(docs).dropDuplicates(["row_key"]).join(compared, "row_key")
     windows = stored(_windows(texts.select("row_key", "wanted", "text"), window), "windows")
     twice = windows.groupBy("anchor", "seen").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "seen")
+    twice = stored(twice, "twice")
     at_borders = windows.join(twice, ["anchor", "seen"], "left_semi").select(
         "row_key", "start", F.lit(1).alias("n_windows")
     )
