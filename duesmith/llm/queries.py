@@ -31,4 +31,5 @@ QUERIES = {
 CHECKS: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.OP1_CHECK,
     "op6_substring_dedup": substring_dedup.OP6_CHECK,
+    "op10_warc": warc.OP10_CHECK,
 }

@@ -193,22 +193,18 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
 
 
 def resolved(records: DataFrame) -> DataFrame:
-    """Each record with the length and digest of the whole payload, revisits through what they refer to."""
-    full = records.where("record_type = 'response'")
-    originals = full.groupBy(F.col("page_id").alias("refers_to")).agg(
-        F.first("bytes").alias("full_bytes"), F.first("digest").alias("full_digest")
-    )
-    return records.join(originals, "refers_to", "left").select(
-        "page_id",
-        F.coalesce("full_bytes", "bytes").alias("payload_bytes"),
-        F.coalesce("full_digest", "digest").alias("payload_digest"),
-        "record_type",
-        "refers_to",
-        "url",
-        "captured",
-        "file",
-        "place",
+    """Each record (stored) with length and digest of the whole payload, revisits through what they refer to."""
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "captured", "file", "place"]
+    own = records.withColumnsRenamed({"bytes": "payload_bytes", "digest": "payload_digest"}).select(*columns)
+    full = own.where("record_type = 'response'")
+    originals = full.groupBy(F.col("page_id").alias("original")).agg(
+        F.max(F.struct("payload_bytes", "payload_digest")).alias("whole")
     )
+    # A stored table next to the revisits leaves the join free to split a page that very many refer to.
+    originals = stored(originals, "originals")
+    again = own.where("record_type = 'revisit'").drop("payload_bytes", "payload_digest")
+    revisits = again.join(originals, F.col("refers_to") == F.col("original"), "left")
+    return full.unionByName(revisits.select("*", "whole.*").select(*columns))
 
 
 def url_key(url: str) -> str:
@@ -300,11 +296,29 @@ def archive(pages: DataFrame, path: str) -> DataFrame:
     total = pages.agg(F.count("*").alias("n"), F.sum(F.octet_length("html")).alias("bytes")).first()
     records_each = max(1, total["n"] * FILE_BYTES // max(total["bytes"] or 0, 1))
     write_archives(with_revisits(digests(pages)), f"{path}/warc", min(records_each, 1 << 20))
-    records = resolved(read_archives(spark, f"{path}/warc"))
-    return capture_index(stored(records, "records"))
+    records = stored(read_archives(spark, f"{path}/warc"), "records")
+    return capture_index(stored(resolved(records), "resolved-records"))
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive(read_table(spark, sf_dir, "pages"), new_folder(spark, "archives")).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured"
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+OP10_CHECK = """
+WITH signed AS (
+  SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS payload_bytes,
+         sha1(coalesce(html, '')) AS digest
+  FROM pages
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda k: substr(
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST(1 + ((CAST('0x' || substr(digest, CAST(1 + 5 * (k // 4) AS INT), 5) AS INT) >> CAST(15 - 5 * (k % 4) AS INT)) & 31) AS INT),
+         1)), '') AS payload_digest,
+       CASE WHEN page_id = max(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> max(page_id) OVER same THEN max(page_id) OVER same END AS refers_to
+FROM signed
+WINDOW same AS (PARTITION BY payload)
+"""
