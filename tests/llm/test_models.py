@@ -219,6 +219,17 @@ def test_answer_decides_between_paraphrases(spark):
     assert [r["doc_id"] for r in decontamination.leaks(docs, benchmark).collect()] == [2]
 
 
+def test_words_strewn_over_a_document_are_no_leak(spark):
+    rng = random.Random(5)
+    item, short = _words(rng, 20), _words(rng, 4)
+    strewn = [w for x in item for w in (x, "far", "from", "it")]
+    docs = cases.documents(
+        spark, [(1, " ".join(strewn)), (2, " ".join([*short[:2], "gap", *short[2:]])), (3, " ".join(["so", *short, "on"]))]
+    )
+    benchmark = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(short))], "item_id int, text string")
+    assert [(r["doc_id"], r["item_id"]) for r in decontamination.leaks(docs, benchmark).collect()] == [(3, 2)]
+
+
 def test_latent_search_recall_against_exact_cosines(spark):
     """Every 20th passage's own words as a benchmark: each must be found again."""
     rows = cases.duck("SELECT doc_id, text FROM documents").fetchall()
