@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 CHUNK = 65_536
+CHUNK_WIDE = 1 << 40
 
 
 def live(process_type: Column | str = "process_type") -> Column:
@@ -65,37 +66,41 @@ def one_per_key(df: DataFrame, key: str | Sequence[str], *values: str) -> DataFr
 
 
 def number_within(
-    df: DataFrame, key: str, leading: str, row_id: str, out: str, chunk: int = CHUNK
+    df: DataFrame, key: str, leading: str, row_id: str, out: str, chunk: int = CHUNK, wide: int = CHUNK_WIDE
 ) -> DataFrame:
     """``row_number() over (partition by key order by leading, row_id)`` for hot keys.
 
-    One window task per key would hold a hot key whole.  Rows are numbered in
-    chunks of ``(leading, row_id div chunk)``, which keep the order, and a running
-    sum over the chunk counts gives each chunk its offset.
+    One window task per key would hold a hot key whole.  Rows are numbered in chunks of
+    ``(leading, row_id div chunk)``, which keep the order.  A chunk's offset is the count of the
+    chunks before it in its wide chunk (``row_id div wide``) plus that of all wide chunks before:
+    two running sums, so that ids spread over 64 bits, which make every row a chunk of its own,
+    still leave no task more than ``wide / chunk`` or ``2**63 / wide`` counts for each leading value.
     """
-    slot = F.expr(f"{row_id} div {chunk}")
-    chunked = df.withColumn("_slot", slot)
-    parts = [key, leading, "_slot"]
-    before = Window.partitionBy(key).orderBy(leading, "_slot").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        chunked.groupBy(*parts)
-        .agg(F.count("*").alias("_rows"))
-        .select(
-            F.col(key).alias("_k"),
-            F.col(leading).alias("_l"),
-            F.col("_slot").alias("_s"),
-            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
-        )
-    )
-    inside = Window.partitionBy(*parts).orderBy(row_id)
-    return (
+    wides, slots = [key, leading, "_wide"], [key, leading, "_wide", "_slot"]
+    chunked = df.withColumn("_slot", F.expr(f"{row_id} div {chunk}")).withColumn("_wide", F.expr(f"{row_id} div {wide}"))
+    counts = chunked.groupBy(*slots).agg(F.count("*").alias("_rows"))
+
+    def running(counts: DataFrame, parts: Sequence[str], order: Sequence[str]) -> Column:
+        frame = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("_rows").over(frame), F.lit(0))
+
+    def named(df: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
+        return df.withColumnsRenamed({column: f"{prefix}{n}" for n, column in enumerate(columns)})
+
+    def matches(columns: Sequence[str], prefix: str) -> Column:
+        test = F.lit(True)
+        for n, column in enumerate(columns):
+            test = test & F.col(column).eqNullSafe(F.col(f"{prefix}{n}"))
+        return test
+
+    wide_counts = counts.groupBy(*wides).agg(F.sum("_rows").alias("_rows"))
+    wide_offsets = wide_counts.select(*wides, running(wide_counts, [key], [leading, "_wide"]).alias("_before_wide"))
+    offsets = counts.select(*slots, running(counts, wides, ["_slot"]).alias("_before"))
+    inside = Window.partitionBy(*slots).orderBy(row_id)
+    numbered = (
         chunked.withColumn("_nth", F.row_number().over(inside))
-        .join(
-            offsets,
-            F.col(key).eqNullSafe(F.col("_k"))
-            & F.col(leading).eqNullSafe(F.col("_l"))
-            & (F.col("_slot") == F.col("_s")),
-        )
-        .withColumn(out, (F.col("_nth") + F.col("_before")).cast("bigint"))
-        .drop("_slot", "_nth", "_k", "_l", "_s", "_before")
+        .join(named(offsets, slots, "_s"), matches(slots, "_s"))
+        .join(named(wide_offsets, wides, "_w"), matches(wides, "_w"))
+        .withColumn(out, (F.col("_nth") + F.col("_before") + F.col("_before_wide")).cast("bigint"))
     )
+    return numbered.select(*df.columns, out)

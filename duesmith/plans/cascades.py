@@ -253,9 +253,9 @@ SURVIVING_PAYMENTS = f"""WITH {ROOTS}, priced AS ({_LEFT_PAYMENTS})
 SELECT p.* REPLACE (
   CAST(CASE WHEN n.tx_payment_id IS NULL THEN p.amount ELSE n.amount END AS DECIMAL(18,2)) AS amount,
   CASE WHEN n.tx_payment_id IS NULL THEN p.is_reversal ELSE n.is_reversal END AS is_reversal)
-FROM {{tx_payment}} p
-LEFT JOIN priced n ON n.tx_payment_id = p.tx_payment_id AND p.tx_payment_id IN (SELECT tx_payment_id FROM pay)
-WHERE NOT ({CONDITIONS["tx_payment"]})"""
+FROM (SELECT * FROM {{tx_payment}} WHERE NOT ({CONDITIONS["tx_payment"]})) p
+LEFT JOIN (SELECT * FROM priced WHERE tx_payment_id IN (SELECT tx_payment_id FROM pay)) n
+  ON n.tx_payment_id = p.tx_payment_id"""
 
 
 def _repriced(T: Tables) -> DataFrame:

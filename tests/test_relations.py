@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from duesmith.functions.relations import left_join_sparse, not_in, number_within, one_per_key
 from duesmith.functions.text import like, token_label
 from duesmith.functions.times import day_crossings, to_utc, ts
@@ -35,6 +37,18 @@ def test_left_join_sparse_equals_a_left_join(spark):
     )
 
 
+@pytest.mark.parametrize("wide", [200, 1 << 40])
+def test_number_within_with_ids_spread_over_64_bits(spark, wide):
+    rng = random.Random(3)
+    rows = [(i % 3 or None, i % 5, rng.randrange(1 << 62) if i % 2 else i) for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, o long, id long")
+    window = Window.partitionBy("k").orderBy("o", "id")
+    expected = df.withColumn("n", F.row_number().over(window).cast("bigint"))
+    got = number_within(df, "k", "o", "id", "n", chunk=50, wide=wide)
+    assert got.columns == expected.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
+
+
 def test_one_per_key_takes_the_smallest(spark):
     df = spark.createDataFrame([(1, 5, 0), (1, 3, 9), (2, 7, 1)], "k long, v long, w long")
     assert as_set(one_per_key(df, "k", "v", "w"), "k", "v", "w") == {(1, 3, 9), (2, 7, 1)}
