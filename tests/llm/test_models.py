@@ -203,6 +203,20 @@ def test_leaks_over_several_blocks_of_items(leaky, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(docs, benchmark).collect()} == planted
 
 
+def test_copies_of_more_passages_than_the_rank_are_found(spark):
+    rng = random.Random(13)
+    vocabulary = _words(rng, 4000)
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(18, 40)))) for i in range(1000)]
+    items.append((1000, " ".join(rng.choices(vocabulary, k=64 * 300))))
+    rows = []
+    for i, (_, text) in enumerate(items[:1000]):
+        rows.append((i, " ".join([*rng.choices(vocabulary, k=60), text, *rng.choices(vocabulary, k=60)])))
+    rows.append((1000, items[1000][1]))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(cases.documents(spark, rows), benchmark).collect()}
+    assert found >= {(i, i) for i in range(1001)}
+
+
 def test_leaks_of_nothing(spark, leaky):
     docs, benchmark, _ = leaky
     assert decontamination.leaks(cases.nothing(spark), benchmark).count() == 0
