@@ -217,6 +217,25 @@ def test_copies_of_more_passages_than_the_rank_are_found(spark):
     assert found >= {(i, i) for i in range(1001)}
 
 
+def test_short_items_in_a_third_of_the_documents_are_found(spark):
+    rng = random.Random(14)
+    items = [(i, " ".join(_words(rng, n))) for i, n in enumerate([5, 15, 16, 15, 24])]
+    rows = []
+    for i in range(600):
+        text = _words(rng, rng.randint(60, 150))
+        if i % 3 == 0:
+            at = rng.randint(0, len(text))
+            text[at:at] = items[i // 3 % 5][1].split()
+        rows.append((i, " ".join(text)))
+    # Every word of the items is in a third of the documents.
+    everything = " ".join(text for _, text in items).split()
+    for i in range(200):
+        rows.append((1000 + i, " ".join(w for x in rng.sample(everything, len(everything)) for w in (x, *_words(rng, 2)))))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(cases.documents(spark, rows), benchmark).collect()}
+    assert {x for x in found if x[0] < 1000} == {(i, i // 3 % 5) for i in range(0, 600, 3)}
+
+
 def test_leaks_of_nothing(spark, leaky):
     docs, benchmark, _ = leaky
     assert decontamination.leaks(cases.nothing(spark), benchmark).count() == 0
