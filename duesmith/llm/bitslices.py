@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 LANES = 64
@@ -116,25 +118,36 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return root
 
 
-def linked(fingerprints: np.ndarray, bucket_ends: np.ndarray, radius: int) -> np.ndarray:
-    """Root row of each fingerprint among those of its bucket; buckets are neighbouring rows.
+def near_pairs(
+    fingerprints: np.ndarray, bucket_ends: np.ndarray, radius: int, together: int = 1 << 20
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows ``a < b`` of one bucket at most ``radius`` bits apart; buckets are neighbouring rows.
 
-    ``bucket_ends`` has, for each row, the end of its bucket.
+    ``bucket_ends`` has, for each row, the end of its bucket.  About ``together`` blocks of rows are
+    compared at a time.
     """
-    n = len(fingerprints)
     planes = planes_of(fingerprints)
-    rows = np.arange(n)
-    last = (bucket_ends - 1) // LANES
-    each = last - rows // LANES + 1
-    query = np.repeat(rows, each)
-    block = rows[query] // LANES + np.arange(len(query)) - np.repeat(np.cumsum(each) - each, each)
-    base = block * LANES
-    lanes = lanes_below(np.clip(bucket_ends[query] - base, 0, LANES)) & ~lanes_below(
-        np.clip(query + 1 - base, 0, LANES)
-    )
-    pairs, masks = within(planes, block, fingerprints, query, lanes, radius)
-    row, lane = set_lanes(masks)
-    return _roots(n, query[pairs[row]], block[pairs[row]] * LANES + lane)
+    rows = np.arange(len(fingerprints))
+    each = (bucket_ends - 1) // LANES - rows // LANES + 1
+    portion = (np.cumsum(each) - 1) // together
+    for some in np.split(rows, np.flatnonzero(np.diff(portion)) + 1):
+        count = each[some]
+        query = np.repeat(some, count)
+        block = query // LANES + np.arange(len(query)) - np.repeat(np.cumsum(count) - count, count)
+        base = block * LANES
+        lanes = lanes_below(np.clip(bucket_ends[query] - base, 0, LANES)) & ~lanes_below(
+            np.clip(query + 1 - base, 0, LANES)
+        )
+        pairs, masks = within(planes, block, fingerprints, query, lanes, radius)
+        row, lane = set_lanes(masks)
+        yield query[pairs[row]], block[pairs[row]] * LANES + lane
+
+
+def linked(fingerprints: np.ndarray, bucket_ends: np.ndarray, radius: int) -> np.ndarray:
+    """Root row of each fingerprint among those of its bucket."""
+    found = list(near_pairs(fingerprints, bucket_ends, radius))
+    a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+    return _roots(len(fingerprints), a, b)
 
 
 def linked_by_search(fingerprints: np.ndarray, radius: int, together: int = 256) -> np.ndarray:

@@ -11,11 +11,13 @@ A bucket reports its links as stars, not pairs; stars of all tables join to comp
 bucket is searched breadth first: what is reached is compared no more, so a dense group of near
 copies costs about its size.
 
-``similar_groups`` finds texts that share at least ``similarity`` of their shingles, which differ in
-too many bits for 64-bit blocks.  It draws fingerprints of 512 bits, whose differing bits tell that
-share to about 0.04, allows the bits that the share leads to and ``MARGIN`` standard deviations, and
-compares those that agree on two smallest shingle hashes in at least one of ``BANDS`` tables.
-A pair at exactly 0.8 misses all of them once in some 28,000 cases.
+``similar_groups`` finds texts that share at least ``similarity`` of their different shingles, which
+differ in too many bits for 64-bit blocks.  Fingerprints of 512 bits only choose candidates: those
+that agree on two smallest shingle hashes in at least one of ``BANDS`` tables and differ in no more
+bits than the share leads to and ``MARGIN`` standard deviations.  Every link is checked on the
+shingles themselves: first the stars of the candidates, then all candidate pairs whose ends the
+checked stars leave apart.  A pair at exactly 0.8 misses all tables once in some 28,000 cases, and
+the bits in about as many.
 
 Null and empty texts have fingerprint zero, linked like any other.  A null ``doc_id`` is never the
 smallest of a component unless it is alone; repeated rows are returned as often as they occur; an
@@ -24,9 +26,10 @@ empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import combinations
-from math import acos, pi, sqrt
+from math import acos, comb, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from duesmith.llm.bitslices import linked, linked_by_search
+from duesmith.llm.bitslices import linked, linked_by_search, near_pairs
 from duesmith.llm.common import id_and_text, read_table, ship_code, texts_of, unused_name
 from duesmith.llm.components import components
 from duesmith.llm.words import mix
@@ -52,7 +55,7 @@ _PORTION = 1 << 15
 #: 64-bit words of the wide fingerprints, and tables that these are compared in.
 WIDE = 8
 BANDS = 10
-MARGIN = 1.5
+MARGIN = 4.0
 _TURNS = np.random.default_rng(5).integers(0, 1 << 63, 2 * BANDS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -120,10 +123,14 @@ def blocks_for(n: int, radius: int) -> int:
     return blocks
 
 
-def _compared(rows: DataFrame, radius: int) -> DataFrame:
-    """Stars ``a, b`` of nodes at most ``radius`` bits apart in rows ``table, key, node, f0, f1, ...``."""
+def _compared(rows: DataFrame, radius: int, told: Callable | None = None) -> DataFrame:
+    """Stars ``a, b`` of nodes at most ``radius`` bits apart in rows ``table, key, node, f0, f1, ...``.
+
+    ``told`` may be given to tell something else than the stars of whole buckets.
+    """
     ship_code(rows.sparkSession)
     # Rows of one bucket meet in one task and are neighbours after the sort.
+    told = told or _stars
     dealt = rows.repartition("table", "key").sortWithinPartitions("table", "key", "node")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,9 +144,9 @@ def _compared(rows: DataFrame, radius: int) -> DataFrame:
             if len(key):
                 whole = int(np.argmax((table == table[-1]) & (key == key[-1])))
             held = [x[whole:] for x in new]
-            yield from _stars([x[:whole] for x in new], radius)
+            yield from told([x[:whole] for x in new], radius)
         if held is not None:
-            yield from _stars(held, radius)
+            yield from told(held, radius)
 
     return dealt.mapInArrow(compare, "a bigint, b bigint")
 
@@ -194,17 +201,40 @@ def near_groups(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIU
     return marked.join(stored(named, "named-fingerprints"), "fp").select("doc_id", "fp", "component_id")
 
 
+@lru_cache
+def _few_differ(similarity: float) -> float:
+    """The largest share of differing bits that so similar texts of few shingles lead to.
+
+    Of ``both`` common shingles and ``x`` and ``y`` others, every number that has a given bit is tried.
+    """
+    worst = 0.0
+    for both in range(1, 25):
+        others = int(both * (1 - similarity) / similarity + 1e-9)
+        for x in range(others + 1):
+            y, differ = others - x, 0
+            for k in range(both + 1):
+                for i in range(x + 1):
+                    for j in range(y + 1):
+                        if (2 * (k + i) > both + x) != (2 * (k + j) > both + y):
+                            differ += comb(both, k) * comb(x, i) * comb(y, j)
+            worst = max(worst, differ / (1 << (both + others)))
+    return worst
+
+
 def similar_radius(similarity: float, bits: int) -> int:
     """Differing bits to allow: those expected at that share of common shingles, and a margin."""
-    share = acos(2 * similarity / (1 + similarity)) / pi
+    share = max(acos(2 * similarity / (1 + similarity)) / pi, _few_differ(similarity))
     return int(bits * share + MARGIN * sqrt(bits * share * (1 - share)))
 
 
-def _sketch(hashes: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """A wide fingerprint, and for each band a key of two smallest hashes."""
-    if not hashes:
+def _shingle_set(text: str, words: int) -> np.ndarray:
+    return np.unique(np.array(shingle_hashes(text, words), np.uint64))
+
+
+def _sketch(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A wide fingerprint of different hashes, and for each band a key of two smallest hashes."""
+    if not len(h):
         return np.zeros(WIDE, np.uint64), np.zeros(BANDS, np.uint64)
-    h = np.array(hashes, np.uint64)
     marks = [
         _majority_of(mix(h + np.uint64(i * 0x9E3779B97F4A7C15 & (1 << 64) - 1))) for i in range(WIDE)
     ]
@@ -214,37 +244,109 @@ def _sketch(hashes: list[int]) -> tuple[np.ndarray, np.ndarray]:
     return np.array(marks, np.uint64), mix(least[::2] * np.uint64(0xD6E8FEB86659FD93) + least[1::2])
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    return id_and_text(docs).select(F.xxhash64("doc_id", "text").alias("row_key"), "text")
+
+
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """``row_key, f0, f1, ..., keys`` of every document."""
+    """``row_key, same, f0, f1, ..., keys`` of every document; ``same`` is a hash of its set of shingles."""
     ship_code(docs.sparkSession)
-    rows = id_and_text(docs).select(F.xxhash64("doc_id", "text").alias("row_key"), "text")
     names = [f"f{i}" for i in range(WIDE)]
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                _sketch(shingle_hashes(text, words)) for _, texts in texts_of(batch.column("text"), 64) for text in texts
+            sets = (_shingle_set(text, words) for _, texts in texts_of(batch.column("text"), 64) for text in texts)
+            found = [(xxhash.xxh64_intdigest(h.tobytes(), SEED), *_sketch(h)) for h in sets]
+            same = np.array([s for s, _, _ in found], np.uint64).view(np.int64)
+            marks = np.array([f for _, f, _ in found], np.uint64).reshape(-1, WIDE).view(np.int64)
+            keys = [k.view(np.int64) for _, _, k in found]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("row_key"),
+                    pa.array(same),
+                    *map(pa.array, marks.T.copy()),
+                    pa.array(keys, pa.list_(pa.int64())),
+                ],
+                ["row_key", "same", *names, "keys"],
+            )
+
+    marks = ", ".join(f"{f} bigint" for f in names)
+    return _keyed(docs).mapInArrow(mark, f"row_key bigint, same bigint, {marks}, keys array<bigint>")
+
+
+def _shingle_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """``node, shingles`` (different hashes) of the texts whose ``row_key`` is a ``node``."""
+    ship_code(docs.sparkSession)
+    wanted = _keyed(docs).join(nodes, F.col("row_key") == F.col("node"), "left_semi")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [
+                _shingle_set(text, words).view(np.int64)
+                for _, texts in texts_of(batch.column("text"), 64)
+                for text in texts
             ]
-            marks = np.array([f for f, _ in found], np.uint64).reshape(-1, WIDE).view(np.int64)
-            keys = [k.view(np.int64) for _, k in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row_key"), *map(pa.array, marks.T.copy()), pa.array(keys, pa.list_(pa.int64()))],
-                ["row_key", *names, "keys"],
+                [batch.column("row_key"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"]
             )
 
-    return rows.mapInArrow(mark, f"row_key bigint, {', '.join(f'{f} bigint' for f in names)}, keys array<bigint>")
+    # Rows with one key are repeats of one row.
+    return wanted.dropDuplicates(["row_key"]).mapInArrow(cut, "node bigint, shingles array<bigint>")
+
+
+def _checked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The ``pairs`` ``a, b`` whose sets of shingles have at least that share in common."""
+    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
+    other = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
+    common = F.size(F.array_intersect("of_a", "of_b"))
+    either = F.size("of_a") + F.size("of_b") - common
+    return pairs.join(one, "a").join(other, "b").where(common >= similarity * either - 1e-9).select("a", "b")
+
+
+def _apart(columns: list[np.ndarray], radius: int) -> Iterator[pa.RecordBatch]:
+    """All pairs of a bucket at most ``radius`` bits apart whose ``root``, the last column, differs."""
+    table, key, node, *words, root = columns
+    if not len(node):
+        return
+    fps = np.stack([word.view(np.uint64) for word in words], axis=1)
+    change = np.flatnonzero((table[1:] != table[:-1]) | (key[1:] != key[:-1])) + 1
+    begins, ends = np.append(0, change), np.append(change, len(node))
+    # Buckets of one group have nothing left to compare.
+    open_ = np.minimum.reduceat(root, begins) != np.maximum.reduceat(root, begins)
+    rows = np.repeat(open_, ends - begins)
+    if not rows.any():
+        return
+    node, root, sizes = node[rows], root[rows], (ends - begins)[open_]
+    for a, b in near_pairs(fps[rows], np.repeat(np.cumsum(sizes), sizes), radius):
+        differ = root[a] != root[b]
+        yield pa.RecordBatch.from_arrays([pa.array(node[a[differ]]), pa.array(node[b[differ]])], ["a", "b"])
 
 
 def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """``row_key`` (hash of id and text) and ``root`` of its group, for every document."""
     marked = stored(sketches(docs, words), "sketches")
     names = [f"f{i}" for i in range(WIDE)]
-    distinct = marked.groupBy(*names).agg(F.min("row_key").alias("node"), F.min("keys").alias("keys"))
+    distinct = marked.groupBy("same", *names).agg(F.min("row_key").alias("node"), F.min("keys").alias("keys"))
     distinct = stored(distinct, "distinct-sketches")
-    tables = distinct.select(F.posexplode("keys").alias("table", "key"), "node", *names)
-    roots = components(_compared(tables, similar_radius(similarity, 64 * WIDE)))
-    named = distinct.join(roots, "node", "left").select(*names, F.coalesce("root", "node").alias("root"))
-    return marked.join(stored(named, "named-sketches"), names).select("row_key", "root")
+    radius = similar_radius(similarity, 64 * WIDE)
+
+    def tables(rows: DataFrame, *more: str) -> DataFrame:
+        return rows.select(F.posexplode("keys").alias("table", "key"), "node", *names, *more)
+
+    def ordered(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+    stars = stored(ordered(_compared(tables(distinct), radius)), "candidate-stars")
+    nodes = stored(stars.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "candidates")
+    sets = stored(_shingle_sets(docs, nodes, words), "shingle-sets")
+    checked = stored(_checked(stars, sets, similarity), "checked-stars")
+    roots = components(checked)
+    grouped = distinct.join(nodes, "node", "left_semi").join(roots, "node", "left")
+    grouped = grouped.withColumn("root", F.coalesce("root", "node"))
+    pairs = stored(ordered(_compared(tables(grouped, "root"), radius, _apart)), "candidate-pairs")
+    roots = components(checked.unionAll(_checked(pairs, sets, similarity)))
+    named = distinct.join(roots, "node", "left").select("same", F.coalesce("root", "node").alias("root"))
+    return marked.join(stored(named, "named-sketches"), "same").select("row_key", "root")
 
 
 def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:

@@ -156,6 +156,33 @@ def test_similar_texts_leave_one(spark):
     assert {1, 3, 6, 7, 8} <= set(ids) and ids.count(None) == 1
 
 
+def test_similar_groups_against_exact_shares(spark):
+    rng = random.Random(15)
+    rows = []
+    for i in range(150):  # changed words, near the threshold on both sides
+        n = rng.choice([5, 9, 40, 200, 400])
+        base = _words(rng, n)
+        for j in range(3):
+            text = list(base)
+            for at in rng.sample(range(n), min(n, round(j * n * rng.uniform(0.01, 0.045)))):
+                text[at] = f"changed{i}x{j}"
+            rows.append((10 * i + j, " ".join(text)))
+    long = _words(rng, 100)
+    rows += [(9000, " ".join(long)), (9001, " ".join([*long, *long[40:64] * 6]))]
+    sets = []
+    for _, text in rows:
+        words = text.split()
+        sets.append({tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))})
+    least = list(range(len(rows)))
+    for b in range(len(rows)):
+        for a in range(b):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                low, high = sorted((least[a], least[b]))
+                least = [low if x == high else x for x in least]
+    kept = simhash.one_of_each(cases.documents(spark, rows)).select("doc_id").collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted({rows[x][0] for x in least})
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(1, 40)] + [(300, 200), (200, 250)]
     found = components(spark.createDataFrame(edges, "a long, b long"))
