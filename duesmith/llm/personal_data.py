@@ -6,8 +6,9 @@ the seeds of a bootstrapped extraction:
 1. Every seed, and every other token with a digit or an at sign, is an *instance*; the word and
    the two words before it are *patterns*.  Patterns and instances form a graph.
 2. A pattern's confidence in a kind is the sum of its instances' confidences over their number plus
-   one; it needs ``LEAST_SEEDS`` different seeds.  An instance takes the best confidence of its
-   patterns; from ``LEAST_CONFIDENCE`` on it counts in the next of ``ROUNDS`` rounds.
+   one; it needs ``LEAST_SEEDS`` different instances that are seeds or were found by the rounds
+   before.  An instance takes the best confidence of its patterns; from ``LEAST_CONFIDENCE`` on it
+   counts in the next of ``ROUNDS`` rounds, for patterns without seeds as well.
 3. Tokens whose instance ends above ``LEAST_CONFIDENCE`` are added as ``like_<kind>``, e.g. a phone
    number without its plus that follows "call me at" as others do.
 
@@ -153,27 +154,20 @@ def _tokens(text: Column, bases: Column) -> Column:
 
 def _scores(edges: DataFrame) -> DataFrame:
     """``value, kind, confidence`` of the instances that high-confidence patterns lead to."""
-    sizes = edges.groupBy("pattern").agg(F.countDistinct("value").alias("size"))
     seeds = edges.where(F.col("kind").isNotNull()).select("value", "kind").distinct().withColumn("confidence", F.lit(1.0))
     pairs = stored(edges.select("pattern", "value").distinct(), "pattern-instances")
-    supported = (
-        edges.where(F.col("kind").isNotNull())
-        .groupBy("pattern", "kind")
-        .agg(F.countDistinct("value").alias("seeds"))
-        .where(F.col("seeds") >= LEAST_SEEDS)
-        .join(sizes, "pattern")
-        .select("pattern", "kind", "size")
-    )
-    supported = stored(supported, "supported-patterns")
-    # Pairs of patterns that no round can trust never count.
-    pairs = stored(pairs.join(supported.select("pattern").distinct(), "pattern", "left_semi"), "pattern-instances")
+    sizes = pairs.groupBy("pattern").agg(F.count("*").alias("size"))
+    # Patterns of fewer instances can never have enough believed ones.
+    sizes = stored(sizes.where(F.col("size") >= LEAST_SEEDS), "pattern-sizes")
+    pairs = stored(pairs.join(sizes, "pattern", "left_semi"), "pattern-instances")
     believed = stored(seeds, "instances")
     for _ in range(ROUNDS):
         patterns = (
             pairs.join(believed, "value")
             .groupBy("pattern", "kind")
-            .agg(F.sum("confidence").alias("weight"))
-            .join(supported, ["pattern", "kind"])
+            .agg(F.sum("confidence").alias("weight"), F.count("*").alias("support"))
+            .where(F.col("support") >= LEAST_SEEDS)
+            .join(sizes, "pattern")
             .select("pattern", "kind", (F.col("weight") / (F.col("size") + 1)).alias("confidence"))
             .where(F.col("confidence") >= LEAST_CONFIDENCE)
         )

@@ -126,3 +126,15 @@ def test_personal_data_of_nothing_uses_no_python(spark):
     assert found.count() == 0
     plan = found._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_found_numbers_lead_to_further_contexts(spark):
+    rows = [(i, f"please call me at +49 30 {5550000 + i} today") for i in range(60)]
+    rows += [(100 + i, f"please call me at 030{7770000 + i} today") for i in range(12)]
+    # No fixed form stands in this context, only numbers that the other one has found.
+    rows += [(200 + i, f"better ring on 030{7770000 + i} instead") for i in range(12)]
+    rows.append((300, "better ring on 0308880000 instead"))
+    rows.append((301, "nobody counts 0309990000 here"))
+    found = {r["doc_id"]: r["added"] for r in personal_data.personal_spans(cases.documents(spark, rows)).collect()}
+    assert [(s["kind"], s["value"]) for s in found[300]] == [("like_phone", "0308880000")]
+    assert found[301] == []
