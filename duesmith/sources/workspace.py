@@ -42,7 +42,11 @@ def stored(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
 
     ``by`` names columns that make folders, for readers that want some of their values only.
     """
-    path = new_folder(df.sparkSession, label)
+    return stored_at(df, new_folder(df.sparkSession, label), by)
+
+
+def stored_at(df: DataFrame, path: str, by: Sequence[str] = ()) -> DataFrame:
+    """The same in a given folder, which ``drop_folder`` can remove before the job ends."""
     df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
@@ -50,5 +54,10 @@ def stored(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
 def clear_work(spark: SparkSession) -> None:
     """Delete what this application has stored so far; nothing lazy may still need it."""
     for path in _made.pop(spark.sparkContext.applicationId, []):
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        drop_folder(spark, path)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a working table that no later step reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
