@@ -12,6 +12,7 @@ from duesmith.llm import (
     substring_dedup,
     token_counts,
     toxicity,
+    vector_codes,
     warc,
 )
 
@@ -26,10 +27,12 @@ QUERIES = {
     "op8_secrets": secret_scan.op8_secrets,
     "op9_personal_data": personal_data.op9_personal_data,
     "op10_warc": warc.op10_warc,
+    "op13_vector_codes": vector_codes.op13_vector_codes,
 }
 
 CHECKS: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.OP1_CHECK,
     "op6_substring_dedup": substring_dedup.OP6_CHECK,
     "op10_warc": warc.OP10_CHECK,
+    "op13_vector_codes": vector_codes.OP13_CHECK,
 }
