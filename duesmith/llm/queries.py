@@ -7,6 +7,7 @@ from duesmith.llm import (
     exact_dedup,
     packing,
     personal_data,
+    quality,
     secret_scan,
     simhash,
     substring_dedup,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_secrets": secret_scan.op8_secrets,
     "op9_personal_data": personal_data.op9_personal_data,
     "op10_warc": warc.op10_warc,
+    "op12_quality": quality.op12_quality,
     "op13_vector_codes": vector_codes.op13_vector_codes,
 }
 

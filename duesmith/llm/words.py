@@ -50,7 +50,7 @@ powers = _Powers()
 class Words:
     """Words of neighbouring rows of a column: ``first`` row, then for each word its place and hash.
 
-    ``cuts`` has, for each text and the end, the number of its first word.
+    ``cuts`` has, for each text and the end, the number of its first word, and ``bounds`` its first byte.
     """
 
     first: int
@@ -59,6 +59,7 @@ class Words:
     ends: np.ndarray
     hashes: np.ndarray
     cuts: np.ndarray
+    bounds: np.ndarray
 
     @property
     def text_of(self) -> np.ndarray:
@@ -99,4 +100,4 @@ def _find(first: int, data: np.ndarray, bounds: np.ndarray, separators: np.ndarr
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
     hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    return Words(first, data, starts, ends, hashes, np.searchsorted(starts, bounds))
+    return Words(first, data, starts, ends, hashes, np.searchsorted(starts, bounds), bounds)
