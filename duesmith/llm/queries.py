@@ -7,6 +7,7 @@ from duesmith.llm import (
     exact_dedup,
     packing,
     personal_data,
+    phrases,
     quality,
     secret_scan,
     simhash,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_secrets": secret_scan.op8_secrets,
     "op9_personal_data": personal_data.op9_personal_data,
     "op10_warc": warc.op10_warc,
+    "op11_phrases": phrases.op11_phrases,
     "op12_quality": quality.op12_quality,
     "op13_vector_codes": vector_codes.op13_vector_codes,
 }
@@ -36,5 +38,6 @@ CHECKS: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.OP1_CHECK,
     "op6_substring_dedup": substring_dedup.OP6_CHECK,
     "op10_warc": warc.OP10_CHECK,
+    "op11_phrases": phrases.OP11_CHECK,
     "op13_vector_codes": vector_codes.OP13_CHECK,
 }

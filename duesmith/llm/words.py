@@ -66,7 +66,9 @@ class Words:
         return np.repeat(np.arange(len(self.cuts) - 1), np.diff(self.cuts))
 
 
-def words_of(column: pa.Array, separators: np.ndarray = BLANK, lower: bool = False) -> Iterator[Words]:
+def words_of(
+    column: pa.Array, separators: np.ndarray = BLANK, lower: bool = False, portion: int = PORTION
+) -> Iterator[Words]:
     """Portions of the column with their words; null and empty texts have none."""
     column = column.cast(pa.large_string())
     if lower:
@@ -79,7 +81,7 @@ def words_of(column: pa.Array, separators: np.ndarray = BLANK, lower: bool = Fal
     everything = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     begin = 0
     while begin < n:
-        end = max(begin + 1, int(np.searchsorted(bounds, bounds[begin] + PORTION, "right")) - 1)
+        end = max(begin + 1, int(np.searchsorted(bounds, bounds[begin] + portion, "right")) - 1)
         end = min(end, n)
         part = everything[bounds[begin] : bounds[end]]
         yield _find(begin, part, bounds[begin : end + 1] - bounds[begin], separators)
