@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: A stored table may carry the month of a date as its folders; the column's name begins so.
+MONTH_OF = "month_of_"
+
+
 def moment(value: datetime | str) -> datetime:
     return datetime.fromisoformat(value) if isinstance(value, str) else value
 
@@ -31,3 +35,33 @@ def window(column: Column | str, start: datetime | str, end: datetime | str) ->
     """Half-open ``[start, end)``."""
     column = F.col(column) if isinstance(column, str) else column
     return (column >= ts(start)) & (column < ts(end))
+
+
+def in_window(
+    df: DataFrame, column: str, start: Column | datetime | str, end: Column | datetime | str, closed: bool = False
+) -> DataFrame:
+    """Rows with ``column`` in ``[start, end)``, or with ``closed`` in ``[start, end]``.
+
+    Where the table is stored by the column's month, the window also becomes a test of its folders,
+    so that files of other months are not read.
+    """
+    start, end = (edge if isinstance(edge, Column) else ts(edge) for edge in (start, end))
+    date, month = F.col(column), f"{MONTH_OF}{column}"
+    if month in df.columns:
+        first, last = (F.date_format(edge, "yyyy-MM") for edge in (start, end))
+        df = df.where(F.col(month).between(first, last))
+    df = df.where((date >= start) & ((date <= end) if closed else (date < end)))
+    return undated(df)
+
+
+def from_on(df: DataFrame, column: str, start: datetime | str) -> DataFrame:
+    """Rows with ``column`` at ``start`` or later; folders of earlier months are not read."""
+    month = f"{MONTH_OF}{column}"
+    if month in df.columns:
+        df = df.where(F.col(month) >= F.date_format(ts(start), "yyyy-MM"))
+    return undated(df.where(F.col(column) >= ts(start)))
+
+
+def undated(df: DataFrame) -> DataFrame:
+    """The table without the months of its folders."""
+    return df.drop(*[name for name in df.columns if name.startswith(MONTH_OF)])

@@ -13,6 +13,7 @@ from duesmith.functions.times import day_crossings, moment, to_utc, ts
 from duesmith.operators.ledger import accounts_of, invoice_balance, invoice_charges, lines_of
 from duesmith.schema import LINK_INVOICE_REQUEST, LINK_PAYMENT_REQUEST_ITEM, ROLE_MEMBER, TX_PAYMENT, TX_TENDER
 from duesmith.sources.tables import Tables
+from duesmith.sources.workspace import stored
 
 BUCKETS = (
     "aging_current", "aging_30", "aging_60", "aging_90", "aging_120", "aging_over_120",
@@ -219,58 +220,67 @@ def zero_fill(aging: DataFrame, T: Tables) -> DataFrame:
     return aging.unionByName(zero_rows(aging, T))
 
 
-def transactions_due(T: Tables, as_of: datetime | str, parties: DataFrame | None = None) -> DataFrame:
-    """Signed amount of every transaction of the parties' accounts before the cutoff."""
+def due_invoices(T: Tables, as_of: datetime | str, parties: DataFrame | None = None) -> DataFrame:
+    """Invoices before the cutoff on accounts that the parties hold as primary ones."""
     holders = T.client_account_party.where("primary_party").select("party_id", "client_account_id")
-    if parties is not None:
-        holders = holders.join(keys_of(parties, "party_id"), "party_id", "left_semi")
-    invoices = (
-        T.tx_invoice.where(F.col("target_date") < ts(as_of))
-        .select(
-            "tx_invoice_id",
-            "client_account_id",
-            F.col("target_business_unit_id").alias("business_unit_id"),
-            F.col("target_date_utc"),
-        )
-        .join(holders, "client_account_id")
-    )
-    tx = T.tx_transaction.select(
-        "tx_transaction_id", "tx_invoice_id", "link_type_id", "link_id", signed().alias("due_amount")
+    invoices = T.tx_invoice.where(F.col("target_date") < ts(as_of)).select(
+        "tx_invoice_id",
+        "client_account_id",
+        F.col("target_business_unit_id").alias("business_unit_id"),
+        F.col("target_date_utc"),
     )
+    if parties is None:
+        return invoices.join(holders, "client_account_id")
+    holders = holders.join(keys_of(parties, "party_id"), "party_id", "left_semi")
+    return stored(invoices.join(holders, "client_account_id"), "due-invoices")
+
+
+def transactions_due(
+    T: Tables, as_of: datetime | str, parties: DataFrame | None = None, invoices: DataFrame | None = None
+) -> DataFrame:
+    """Signed amount of every transaction of the parties' accounts before the cutoff.
+
+    ``invoices`` are those of ``due_invoices`` where a caller has them already.
+    """
+    tx = T.tx_transaction
+    if invoices is None:
+        invoices = due_invoices(T, as_of, parties)
+    if parties is not None:
+        tx = lines_of(tx, invoices)
+    tx = tx.select("tx_transaction_id", "tx_invoice_id", "link_type_id", "link_id", signed().alias("due_amount"))
     return tx.join(invoices, "tx_invoice_id").select(
         "party_id", "tx_transaction_id", money("due_amount").alias("due_amount"), "target_date_utc",
         "link_type_id", "link_id", "business_unit_id", "tx_invoice_id",
     )
 
 
-def _schedule(T: Tables) -> DataFrame:
+def _schedule(T: Tables, invoices: DataFrame | None = None) -> DataFrame:
     """What the payment-request items say is due on each invoice and date.
 
     ``scheduled`` sums the items that carry an amount; ``unpriced`` counts the rows
-    that leave the transaction's own amount in force.
+    that leave the transaction's own amount in force.  With ``invoices`` the schedule of
+    these alone: their keys are stored and go from table to table, so that every row that is
+    sorted or summed belongs to one of them.
     """
-    paid = (
-        T.tx_transaction.where(
-            (F.col("link_type_id") == LINK_PAYMENT_REQUEST_ITEM)
-            & F.col("tx_type_id").isin(TX_PAYMENT, TX_TENDER)
-        )
-        .groupBy(F.col("link_id").alias("payment_request_item_id"))
-        .agg(F.sum(signed()).alias("paid"))
-    )
-    items = (
-        T.payment_request_item.select("payment_request_item_id", "payment_request_id", "fixed_amount")
-        .join(paid, "payment_request_item_id", "left")
-        .select(
-            "payment_request_id",
-            (F.col("fixed_amount") + F.coalesce("paid", F.lit(0))).alias("value"),
-        )
-    )
+    linked = T.invoice_request.where(F.col("tx_invoice_id").isNotNull()).select("invoice_request_id", "tx_invoice_id")
     requests = T.payment_request.select("payment_request_id", "invoice_request_id", "due_date_utc")
+    items = T.payment_request_item.select("payment_request_item_id", "payment_request_id", "fixed_amount")
+    paying = T.tx_transaction.where(
+        (F.col("link_type_id") == LINK_PAYMENT_REQUEST_ITEM) & F.col("tx_type_id").isin(TX_PAYMENT, TX_TENDER)
+    ).select(F.col("link_id").alias("payment_request_item_id"), signed().alias("amount"))
+    if invoices is not None:
+        linked = stored(linked.join(keys_of(invoices, "tx_invoice_id"), "tx_invoice_id", "left_semi"), "due-requests")
+        requests = requests.join(keys_of(linked, "invoice_request_id"), "invoice_request_id", "left_semi")
+        requests = stored(requests, "due-payment-requests")
+        items = stored(items.join(requests.select("payment_request_id"), "payment_request_id", "left_semi"), "due-items")
+        paying = paying.join(items.select("payment_request_item_id"), "payment_request_item_id", "left_semi")
+    paid = paying.groupBy("payment_request_item_id").agg(F.sum("amount").alias("paid"))
+    values = items.join(paid, "payment_request_item_id", "left").select(
+        "payment_request_id", (F.col("fixed_amount") + F.coalesce("paid", F.lit(0))).alias("value")
+    )
     return (
-        T.invoice_request.where(F.col("tx_invoice_id").isNotNull())
-        .select("invoice_request_id", "tx_invoice_id")
-        .join(requests, "invoice_request_id", "left")
-        .join(items, "payment_request_id", "left")
+        linked.join(requests, "invoice_request_id", "left")
+        .join(values, "payment_request_id", "left")
         .groupBy("tx_invoice_id", "due_date_utc")
         .agg(
             money(F.sum("value")).alias("scheduled"),
@@ -279,10 +289,10 @@ def _schedule(T: Tables) -> DataFrame:
     )
 
 
-def _rebased(due: DataFrame, T: Tables, copies: Column) -> DataFrame:
+def _rebased(due: DataFrame, T: Tables, copies: Column, invoices: DataFrame | None) -> DataFrame:
     """Due rows on the amounts and dates of their schedule; rows of unknown units stay as they are."""
     units = T.business_unit.select("business_unit_id", F.lit(True).alias("known"))
-    schedule = _schedule(T).withColumnRenamed("tx_invoice_id", "scheduled_invoice")
+    schedule = _schedule(T, invoices).withColumnRenamed("tx_invoice_id", "scheduled_invoice")
     joined = (
         due.join(units, "business_unit_id", "left")
         .withColumn("scheduled_invoice", F.when(F.col("known"), F.col("tx_invoice_id")))
@@ -294,31 +304,35 @@ def _rebased(due: DataFrame, T: Tables, copies: Column) -> DataFrame:
     ).withColumn("target_date_utc", F.coalesce("due_date_utc", "target_date_utc"))
 
 
-def rebase_due(due: DataFrame, T: Tables) -> DataFrame:
+def rebase_due(due: DataFrame, T: Tables, invoices: DataFrame | None = None) -> DataFrame:
     """``due`` with the amounts and dates of its payment-request items in place of its own.
 
-    A transaction whose schedule names several dates has a row for each of them.
+    A transaction whose schedule names several dates has a row for each of them.  Where ``due`` is of
+    some parties, ``invoices`` are theirs (``due_invoices``), and no others' schedule is summed.
     """
     keys = [column for column in due.columns if column != "due_amount"]
     return (
-        _rebased(due, T, F.lit(1))
+        _rebased(due, T, F.lit(1), invoices)
         .groupBy(*keys)
         .agg(money(F.sum("due_amount")).alias("due_amount"))
         .select(*due.columns)
     )
 
 
-def party_due_buckets(due: DataFrame, T: Tables, as_of: datetime | str) -> DataFrame:
+def party_due_buckets(
+    due: DataFrame, T: Tables, as_of: datetime | str, invoices: DataFrame | None = None
+) -> DataFrame:
     """Re-based due amounts of each party in four age buckets and in total.
 
     Transactions of one invoice and date share their schedule, so they are summed
-    before they meet it: the join never pairs every transaction with every item.
+    before they meet it: the join never pairs every transaction with every item.  ``invoices``
+    as for ``rebase_due``.
     """
     as_of = moment(as_of)
     merged = due.groupBy("party_id", "tx_invoice_id", "business_unit_id", "target_date_utc").agg(
         F.sum("due_amount").alias("due_amount"), F.count("*").alias("copies")
     )
-    rows = _rebased(merged, T, F.col("copies"))
+    rows = _rebased(merged, T, F.col("copies"), invoices)
     date, tick = F.col("target_date_utc"), timedelta(milliseconds=1)
     back30, back60, back90 = (as_of - timedelta(days=days) for days in (30, 60, 90))
 
@@ -332,3 +346,9 @@ def party_due_buckets(due: DataFrame, T: Tables, as_of: datetime | str) -> DataF
         bucket(date < ts(back90 + tick)).alias("older"),
         bucket(date < ts(as_of)).alias("balance"),
     )
+
+
+def buckets_of_parties(T: Tables, as_of: datetime | str, parties: DataFrame) -> DataFrame:
+    """Due buckets of the given parties, at the cost of their own invoices."""
+    invoices = due_invoices(T, as_of, parties)
+    return party_due_buckets(transactions_due(T, as_of, parties, invoices), T, as_of, invoices)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from duesmith.functions.money import money, signed
 from duesmith.functions.relations import keys_of
 from duesmith.operators.changes import ChangeSet, apply_all
+from duesmith.operators.ledger import lines_of
 from duesmith.schema import (
     ENTITY_AGREEMENT, ENTITY_INVOICE, ROLE_MEMBER, SUSPENSION_OF_AGREEMENT, TX_PAYMENT, TX_TENDER,
 )
@@ -139,8 +140,11 @@ class Cascade:
         """Each touched payment with the count and signed net of its rows that stay."""
         going = self.invoices.withColumn("going", F.lit(True))
         stays = F.col("going").isNull()
+        paying = self.T.tx_transaction.where(F.col("tx_type_id").isin(TX_PAYMENT, TX_TENDER))
+        # A payment may cover invoices that stay, so its lines are taken by payment, not by invoice.
+        touched = stored(keys_of(lines_of(paying, self.invoices), "item_id"), "cascade-touched")
         return stored(
-            self.T.tx_transaction.where(F.col("tx_type_id").isin(TX_PAYMENT, TX_TENDER))
+            paying.join(touched, "item_id", "left_semi")
             .join(going, "tx_invoice_id", "left")
             .groupBy(F.col("item_id").alias("tx_payment_id"))
             .agg(
@@ -148,7 +152,6 @@ class Cascade:
                 F.count(F.when(stays, 1)).alias("staying"),
                 F.sum(F.when(stays, signed())).alias("net"),
             )
-            .where(F.col("going") > 0)
             .select("tx_payment_id", "staying", money("net").alias("net")),
             "cascade-payments",
         )
@@ -165,12 +168,14 @@ class Cascade:
     def empty_batches(self) -> DataFrame:
         """Existing batches that lose a request and keep none."""
         going = self.payments.withColumn("going", F.lit(True))
+        requests = self.T.payment_process_request.select("payment_process_batch_id", "tx_payment_id")
+        touched = keys_of(requests.join(self.payments, "tx_payment_id", "left_semi"), "payment_process_batch_id")
         emptied = (
-            self.T.payment_process_request.select("payment_process_batch_id", "tx_payment_id")
+            requests.join(stored(touched, "cascade-batches"), "payment_process_batch_id", "left_semi")
             .join(going, "tx_payment_id", "left")
             .groupBy("payment_process_batch_id")
             .agg(F.count("*").alias("requests"), F.count("going").alias("going"))
-            .where((F.col("going") > 0) & (F.col("going") == F.col("requests")))
+            .where(F.col("going") == F.col("requests"))
         )
         return self.T.payment_process_batch.join(emptied, "payment_process_batch_id", "left_semi").select(
             "payment_process_batch_id"

@@ -37,16 +37,20 @@ class ChangeSet:
         pairs = [column for name in self.columns for column in (f"old_{name}", f"new_{name}")]
         return old.join(self._new(), self.key).select(self.key, *pairs)
 
-    def apply(self, T: Tables) -> DataFrame:
-        """The whole table with the new values in place."""
-        table = T[self.table]
+    def merge(self, table: DataFrame, mark: str | None = None) -> DataFrame:
+        """Rows of the table with the new values in place; ``mark`` names a column that tells changed ones."""
         kept = [
             F.when(F.col("_changed"), F.col(f"new_{name}")).otherwise(F.col(name)).alias(name)
             if name in self.columns
             else F.col(name)
             for name in table.columns
         ]
-        return table.join(self._new(), self.key, "left").select(*kept)
+        marked = [] if mark is None else [F.col("_changed").isNotNull().alias(mark)]
+        return table.join(self._new(), self.key, "left").select(*kept, *marked)
+
+    def apply(self, T: Tables) -> DataFrame:
+        """The whole table with the new values in place."""
+        return self.merge(T[self.table])
 
     def repeated_keys(self) -> DataFrame:
         """Keys that break the one-row rule; empty for every repair of this package."""

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from duesmith.functions.money import money
 from duesmith.functions.relations import keys_of, not_in
-from duesmith.functions.times import ts
+from duesmith.functions.times import in_window
 from duesmith.operators.ledger import invoice_balance, lines_of
 from duesmith.schema import LINK_INVOICE_REQUEST, LINK_SPONSOR, TX_PAYMENT, TX_SALE
 from duesmith.sources.tables import Tables
+from duesmith.sources.workspace import stored
 
 
 def missing_payment_tx(T: Tables, reference_mode: bool = False) -> DataFrame:
@@ -35,6 +36,10 @@ def missing_payment_tx(T: Tables, reference_mode: bool = False) -> DataFrame:
     invoices = T.invoice_request.where(F.col("tx_invoice_id").isNotNull()).select(
         "invoice_request_id", "tx_invoice_id"
     )
+    # Stored, because its payments and invoices choose the gateway requests and sales that are summed.
+    dangling = stored(
+        dangling.join(requests, "payment_request_id").join(invoices, "invoice_request_id"), "dangling-items"
+    )
     gateway = T.payment_process_request.select("tx_payment_id", "payment_process_request_id", "token")
     payments = T.tx_payment.select(
         "tx_payment_id", "target_date", "target_date_utc", "target_date_zone_format",
@@ -43,6 +48,8 @@ def missing_payment_tx(T: Tables, reference_mode: bool = False) -> DataFrame:
     sales = T.tx_transaction.where(F.col("tx_type_id") == TX_SALE).select(
         F.col("tx_transaction_id").alias("sale_transaction_id"), "tx_invoice_id", "group_id"
     )
+    gateway = gateway.join(keys_of(dangling, "tx_payment_id"), "tx_payment_id", "left_semi")
+    sales = sales.join(keys_of(dangling, "tx_invoice_id"), "tx_invoice_id", "left_semi")
     if not reference_mode:
         gateway = gateway.groupBy("tx_payment_id").agg(
             F.min("payment_process_request_id").alias("payment_process_request_id"),
@@ -55,10 +62,8 @@ def missing_payment_tx(T: Tables, reference_mode: bool = False) -> DataFrame:
             F.count("*").alias("sales"),
         )
     return (
-        dangling.join(requests, "payment_request_id")
-        .join(payments, "tx_payment_id")
+        dangling.join(payments, "tx_payment_id")
         .join(gateway, "tx_payment_id")
-        .join(invoices, "invoice_request_id")
         .join(sales, "tx_invoice_id")
     )
 
@@ -66,10 +71,8 @@ def missing_payment_tx(T: Tables, reference_mode: bool = False) -> DataFrame:
 def multi_linked(T: Tables, from_date: datetime | str, to_date: datetime | str) -> DataFrame:
     """Invoice requests that several invoices of ``[from, to]`` link to."""
     linked = (
-        T.tx_invoice.where(
-            (F.col("link_type_id") == LINK_INVOICE_REQUEST)
-            & F.col("target_date").between(ts(from_date), ts(to_date))
-        )
+        in_window(T.dated("tx_invoice"), "target_date", from_date, to_date, closed=True)
+        .where(F.col("link_type_id") == LINK_INVOICE_REQUEST)
         .groupBy(F.col("link_id").alias("invoice_request_id"))
         .agg(F.count("*").alias("invoice_count"))
         .where(F.col("invoice_count") > 1)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from duesmith.functions.money import money, sum_where
 from duesmith.functions.relations import keys_of
 from duesmith.functions.text import like
-from duesmith.functions.times import moment, ts
+from duesmith.functions.times import from_on, moment, ts
 from duesmith.operators.ledger import lines_of
 from duesmith.schema import ACTIVE, ROLE_MEMBER, TX_PAYMENT
 from duesmith.sources.tables import Tables
@@ -183,8 +183,8 @@ def rebill_candidates(
     )
     batches = T.payment_process_batch.where(F.col("business_unit_id").isin(*units)).select("payment_process_batch_id")
     # The dates stand on the literal side, so both bounds can reach the scan.
-    payments = T.tx_payment.where(
-        F.col("is_declined") & (F.col("target_date_utc") >= ts(oldest)) & (F.col("target_date") < ts(newest))
+    payments = from_on(T.dated("tx_payment"), "target_date_utc", oldest).where(
+        F.col("is_declined") & (F.col("target_date") < ts(newest))
     ).select(
         "tx_payment_id", "client_account_id", "party_role_id", "target_date", "target_date_utc",
         "target_date_zone_format", "tender_type_id", "link_type_id", "link_id",

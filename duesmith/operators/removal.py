@@ -95,7 +95,8 @@ class _Targets:
             ("invoice_request_item", "tx_transaction_id", self.lines),
             ("invoice_request", "tx_invoice_id", self.invoices),
         ):
-            named = keys_of(self.T[table], column)
+            # Only what refers to a target is sorted out by key, not all that refers to anything.
+            named = keys_of(self.T[table].join(keys_of(parents, column), column, "left_semi"), column)
             hit = keys_of(parents.join(named, column, "left_semi"), "tx_invoice_id")
             parts.append(hit.select("tx_invoice_id", F.lit(table).alias("referrer")))
         return reduce(DataFrame.unionByName, parts)

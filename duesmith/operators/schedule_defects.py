@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duesmith.functions.relations import keys_of, live, number_within
-from duesmith.functions.times import ts, window
+from duesmith.functions.times import in_window, ts
 from duesmith.schema import ACTIVE, ENTITY_AGREEMENT
 from duesmith.sources.tables import Tables
 from duesmith.sources.workspace import stored
@@ -16,7 +16,7 @@ from duesmith.sources.workspace import stored
 
 def double_billed(T: Tables, from_date: datetime | str, to_date: datetime | str) -> DataFrame:
     """Member, agreement, bill date and item billed more than once in ``[from, to)``."""
-    requests = T.invoice_request.where(window("bill_date", from_date, to_date) & live()).select(
+    requests = in_window(T.dated("invoice_request"), "bill_date", from_date, to_date).where(live()).select(
         "invoice_request_id", "member_agreement_id", "bill_date"
     )
     # Counting by agreement first leaves one row for each group to meet the member tables.
@@ -45,9 +45,11 @@ def surplus_requests(
 ) -> DataFrame:
     """Live requests of the doubled agreements not invoiced yet, numbered by bill date
     and id; the second and later ones are surplus."""
-    open_requests = T.invoice_request.where(
-        live() & F.col("tx_invoice_id").isNull() & window("bill_date", from_date, to_date)
-    ).select("member_agreement_id", "invoice_request_id", "bill_date")
+    open_requests = (
+        in_window(T.dated("invoice_request"), "bill_date", from_date, to_date)
+        .where(live() & F.col("tx_invoice_id").isNull())
+        .select("member_agreement_id", "invoice_request_id", "bill_date")
+    )
     candidates = open_requests.join(keys_of(doubled, "member_agreement_id"), "member_agreement_id", "left_semi")
     return number_within(
         candidates, key="member_agreement_id", leading="bill_date", row_id="invoice_request_id", out="row"
@@ -146,9 +148,8 @@ def bad_installments(T: Tables) -> DataFrame:
 def missing_payment_requests(T: Tables, from_date: datetime | str, to_date: datetime | str) -> DataFrame:
     """Active agreements with a live invoice request billed in ``[from, to]`` that has
     no live payment request."""
-    requests = T.invoice_request.where(
-        (F.col("bill_date") >= ts(from_date)) & (F.col("bill_date") <= ts(to_date)) & live()
-    ).join(T.payment_request.where(live()).select("invoice_request_id"), "invoice_request_id", "left_anti")
+    requests = in_window(T.dated("invoice_request"), "bill_date", from_date, to_date, closed=True).where(live())
+    requests = requests.join(T.payment_request.where(live()).select("invoice_request_id"), "invoice_request_id", "left_anti")
     agreements = T.member_agreement.where(F.col("status") == ACTIVE).select(
         "member_agreement_id", "party_role_id", "start_date"
     )

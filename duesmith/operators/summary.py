@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from duesmith.functions.money import money, sum_where
 from duesmith.functions.relations import keys_of, left_join_sparse
-from duesmith.functions.times import day_crossings, to_utc, ts
+from duesmith.functions.times import day_crossings, in_window, to_utc, ts, undated
 from duesmith.operators.ledger import first_sale_item
 from duesmith.schema import (
     CARD_INTERFACES, ROLE_MEMBER, ROLE_ORGANIZATION, TX_FEE, TX_PAYMENT, TX_SALE, TX_TAX, TX_TENDER,
@@ -29,13 +29,13 @@ def billing_base(
     """Billing-service transactions in ``[from, to)`` of a unit's local time.
 
     With ``gateway_batch`` that batch is selected instead of a window.  The bounds
-    are folded to UTC literals, so the filter reaches the scan.
+    are folded to UTC literals, so the filter reaches the scan and, where ``tx`` is
+    stored by month (``Tables.dated``), the choice of folders.
     """
     if gateway_batch is not None:
-        tx = tx.where(F.col("gateway_batch_id") == gateway_batch)
+        tx = undated(tx.where(F.col("gateway_batch_id") == gateway_batch))
     else:
-        date = F.col("target_date_utc")
-        tx = tx.where((date >= to_utc(ts(from_local), zone)) & (date < to_utc(ts(to_local), zone)))
+        tx = in_window(tx, "target_date_utc", to_utc(ts(from_local), zone), to_utc(ts(to_local), zone))
     if batched_only:
         tx = tx.where(F.col("payment_process_batch_id").isNotNull())
     return tx
@@ -44,19 +44,17 @@ def billing_base(
 def keep_reportable(base: DataFrame, T: Tables, from_utc: Column, to_utc_: Column) -> DataFrame:
     """Drop declined rows whose decline is neither booked nor due to a payment dated
     in the window."""
-    dated = T.tx_payment.where(
-        (F.col("target_date_utc") >= from_utc) & (F.col("target_date_utc") < to_utc_)
-    ).select("tx_payment_id")
+    dated = in_window(T.dated("tx_payment"), "target_date_utc", from_utc, to_utc_).select("tx_payment_id")
     requests = T.payment_process_request.select("payment_process_request_id", "tx_payment_id")
     responses = T.payment_process_response.select("payment_process_request_id", "decline_tx_payment_id")
-    in_window = keys_of(
+    excused = keys_of(
         responses.where(F.col("decline_tx_payment_id").isNotNull())
         .join(requests, "payment_process_request_id")
         .join(dated, "tx_payment_id", "left_semi"),
         "decline_tx_payment_id",
     ).select(F.col("decline_tx_payment_id").alias("tx_payment_id"), F.lit(True).alias("_in_window"))
     return (
-        left_join_sparse(base, in_window, "tx_payment_id", "tx_transaction_id")
+        left_join_sparse(base, excused, "tx_payment_id", "tx_transaction_id")
         .where(
             ~F.col("is_payment_declined")
             | F.col("decline_tx_payment_id").isNotNull()
@@ -116,8 +114,9 @@ def property_holders(
     return keys_of(rows, "party_role_id")
 
 
-def _directory(T: Tables) -> DataFrame:
-    """Names of every party role, joined once before the ledger meets it."""
+def _directory(T: Tables, base: DataFrame) -> DataFrame:
+    """Names of the party roles in ``base``, joined once before the ledger meets them."""
+    billed = keys_of(base, "party_role_id")
     members = T.member_list.select(
         "party_role_id", F.col("role_id").alias("m_role"), "first_name", "last_name", F.lit(True).alias("is_m")
     )
@@ -125,7 +124,8 @@ def _directory(T: Tables) -> DataFrame:
         "party_role_id", F.col("role_id").alias("o_role"), "organization_name"
     )
     kind = F.col("party_role_type_id")
-    roles = T.party_role.select("party_role_id", "party_role_type_id")
+    roles = T.party_role.select("party_role_id", "party_role_type_id").join(billed, "party_role_id", "left_semi")
+    members, organizations = (rows.join(billed, "party_role_id", "left_semi") for rows in (members, organizations))
     as_member = members.withColumn("party_role_type_id", F.lit(ROLE_MEMBER))
     as_organization = organizations.withColumn("party_role_type_id", F.lit(ROLE_ORGANIZATION))
     is_member = F.col("is_m").isNotNull()
@@ -184,7 +184,7 @@ def billing_summary(
     every pair of them repeats the row; the repeats are counted, never built.
     """
     start, end = to_utc(ts(from_local), zone), to_utc(ts(to_local), zone)
-    base = billing_base(T.billing_service_tx, zone, from_local, to_local, batched_only, gateway_batch)
+    base = billing_base(T.dated("billing_service_tx"), zone, from_local, to_local, batched_only, gateway_batch)
 
     kept = keep_reportable(base, T, start, end)
     if tenders is not None:
@@ -197,7 +197,7 @@ def billing_summary(
         unit = unit.where(F.col("business_unit_id").isin(*units))
     if division is not None:
         unit = unit.where(F.col("division_id") == division)
-    directory = _directory(T)
+    directory = _directory(T, base)
     if holders is not None:
         directory = directory.where("is_member").join(keys_of(holders, "party_role_id"), "party_role_id", "left_semi")
     if member_role is not None:

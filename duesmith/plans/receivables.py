@@ -256,7 +256,7 @@ FILTERED_SUMMARY = _summary_sql(_summed(1), _summed(3)).replace(
 
 
 def _base(T: Tables) -> DataFrame:
-    return summary.billing_base(T.billing_service_tx, ZONE, FROM, TO)
+    return summary.billing_base(T.dated("billing_service_tx"), ZONE, FROM, TO)
 
 
 def _from_to():
@@ -405,6 +405,11 @@ UNION ALL SELECT DATE '{LATER[:10]}', f.* FROM ({KNOWN.replace(AS_OF, LATER)}) f
     "party_due_buckets": Query(
         lambda T: aging.party_due_buckets(aging.transactions_due(T, AS_OF), T, AS_OF), BUCKETS
     ),
+    "party_due_buckets_of_parties": Query(
+        lambda T: aging.buckets_of_parties(T, AS_OF, _some_parties(T)),
+        f"""SELECT b.* FROM ({BUCKETS}) b WHERE party_id IN (
+  SELECT party_id FROM {{party_role}} WHERE party_role_type_id = 1 AND party_id % 7 = 0)""",
+    ),
     "billing_base": Query(_base, BASE),
     "sale_amount_by_group": Query(lambda T: _amounts(T, TX_SALE), _amounts_sql(1)),
     "tax_amount_by_group": Query(lambda T: _amounts(T, TX_FEE), _amounts_sql(3)),

@@ -30,6 +30,10 @@ class Tables:
             self._frames[name] = self._resolve(name)
         return self._frames[name]
 
+    def dated(self, name: str) -> DataFrame:
+        """A table for ``times.in_window``; stored ones bring the months of their folders along."""
+        return self[name]
+
     def __contains__(self, name: str) -> bool:
         return name in self._known
 
