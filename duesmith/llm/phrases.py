@@ -9,9 +9,9 @@ same ending) says whether a longer phrase subsumes the prefix.
 
 A phrase can only be frequent if what is left without its first or last word is, so a level counts
 only windows whose two shorter windows are frequent.  Tasks ask a bit map of fixed size, filled by
-hashes of the level below; a collision lets a window through to be counted, so counts are exact.  Hot
-prefixes are cut into segments by a hash of the next word.  The first level, whose single prefix of a
-language is followed by every word, has segments in proportion to the shuffle's partitions.
+hashes of the level below; a collision lets a window through to be counted, so counts are exact.  Stripes of
+hot prefixes are cut into segments by a hash of the next word; the first level's, which have every
+word of a language, into segments in proportion to the shuffle's partitions.
 
 Texts are lower-cased in A-Z, split into pieces at marks and line ends, and these into words at
 spaces and tabs; a null text is empty, a null language is ``und``.  Rows count as they stand, whatever
@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from duesmith.llm.common import read_table, ship_code
+from duesmith.llm.common import in_portions, read_table, ship_code
 from duesmith.llm.words import Words, mix, words_of
 from duesmith.sources.workspace import stored
 
@@ -43,11 +43,12 @@ SCALE = 2_000_000
 
 #: Bits of the map that tells frequent windows; it takes four megabytes whatever the corpus.
 MAP_BITS = 25
-#: Segments of a stripe above the first level, elements of one shipped row, elements that a task holds.
-SEGMENTS = 8
-ROW_ELEMENTS = 1024
-HELD_ELEMENTS = 400_000
-PORTION = 1 << 21
+#: Occurrences from which a prefix is hot, and the segments of its stripe.
+HOT_COUNT, SEGMENTS = 1 << 20, 64
+#: Elements of one shipped row, rows of one batch, and what a task adds up at once.
+ROW_ELEMENTS, BATCH_ROWS = 128, 4096
+HELD_ELEMENTS, HELD_WORDS, MERGED_ELEMENTS = 1_500_000, 400_000, 300_000
+PORTION = 1 << 20
 
 BREAK = np.zeros(256, bool)
 BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -82,168 +83,205 @@ def _lang_hash(langs: list[str]) -> np.ndarray:
     return mix(np.array([zlib.crc32(lang.encode()) + 1 for lang in langs], np.uint64))
 
 
-def _words(words: Words) -> pa.DictionaryArray:
-    """The words' texts, each different one once."""
-    length = words.ends - words.starts
+class Vocabulary:
+    """Numbers for the words that a task holds, and for its languages."""
+
+    def __init__(self) -> None:
+        self.ids: dict[str, int] = {}
+        self.hashes: list[np.ndarray] = []
+
+    def numbers(self, words: Words, at: np.ndarray) -> np.ndarray:
+        """The numbers of some words of a portion."""
+        encoded = _texts(words, at).dictionary_encode()
+        local, texts = encoded.indices.to_numpy(), encoded.dictionary.to_pylist()
+        ids, before = self.ids, len(self.ids)
+        numbers = np.array([ids.setdefault(text, len(ids)) for text in texts], np.int32)
+        hashes = np.zeros(len(texts), np.uint64)
+        hashes[local] = words.hashes[at]
+        self.hashes.append(hashes[numbers >= before])
+        return numbers[local]
+
+    def strings(self) -> pa.Array:
+        return pa.array(list(self.ids), pa.string())
+
+    def segments(self, segments: int) -> np.ndarray:
+        return (np.concatenate(self.hashes) % np.uint64(segments)).astype(np.int32)
+
+
+def _texts(words: Words, at: np.ndarray) -> pa.Array:
+    """The texts of some words, cut out of the portion's bytes."""
+    starts, ends = words.starts[at], words.ends[at]
+    length = ends - starts
     edge = np.zeros(len(words.data) + 1, np.int8)
-    edge[words.starts] += 1
-    edge[words.ends] -= 1
+    edge[starts] += 1
+    edge[ends] -= 1
     inside = np.cumsum(edge[:-1]).astype(bool)
     offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
-    text = pa.Array.from_buffers(
-        pa.large_string(), len(length), [None, pa.py_buffer(offsets), pa.py_buffer(words.data[inside])]
-    )
-    return text.dictionary_encode()
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(words.data[inside])]
+    return pa.Array.from_buffers(pa.large_string(), len(length), buffers)
 
 
-def _elements(words: Words, lang: np.ndarray, langs: list[str], level: int, frequent: np.ndarray | None, segments: int) -> pa.Table:
-    """Elements of this portion's stripes: ``lang, prefix, segment, next, n``."""
-    encoded = _words(words)
-    ids, dictionary = encoded.indices.to_numpy().astype(np.int64), encoded.dictionary
-    size, text_of = max(len(dictionary), 1), words.text_of
-    lang_of = lang[words.first + text_of]
+def _known(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bits[places >> 6] >> (places & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+
+
+def _windows(words: Words, lang_hash: np.ndarray, level: int, frequent: np.ndarray | None) -> np.ndarray:
+    """Where windows of ``level`` words begin that lie in one piece and whose shorter windows are frequent."""
+    n, text_of = len(words.starts), words.text_of
     if level == 1:
-        keys, at, counts = np.unique(lang_of * size + ids, return_index=True, return_counts=True)
-        some, totals = np.unique(lang_of, return_counts=True)  # all words of a language: the empty next word
-        names = pa.array(langs, pa.large_string())
-        return pa.table(
-            {
-                "lang": pa.concat_arrays([names.take(pa.array(keys // size)), names.take(pa.array(some))]),
-                "prefix": pa.array([""] * (len(keys) + len(some)), pa.large_string()),
-                "segment": np.concatenate([words.hashes[at] % np.uint64(segments), np.zeros(len(some), np.uint64)]).astype(np.int32),
-                "next": pa.concat_arrays([dictionary.take(pa.array(keys % size)), pa.array([""] * len(some), pa.large_string())]),
-                "n": np.concatenate([counts, totals]),
-            }
-        )
+        return np.arange(n)
     breaks = np.concatenate([[0], np.cumsum(BREAK[words.data])])[words.starts]
-    n = len(ids)
     joined = (breaks[1:] == breaks[:-1]) & (text_of[1:] == text_of[:-1])
     whole = np.ones(max(n - level + 2, 0), bool)  # windows of level - 1 words within one piece
     for step in range(level - 2):
         whole &= joined[step : step + len(whole)]
-    places = _places([words.hashes[step : step + len(whole)] for step in range(level - 1)], _lang_hash(langs)[lang_of[: len(whole)]])
-    whole &= (frequent[places >> 6] >> (places & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
-    at = np.flatnonzero(whole[:-1] & whole[1:] & joined[level - 2 :])
-    prefix = lang_of[at]
-    for step in range(level - 1):
-        _, first, prefix = np.unique(prefix * size + ids[at + step], return_index=True, return_inverse=True)
-    keys, counts = np.unique(prefix * size + ids[at + level - 1], return_counts=True)
-    owner, following = keys // size, pa.array(keys % size)
-    shown = at[first] if len(at) else at  # a place where each prefix stands
-    texts = [dictionary.take(pa.array(ids[shown + step])) for step in range(level - 1)]
-    prefixes = pc.binary_join_element_wise(*texts, pa.scalar(" ", pa.large_string()))
-    hashes = np.zeros(size, np.uint64)
-    hashes[ids] = words.hashes
-    return pa.table(
-        {
-            "lang": pa.array(langs, pa.large_string()).take(pa.array(lang_of[shown][owner])),
-            "prefix": prefixes.take(pa.array(owner)),
-            "segment": (hashes[keys % size] % np.uint64(segments)).astype(np.int32),
-            "next": dictionary.take(following),
-            "n": counts,
-        }
-    )
-
+    at = np.flatnonzero(whole)
+    places = _places([words.hashes[at + step] for step in range(level - 1)], lang_hash[at])
+    whole[at] = _known(frequent, places)
+    return np.flatnonzero(whole[:-1] & whole[1:] & joined[level - 2 :])
 
-_KEY = ["lang", "prefix", "segment"]
 
+def _summed(tables: list[pa.Table]) -> pa.Table:
+    """Elements added up by all columns but their number."""
+    table = pa.concat_tables(tables)
+    keys = [name for name in table.column_names if name != "n"]
+    summed = table.group_by(keys, use_threads=False).aggregate([("n", "sum")])
+    return summed.rename_columns({"n_sum": "n"}).select([*keys, "n"])
 
-def _merged(tables: list[pa.Table]) -> pa.Table:
-    """Stripes added up element by element."""
-    summed = pa.concat_tables(tables).group_by([*_KEY, "next"]).aggregate([("n", "sum")])
-    return summed.rename_columns({"n_sum": "n"}).select([*_KEY, "next", "n"])
 
-
-def _codes(column: pa.ChunkedArray) -> np.ndarray:
-    return column.combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
-
-
-def _rows(table: pa.Table) -> Iterator[pa.RecordBatch]:
+def _rows(table: pa.Table, level: int, langs: list[str], words: Vocabulary, segments: int, hot: np.ndarray | None) -> Iterator[pa.RecordBatch]:
     """The elements as rows of stripes, each with at most ``ROW_ELEMENTS``."""
     if not len(table):
         return
-    lang, prefix, segment = _codes(table["lang"]), _codes(table["prefix"]), table["segment"].to_numpy().astype(np.int64)
-    key = (lang * (prefix.max() + 1) + prefix) * (segment.max() + 1) + segment
-    order = np.argsort(key, kind="stable")
-    key, table = key[order], table.take(pa.array(order)).combine_chunks()
-    begins = np.flatnonzero(np.diff(key, prepend=-1))
-    place = np.arange(len(key)) - np.repeat(begins, np.diff(np.append(begins, len(key))))
+    ids = [table[f"w{k}"].to_numpy() for k in range(level)]
+    lang, n, strings = table["lang"].to_numpy(), table["n"].to_numpy(), words.strings()
+    segment = words.segments(segments)[ids[-1]]
+    if level > 1:  # only stripes of hot prefixes are cut
+        hashes = np.concatenate(words.hashes)
+        places = _places([hashes[i] for i in ids[:-1]], _lang_hash(langs)[lang])
+        segment = np.where(_known(hot, places), segment, 0) if hot is not None else np.zeros_like(segment)
+    order = np.lexsort((segment, *reversed(ids[:-1]), lang))
+    ids, lang, n, segment = [i[order] for i in ids], lang[order], n[order], segment[order]
+    new = np.ones(len(order), bool)
+    new[1:] = False
+    for column in (lang, segment, *ids[:-1]):
+        new[1:] |= column[1:] != column[:-1]
+    begins = np.flatnonzero(new)
+    place = np.arange(len(order)) - np.repeat(begins, np.diff(np.append(begins, len(order))))
     begins = np.flatnonzero(place % ROW_ELEMENTS == 0)
-    offsets = pa.array(np.append(begins, len(key)), pa.int32())
-    columns = [table[name].combine_chunks().take(pa.array(begins)) for name in _KEY]
-    lists = [pa.ListArray.from_arrays(offsets, table[name].combine_chunks().cast(kind)) for name, kind in (("next", pa.string()), ("n", pa.int64()))]
-    whole = pa.RecordBatch.from_arrays([columns[0].cast(pa.string()), columns[1].cast(pa.string()), columns[2], *lists], [*_KEY, "next", "n"])
-    for begin in range(0, whole.num_rows, 4096):
-        yield whole.slice(begin, 4096)
+    if level == 1:
+        prefixes = pa.array([""] * len(begins), pa.string())
+    else:
+        prefixes = pc.binary_join_element_wise(*[strings.take(pa.array(i[begins])) for i in ids[:-1]], " ")
+    names = pa.array(langs, pa.string()).take(pa.array(lang[begins]))
+    ends = np.append(begins, len(order))
+    for begin in range(0, len(begins), BATCH_ROWS):
+        end = min(begin + BATCH_ROWS, len(begins))
+        part = slice(ends[begin], ends[end])
+        offsets = pa.array(ends[begin : end + 1] - ends[begin], pa.int32())
+        following = pa.ListArray.from_arrays(offsets, strings.take(pa.array(ids[-1][part])))
+        counts = pa.ListArray.from_arrays(offsets, pa.array(n[part], pa.int64()))
+        columns = [names.slice(begin, end - begin), prefixes.slice(begin, end - begin), pa.array(segment[begins[begin:end]], pa.int32())]
+        yield pa.RecordBatch.from_arrays([*columns, following, counts], [*_KEY, "next", "n"])
+
+
+_KEY = ["lang", "prefix", "segment"]
 
 
-def _stripes(texts: DataFrame, level: int, frequent: np.ndarray | None, segments: int) -> DataFrame:
+def _stripes(texts: DataFrame, level: int, frequent: np.ndarray | None, hot: np.ndarray | None, segments: int) -> DataFrame:
     """The stripes of each task, added up as far as it holds them together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-        size = 0
-        for batch in batches:
-            lang = batch.column("lang").dictionary_encode()
-            codes, langs = lang.indices.to_numpy().astype(np.int64), lang.dictionary.to_pylist()
-            for words in words_of(_lowered(batch.column("text")), SEPARATOR, portion=PORTION):
-                if not len(words.starts):
-                    continue
-                held.append(_elements(words, codes, langs, level, frequent, segments))
-                size += len(held[-1])
-                if size > HELD_ELEMENTS:
-                    held = [_merged(held)]
-                    size = len(held[0])
-                    if size > HELD_ELEMENTS // 2:
-                        yield from _rows(held.pop())
-                        size = 0
-        if held:
-            yield from _rows(_merged(held))
+        for elements, langs, words in _added(batches, level, frequent):
+            yield from _rows(elements, level, langs, words, segments, hot)
 
     return texts.mapInArrow(run, STRIPE)
 
 
+def _added(batches: Iterator[pa.RecordBatch], level: int, frequent: np.ndarray | None) -> Iterator[tuple[pa.Table, list[str], Vocabulary]]:
+    """Elements by number, added up until a task holds as many different ones or words as it may."""
+    held: list[pa.Table] = []
+    raw = 0
+    words, langs = Vocabulary(), {}
+    for batch in batches:
+        lang = batch.column("lang").dictionary_encode()
+        local = np.array([langs.setdefault(name, len(langs)) for name in lang.dictionary.to_pylist()], np.int32)
+        of_text = local[lang.indices.to_numpy()]
+        lang_hash = _lang_hash(list(langs))
+        for portion in words_of(_lowered(batch.column("text")), SEPARATOR, portion=PORTION):
+            if not len(portion.starts):
+                continue
+            of_word = of_text[portion.first + portion.text_of]
+            at = _windows(portion, lang_hash[of_word], level, frequent)
+            used = np.zeros(len(of_word), bool)
+            for k in range(level):
+                used[at + k] = True
+            ids = np.zeros(len(of_word), np.int32)
+            ids[used] = words.numbers(portion, np.flatnonzero(used))
+            columns = {"lang": of_word[at]} | {f"w{k}": ids[at + k] for k in range(level)}
+            held.append(pa.table(columns | {"n": np.ones(len(at), np.int64)}))
+            raw += len(at)
+            if raw > HELD_ELEMENTS or len(words.ids) > HELD_WORDS:
+                held = [_summed(held)]
+                raw = len(held[0])
+                if raw > HELD_ELEMENTS // 2 or len(words.ids) > HELD_WORDS:
+                    yield held.pop(), list(langs), words
+                    raw, words, langs = 0, Vocabulary(), {}
+                    local = np.array([langs.setdefault(name, len(langs)) for name in lang.dictionary.to_pylist()], np.int32)
+                    of_text, lang_hash = local[lang.indices.to_numpy()], _lang_hash(list(langs))
+    if held:
+        yield _summed(held), list(langs), words
+
+
 def _merge(stripes: DataFrame, level: int, least: int) -> DataFrame:
-    """Whole stripes as elements that stand at least ``least`` times, and the empty word's."""
+    """Whole stripes as elements that stand at least ``least`` times; level 1 adds each language's words."""
 
     def finished(table: pa.Table) -> pa.RecordBatch:
-        table = table.filter(pc.or_(pc.greater_equal(table["n"], least), pc.equal(table["next"], "")))
+        """Frequent elements, with their place in the map of this level."""
+        totals = table.group_by(["lang"]).aggregate([("n", "sum")]) if level == 1 else None
+        table = table.filter(pc.greater_equal(table["n"], least)).combine_chunks()
         lang, prefix, following = (table[name].combine_chunks() for name in ("lang", "prefix", "next"))
-        n = len(table)
-        if level == 1:
-            phrase = following
-        else:
-            phrase = pc.binary_join_element_wise(prefix, following, " ")
-        hashes = np.zeros((n, level), np.uint64)
+        phrase = following if level == 1 else pc.binary_join_element_wise(prefix, following, " ")
+        hashes = np.zeros((len(table), level), np.uint64)
         for words in words_of(phrase, SEPARATOR):
-            counts = np.diff(words.cuts)
-            filled = np.repeat(counts == level, counts)  # all but the empty word
-            hashes[words.first : words.first + len(counts)][counts == level] = words.hashes[filled].reshape(-1, level)
+            hashes[words.first : words.first + len(words.cuts) - 1] = words.hashes.reshape(-1, level)
         codes = lang.dictionary_encode()
-        salt = _lang_hash(codes.dictionary.to_pylist())[codes.indices.to_numpy()] if n else np.zeros(0, np.uint64)
-        places = pa.array(_places(list(hashes.T), salt), pa.int64())
-        return pa.RecordBatch.from_arrays([lang, prefix, following, table["n"].combine_chunks(), places], ["lang", "prefix", "next", "f", "place"])
+        salt = _lang_hash(codes.dictionary.to_pylist())[codes.indices.to_numpy()] if len(table) else np.zeros(0, np.uint64)
+        columns = [lang, prefix, following, table["n"].combine_chunks(), pa.array(_places(list(hashes.T), salt), pa.int64())]
+        if totals is not None:  # parts of what the stripe holds in all, as elements of the empty word
+            nothing = pa.array([""] * len(totals), pa.string())
+            parts = [totals["lang"], nothing, nothing, totals["n_sum"], pa.array([0] * len(totals), pa.int64())]
+            columns = [pa.concat_arrays([c, *(p.chunks if isinstance(p, pa.ChunkedArray) else [p])]) for c, p in zip(columns, parts)]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "prefix", "next", "f", "place"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carried: pa.Table | None = None
+        open_: pa.Table | None = None  # the stripe that the next rows may go on with
         for batch in batches:
-            if not batch.num_rows:
-                continue
             sizes = batch.column("next").value_lengths().to_numpy(zero_copy_only=False)
-            owner = pa.array(np.repeat(np.arange(batch.num_rows), sizes))
-            table = pa.table(
-                {name: batch.column(name).take(owner) for name in _KEY}
-                | {"next": batch.column("next").flatten(), "n": batch.column("n").flatten()}
-            )
-            table = _merged([table] if carried is None else [carried, table])
-            last = batch.slice(batch.num_rows - 1).to_pylist()[0]
-            open_ = pc.equal(table["lang"], last["lang"])
-            for name in _KEY[1:]:
-                open_ = pc.and_(open_, pc.equal(table[name], last[name]))
-            carried = table.filter(open_)
-            yield finished(table.filter(pc.invert(open_)))
-        if carried is not None:
-            yield finished(carried)
+            for begin, end in in_portions(sizes.tolist(), MERGED_ELEMENTS):
+                part = batch.slice(begin, end - begin)
+                rows = pa.table({name: part.column(name) for name in _KEY})
+                table = pa.table({"next": part.column("next").flatten(), "n": part.column("n").flatten()})
+                owner = np.repeat(np.arange(len(rows)), sizes[begin:end])
+                if open_ is not None:
+                    rows = pa.concat_tables([open_.select(_KEY).slice(0, 1), rows])
+                    table = pa.concat_tables([open_.select(["next", "n"]), table])
+                    owner = np.concatenate([np.zeros(len(open_), np.int64), owner + 1])
+                stripe = np.zeros(len(rows), np.int32)
+                for name in _KEY:
+                    codes = rows[name].combine_chunks().dictionary_encode().indices.to_numpy()
+                    stripe[1:] |= codes[1:] != codes[:-1]
+                stripe = np.cumsum(stripe, dtype=np.int32)
+                words = table["next"].combine_chunks().dictionary_encode()
+                summed = _summed([pa.table({"stripe": stripe[owner], "word": words.indices, "n": table["n"]})])
+                first = np.searchsorted(stripe, np.arange(stripe[-1] + 1))
+                keys = rows.take(pa.array(first[summed["stripe"].to_numpy()]))
+                table = keys.append_column("next", words.dictionary.take(summed["word"])).append_column("n", summed["n"])
+                last = summed["stripe"].to_numpy() == stripe[-1]
+                open_ = table.filter(pa.array(last)).combine_chunks()
+                yield finished(table.filter(pa.array(~last)))
+        if open_ is not None:
+            yield finished(open_)
 
     return stripes.repartition(*_KEY).sortWithinPartitions(*_KEY).mapInArrow(run, ELEMENT)
 
@@ -262,18 +300,19 @@ def _bit_map(elements: DataFrame) -> np.ndarray:
 
 
 def stripe_levels(docs: DataFrame, most_words: int = MOST_WORDS, least: int = LEAST_COUNT) -> list[DataFrame]:
-    """For each level ``lang, prefix, next, f``; the first also has the empty word with a language's words."""
+    """For each level ``lang, prefix, next, f``: the frequent elements of its stripes."""
     spark = docs.sparkSession
     ship_code(spark)
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     many = 4 * max(SEGMENTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     levels: list[DataFrame] = []
-    frequent = None
+    frequent = hot = None
     for level in range(1, most_words + 1):
-        stripes = _stripes(texts, level, frequent, many if level == 1 else SEGMENTS)
+        stripes = _stripes(texts, level, frequent, hot, many if level == 1 else SEGMENTS)
         levels.append(stored(_merge(stripes, level, least), f"stripes-{level}"))
         if level < most_words:
             frequent = _bit_map(levels[-1])
+            hot = _bit_map(levels[-1].where(F.col("f") >= HOT_COUNT))
     return levels
 
 
@@ -284,7 +323,7 @@ def _exact(number: Column | str) -> Column:
 def collocations(docs: DataFrame, most_words: int = MOST_WORDS, least: int = LEAST_COUNT, top: int = TOP) -> DataFrame:
     """The best phrases of each language: ``lang, rank, phrase, a, l, r, n, score``."""
     levels = stripe_levels(docs, most_words, least)
-    totals = levels[0].where("next = ''").select("lang", F.col("f").alias("n"))
+    totals = levels[0].where("next = ''").groupBy("lang").agg(F.sum("f").alias("n"))
 
     def counted(level: int) -> DataFrame:
         words = F.split("prefix", " ") if level > 1 else F.array().cast("array<string>")

@@ -92,27 +92,34 @@ def test_phrases_of_long_texts_and_hot_prefixes(spark):
 
 
 def test_stripes_of_many_portions_add_up(monkeypatch):
-    monkeypatch.setattr(phrases, "ROW_ELEMENTS", 2)
+    for name, value in (("ROW_ELEMENTS", 2), ("BATCH_ROWS", 3), ("PORTION", 500), ("HELD_ELEMENTS", 20)):
+        monkeypatch.setattr(phrases, name, value)
     rows = _hot_rows()
-    texts = phrases._lowered(pa.array([text for text, _ in rows], pa.string()))
-    parts = [
-        phrases._elements(words, np.zeros(len(rows), np.int64), ["en"], 1, None, 4)
-        for words in phrases.words_of(texts, phrases.SEPARATOR, portion=500)
-    ]
-    assert len(parts) > 50
+    rows = [(text, "und" if lang is None else lang) for text, lang in rows]
+    batch = pa.RecordBatch.from_pydict({"lang": [lang for _, lang in rows], "text": [text for text, _ in rows]})
+    parts = list(phrases._added(iter([batch.slice(0, 100), batch.slice(100)]), 1, None))
+    assert len(parts) > 5
     found = Counter()
-    for batch in phrases._rows(phrases._merged(parts)):
-        for row in batch.to_pylist():
-            assert row["prefix"] == "" and len(row["next"]) <= 2
-            found.update(dict(zip(row["next"], row["n"])))
+    for elements, langs, words in parts:
+        for stripe in phrases._rows(elements, 1, langs, words, 4, None):
+            for row in stripe.to_pylist():
+                assert row["prefix"] == "" and len(row["next"]) <= 2
+                found.update({(row["lang"], word): n for word, n in zip(row["next"], row["n"])})
     plain = Counter()
-    for text, _ in rows:
+    for text, lang in rows:
         lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text)
-        plain.update(word for word in re.split(r"[\x20\x09.,;:!?\x0A-\x0D]+", lowered) if word)
-    assert found.pop("") == sum(plain.values())
+        words = re.split(r"[\x20\x09.,;:!?\x0A-\x0D]+", lowered)
+        plain.update((lang, word) for word in words if word)
     assert found == plain
 
 
+def test_stripes_of_hot_prefixes_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "HOT_COUNT", 40)
+    rows = _hot_rows()
+    got = cases.rows_of(phrases.collocations(_texts(spark, rows)), *PHRASE)
+    assert got == _plain_phrases(rows)
+
+
 def test_phrase_scores_are_exact_beyond_64_bits(spark, monkeypatch):
     huge = 1 << 50
 
