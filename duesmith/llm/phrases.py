@@ -47,7 +47,7 @@ MAP_BITS = 25
 HOT_COUNT, SEGMENTS = 1 << 20, 64
 #: Elements of one shipped row, rows of one batch, and what a task adds up at once.
 ROW_ELEMENTS, BATCH_ROWS = 128, 4096
-HELD_ELEMENTS, HELD_WORDS, MERGED_ELEMENTS = 1_500_000, 400_000, 300_000
+HELD_ELEMENTS, HELD_WORDS, MERGED_ELEMENTS = 1_000_000, 300_000, 300_000
 PORTION = 1 << 20
 
 BREAK = np.zeros(256, bool)
@@ -57,7 +57,8 @@ SEPARATOR[[0x20, 0x09]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
-STRIPE = "lang string, prefix string, segment int, next array<string>, n array<bigint>"
+#: A stripe on its way: its next words and their numbers, each joined by spaces, which no word holds.
+STRIPE = "lang string, prefix string, segment int, next string, n string"
 ELEMENT = "lang string, prefix string, next string, f bigint, place bigint"
 
 
@@ -179,8 +180,8 @@ def _rows(table: pa.Table, level: int, langs: list[str], words: Vocabulary, segm
         end = min(begin + BATCH_ROWS, len(begins))
         part = slice(ends[begin], ends[end])
         offsets = pa.array(ends[begin : end + 1] - ends[begin], pa.int32())
-        following = pa.ListArray.from_arrays(offsets, strings.take(pa.array(ids[-1][part])))
-        counts = pa.ListArray.from_arrays(offsets, pa.array(n[part], pa.int64()))
+        following = pc.binary_join(pa.ListArray.from_arrays(offsets, strings.take(pa.array(ids[-1][part]))), " ")
+        counts = pc.binary_join(pa.ListArray.from_arrays(offsets, pa.array(n[part]).cast(pa.string())), " ")
         columns = [names.slice(begin, end - begin), prefixes.slice(begin, end - begin), pa.array(segment[begins[begin:end]], pa.int32())]
         yield pa.RecordBatch.from_arrays([*columns, following, counts], [*_KEY, "next", "n"])
 
@@ -257,11 +258,12 @@ def _merge(stripes: DataFrame, level: int, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_: pa.Table | None = None  # the stripe that the next rows may go on with
         for batch in batches:
-            sizes = batch.column("next").value_lengths().to_numpy(zero_copy_only=False)
+            sizes = pc.count_substring(batch.column("next"), " ").to_numpy(zero_copy_only=False) + 1
             for begin, end in in_portions(sizes.tolist(), MERGED_ELEMENTS):
                 part = batch.slice(begin, end - begin)
                 rows = pa.table({name: part.column(name) for name in _KEY})
-                table = pa.table({"next": part.column("next").flatten(), "n": part.column("n").flatten()})
+                following, counts = (pc.split_pattern(part.column(name), " ").flatten() for name in ("next", "n"))
+                table = pa.table({"next": following, "n": counts.cast(pa.int64())})
                 owner = np.repeat(np.arange(len(rows)), sizes[begin:end])
                 if open_ is not None:
                     rows = pa.concat_tables([open_.select(_KEY).slice(0, 1), rows])

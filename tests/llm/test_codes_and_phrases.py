@@ -103,8 +103,9 @@ def test_stripes_of_many_portions_add_up(monkeypatch):
     for elements, langs, words in parts:
         for stripe in phrases._rows(elements, 1, langs, words, 4, None):
             for row in stripe.to_pylist():
-                assert row["prefix"] == "" and len(row["next"]) <= 2
-                found.update({(row["lang"], word): n for word, n in zip(row["next"], row["n"])})
+                following, counts = row["next"].split(" "), map(int, row["n"].split(" "))
+                assert row["prefix"] == "" and len(following) <= 2
+                found.update({(row["lang"], word): n for word, n in zip(following, counts)})
     plain = Counter()
     for text, lang in rows:
         lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text)
