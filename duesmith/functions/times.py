@@ -26,6 +26,32 @@ def to_utc(local: Column, zone: Column | str) -> Column:
     return F.convert_timezone(F.lit(zone) if isinstance(zone, str) else zone, F.lit("UTC"), local)
 
 
+def to_utc_by(local: Column, zone: Column, gap: str = "forward", overlap: str = "earlier") -> Column:
+    """Local wall-clock time in each row's own zone to UTC, by stated rules where a clock change is near.
+
+    A time that the clocks skip moves on (``forward``) or back by the length of the gap; of the two
+    moments of a repeated time the ``earlier`` or the ``later`` one counts.  The offsets a day before
+    and a day after tell which case it is.
+    """
+    if gap not in ("forward", "backward") or overlap not in ("earlier", "later"):
+        raise ValueError(f"no such rule: {gap}, {overlap}")
+    utc, day = F.lit("UTC"), F.expr("INTERVAL 1 DAY")
+
+    def by_offset_at(probe: Column) -> Column:
+        return local - (F.convert_timezone(utc, zone, probe) - probe)
+
+    before, after = by_offset_at(local - day), by_offset_at(local + day)
+    before_holds = F.convert_timezone(utc, zone, before) == local
+    after_holds = F.convert_timezone(utc, zone, after) == local
+    chosen = F.least(before, after) if overlap == "earlier" else F.greatest(before, after)
+    return (
+        F.when(before_holds & after_holds, chosen)
+        .when(before_holds, before)
+        .when(after_holds, after)
+        .otherwise(before if gap == "forward" else after)
+    )
+
+
 def day_crossings(start: Column | str, end: Column | str) -> Column:
     """Midnights between two timestamps (not elapsed 24-hour spans)."""
     return F.datediff(end, start)

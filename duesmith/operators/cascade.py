@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
-from functools import cached_property, reduce
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duesmith.functions.money import money, signed
@@ -15,6 +16,7 @@ from duesmith.operators.ledger import lines_of
 from duesmith.schema import (
     ENTITY_AGREEMENT, ENTITY_INVOICE, ROLE_MEMBER, SUSPENSION_OF_AGREEMENT, TX_PAYMENT, TX_TENDER,
 )
+from duesmith.sources.book import Book
 from duesmith.sources.tables import Tables
 from duesmith.sources.workspace import stored
 
@@ -36,7 +38,7 @@ def key_of(table: str) -> str:
     return f"{table}_id"
 
 
-# In deletion order.  Parents named "@..." are root key sets of the Cascade.
+# In deletion order.  Parents named "@..." are key sets of the Cascade.
 STEPS = (
     Step("activity_time_log", "activity_transaction", "activity_transaction_id"),
     Step("activity_transaction", "activity", "activity_id"),
@@ -83,7 +85,6 @@ STEPS = (
 )
 PROMOTION_TABLES = ("promotion_effect_application", "promotion_effect", "member_agreement_promotion")
 _STEP_OF = {step.table: step for step in STEPS}
-_PARENTS = {step.parent for step in STEPS}
 
 
 def agreements_of_members(T: Tables, role_ids: DataFrame) -> DataFrame:
@@ -96,12 +97,26 @@ def agreements_of_members(T: Tables, role_ids: DataFrame) -> DataFrame:
     )
 
 
+def _keyed(rows: DataFrame, key: str, **others: Column) -> DataFrame:
+    return rows.select(F.col(key).cast("bigint").alias("row_key"), *[value.alias(name) for name, value in others.items()])
+
+
+def _all_columns(rows: DataFrame) -> DataFrame:
+    """The columns of every set, so that sets can be stored together."""
+    kinds = {"tx_invoice_id": "bigint", "staying": "bigint", "net": "decimal(18,2)"}
+    return rows.select(
+        "row_key",
+        *[F.col(name) if name in rows.columns else F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()],
+    )
+
+
 class Cascade:
-    """The key sets of one cascade, all taken from the tables as they stand.
+    """The rows that go with some agreements, all taken from the tables as they stand.
 
-    The sets that many steps start from are written to the shared folder once, so
-    that the branches do not compute them again and a lost executor costs no more
-    than its own tasks.
+    Tables hang on each other in levels.  One job for each level finds the keys of all its tables and
+    of the key sets that steps start from ("@..."), and stores them in one folder, tagged by where
+    they belong; the next level reads what it needs from there.  So no branch computes a set again,
+    and a lost executor costs no more than its own tasks.  Nothing is computed before it is asked for.
     """
 
     def __init__(self, T: Tables, agreements: DataFrame, promotions: bool = True):
@@ -109,152 +124,199 @@ class Cascade:
         self._agreements = agreements
         # The oldest form of the cascade knew no promotion tables.
         self.steps = STEPS if promotions else tuple(s for s in STEPS if s.table not in PROMOTION_TABLES)
-        self._doomed: dict[str, DataFrame] = {}
+        self._found: dict[str, DataFrame] = {}
+        self._levels: list[DataFrame] = []
+
+    # --- the sets that steps start from ---
+
+    def _sets(self) -> dict[str, tuple[tuple[str, ...], Callable[[], DataFrame]]]:
+        """For each set what it needs, and its rows: ``row_key`` and the columns that others read."""
+        return {
+            "@agreements": ((), lambda: _keyed(keys_of(self._agreements, "member_agreement_id"), "member_agreement_id")),
+            "@requests": (("invoice_request",), lambda: self._keys("invoice_request", "row_key")),
+            "@item_transactions": (("invoice_request",), self._item_transactions),
+            "@touched": (("@item_transactions",), self._touched),
+            "@payments": (("@touched", "@item_transactions"), self._payments),
+            "@batches": (("@payments",), self._batches),
+            "@empty_batches": (("@batches", "@payments"), self._empty_batches),
+            "@suspensions": (("@agreements",), self._suspensions),
+            "@cancellations": (("@agreements", "@item_transactions"), self._cancellations),
+            "@groups": (("@agreements",), self._groups),
+        }
+
+    def _item_transactions(self) -> DataFrame:
+        """Existing transactions of the agreements' request items, with their invoice."""
+        requests = self._keys("invoice_request", "invoice_request_id")
+        items = self.T.invoice_request_item.join(requests, "invoice_request_id", "left_semi")
+        rows = self.T.tx_transaction.select("tx_transaction_id", "tx_invoice_id").join(
+            keys_of(items, "tx_transaction_id"), "tx_transaction_id", "left_semi"
+        )
+        return _keyed(rows, "tx_transaction_id", tx_invoice_id=F.col("tx_invoice_id"))
 
-    @cached_property
-    def agreements(self) -> DataFrame:
-        return stored(keys_of(self._agreements, "member_agreement_id"), "cascade-agreements")
+    def _invoices(self) -> DataFrame:
+        return self._rows("@item_transactions").select("tx_invoice_id").dropna().distinct()
 
-    @cached_property
-    def requests(self) -> DataFrame:
-        rows = self.T.invoice_request.join(self.agreements, "member_agreement_id", "left_semi")
-        return stored(rows.select("invoice_request_id"), "cascade-requests")
+    def _paying(self) -> DataFrame:
+        return self.T.tx_transaction.where(F.col("tx_type_id").isin(TX_PAYMENT, TX_TENDER))
 
-    @cached_property
-    def item_transactions(self) -> DataFrame:
-        """Existing transactions of the agreements' request items, with their invoice."""
-        items = self.T.invoice_request_item.join(self.requests, "invoice_request_id", "left_semi")
-        return stored(
-            self.T.tx_transaction.select("tx_transaction_id", "tx_invoice_id").join(
-                keys_of(items, "tx_transaction_id"), "tx_transaction_id", "left_semi"
-            ),
-            "cascade-transactions",
-        )
+    def _touched(self) -> DataFrame:
+        return _keyed(keys_of(lines_of(self._paying(), self._invoices()), "item_id"), "item_id")
 
-    @cached_property
-    def invoices(self) -> DataFrame:
-        return stored(keys_of(self.item_transactions, "tx_invoice_id"), "cascade-invoices")
+    def _payments(self) -> DataFrame:
+        """Each touched payment with the count and signed net of its rows that stay.
 
-    @cached_property
-    def payment_state(self) -> DataFrame:
-        """Each touched payment with the count and signed net of its rows that stay."""
-        going = self.invoices.withColumn("going", F.lit(True))
+        A payment may cover invoices that stay, so its lines are taken by payment, not by invoice.
+        """
+        going = self._invoices().withColumn("going", F.lit(True))
         stays = F.col("going").isNull()
-        paying = self.T.tx_transaction.where(F.col("tx_type_id").isin(TX_PAYMENT, TX_TENDER))
-        # A payment may cover invoices that stay, so its lines are taken by payment, not by invoice.
-        touched = stored(keys_of(lines_of(paying, self.invoices), "item_id"), "cascade-touched")
-        return stored(
-            paying.join(touched, "item_id", "left_semi")
+        state = (
+            self._paying()
+            .join(self._keys("@touched", "item_id"), "item_id", "left_semi")
             .join(going, "tx_invoice_id", "left")
-            .groupBy(F.col("item_id").alias("tx_payment_id"))
-            .agg(
-                F.count("going").alias("going"),
-                F.count(F.when(stays, 1)).alias("staying"),
-                F.sum(F.when(stays, signed())).alias("net"),
-            )
-            .select("tx_payment_id", "staying", money("net").alias("net")),
-            "cascade-payments",
+            .groupBy("item_id")
+            .agg(F.count(F.when(stays, 1)).alias("staying"), F.sum(F.when(stays, signed())).alias("net"))
         )
+        return _keyed(state, "item_id", staying=F.col("staying"), net=money("net"))
 
-    @cached_property
-    def payments(self) -> DataFrame:
-        return self.payment_state.select("tx_payment_id")
-
-    @cached_property
-    def emptied_payments(self) -> DataFrame:
-        return self.payment_state.where(F.col("staying") == 0).select("tx_payment_id")
+    def _batches(self) -> DataFrame:
+        payments = self._keys("@payments", "tx_payment_id")
+        touched = self.T.payment_process_request.join(payments, "tx_payment_id", "left_semi")
+        return _keyed(keys_of(touched, "payment_process_batch_id"), "payment_process_batch_id")
 
-    @cached_property
-    def empty_batches(self) -> DataFrame:
+    def _empty_batches(self) -> DataFrame:
         """Existing batches that lose a request and keep none."""
-        going = self.payments.withColumn("going", F.lit(True))
-        requests = self.T.payment_process_request.select("payment_process_batch_id", "tx_payment_id")
-        touched = keys_of(requests.join(self.payments, "tx_payment_id", "left_semi"), "payment_process_batch_id")
+        going = self._keys("@payments", "tx_payment_id").withColumn("going", F.lit(True))
+        key = "payment_process_batch_id"
         emptied = (
-            requests.join(stored(touched, "cascade-batches"), "payment_process_batch_id", "left_semi")
+            self.T.payment_process_request.select(key, "tx_payment_id")
+            .join(self._keys("@batches", key), key, "left_semi")
             .join(going, "tx_payment_id", "left")
-            .groupBy("payment_process_batch_id")
+            .groupBy(key)
             .agg(F.count("*").alias("requests"), F.count("going").alias("going"))
             .where(F.col("going") == F.col("requests"))
         )
-        return self.T.payment_process_batch.join(emptied, "payment_process_batch_id", "left_semi").select(
-            "payment_process_batch_id"
-        )
+        return _keyed(self.T.payment_process_batch.join(emptied, key, "left_semi"), key)
 
-    @cached_property
-    def suspensions(self) -> DataFrame:
-        return (
-            self.T.suspension.where(F.col("target_entity_id_type") == SUSPENSION_OF_AGREEMENT)
-            .join(
-                self.agreements.withColumnRenamed("member_agreement_id", "target_entity_id"),
-                "target_entity_id",
-                "left_semi",
-            )
-            .select("suspension_id")
-        )
+    def _suspensions(self) -> DataFrame:
+        rows = self.T.suspension.where(F.col("target_entity_id_type") == SUSPENSION_OF_AGREEMENT)
+        return _keyed(rows.join(self._keys("@agreements", "target_entity_id"), "target_entity_id", "left_semi"), "suspension_id")
 
-    @cached_property
-    def cancellations(self) -> DataFrame:
-        agreements = self.agreements.select(
-            F.col("member_agreement_id").alias("entity_id"), F.lit(ENTITY_AGREEMENT).alias("entity_id_type")
-        )
-        invoices = self.invoices.select(
+    def _cancellations(self) -> DataFrame:
+        agreements = self._keys("@agreements", "entity_id").withColumn("entity_id_type", F.lit(ENTITY_AGREEMENT))
+        invoices = self._invoices().select(
             F.col("tx_invoice_id").alias("entity_id"), F.lit(ENTITY_INVOICE).alias("entity_id_type")
         )
-        return self.T.cancellation.join(
-            agreements.unionByName(invoices), ["entity_id", "entity_id_type"], "left_semi"
-        ).select("cancellation_id")
+        named = agreements.unionByName(invoices)
+        return _keyed(self.T.cancellation.join(named, ["entity_id", "entity_id_type"], "left_semi"), "cancellation_id")
 
-    @cached_property
-    def groups(self) -> DataFrame:
+    def _groups(self) -> DataFrame:
         """Groups that one of the agreements owns."""
         owned = self.T.member_agreement_group_role.where(F.col("role_type") == 1).join(
-            self.agreements, "member_agreement_id", "left_semi"
+            self._keys("@agreements", "member_agreement_id"), "member_agreement_id", "left_semi"
         )
-        return keys_of(owned, "member_agreement_group_id")
+        return _keyed(keys_of(owned, "member_agreement_group_id"), "member_agreement_group_id")
+
+    # --- levels ---
+
+    def _needs(self, name: str) -> tuple[str, ...]:
+        if name in _STEP_OF:
+            parent = _STEP_OF[name].parent
+            return ("@payments",) if parent == "@emptied_payments" else ("@item_transactions",) if parent == "@invoices" else (parent,)
+        return self._sets()[name][0]
+
+    def _build(self, name: str) -> DataFrame:
+        if name not in _STEP_OF:
+            return self._sets()[name][1]()
+        step = _STEP_OF[name]
+        if step.parent == "@invoices":
+            parents = self._invoices().withColumnRenamed("tx_invoice_id", step.link)
+        elif step.parent == "@emptied_payments":
+            parents = self._rows("@payments").where(F.col("staying") == 0).select(F.col("row_key").alias(step.link))
+        else:
+            parents = self._keys(step.parent, step.link)
+        return _keyed(self.T[name].join(parents, step.link, "left_semi"), step.key)
+
+    def _rows(self, name: str) -> DataFrame:
+        if name == "@requests":  # the doomed requests under another name
+            name = "invoice_request"
+        if name not in self._found:
+            self.find(name)
+        return self._found[name]
+
+    def _keys(self, name: str, column: str) -> DataFrame:
+        return self._rows(name).select(F.col("row_key").alias(column))
+
+    def find(self, *names: str) -> None:
+        """Store the rows of these tables and sets, and of all that they need, level by level."""
+        level: dict[str, int] = {}
+
+        def place(name: str) -> int:
+            if name == "@requests":
+                name = "invoice_request"
+            if name in self._found:
+                return 0
+            if name not in level:
+                level[name] = 1 + max((place(parent) for parent in self._needs(name)), default=0)
+            return level[name]
+
+        for name in names:
+            place(name)
+        for n in range(1, max(level.values(), default=0) + 1):
+            here = [name for name, at in level.items() if at == n]
+            tagged = [_all_columns(self._build(name)).withColumn("belongs", F.lit(name)) for name in here]
+            rows = stored(reduce(DataFrame.unionByName, tagged), f"cascade-level-{n}", by=["belongs"])
+            self._levels.append(rows)
+            for name in here:
+                self._found[name] = rows.where(F.col("belongs") == name).drop("belongs")
+
+    # --- results ---
+
+    @property
+    def empty_batches(self) -> DataFrame:
+        return self._keys("@empty_batches", "payment_process_batch_id")
 
     def doomed(self, table: str) -> DataFrame:
         """Keys of the rows of ``table`` that go."""
-        if table not in self._doomed:
-            step = _STEP_OF[table]
-            if step.parent.startswith("@"):
-                parents = getattr(self, step.parent[1:])
-                parent_key = parents.columns[0]
-            else:
-                parents, parent_key = self.doomed(step.parent), key_of(step.parent)
-            named = parents.select(F.col(parent_key).alias(step.link))
-            rows = self.T[table].join(named, step.link, "left_semi").select(step.key)
-            # What other tables hang on is read by each of them.
-            self._doomed[table] = stored(rows, f"doomed-{table}") if table in _PARENTS else rows
-        return self._doomed[table]
+        return self._keys(table, key_of(table))
 
     def plan(self) -> DataFrame:
         """(step, table, key) of every row to delete, in dependency order."""
+        self.find(*[step.table for step in self.steps])
+        places = F.create_map(*[F.lit(part) for n, step in enumerate(STEPS, start=1) for part in (step.table, n)])
+        names = [step.table for step in self.steps]
         parts = [
-            self.doomed(step.table).select(
-                F.lit(n).alias("step"), F.lit(step.table).alias("table_name"), F.col(step.key).alias("row_key")
+            rows.where(F.col("belongs").isin(*names)).select(
+                places[F.col("belongs")].alias("step"), F.col("belongs").alias("table_name"), "row_key"
             )
-            for n, step in enumerate(STEPS, start=1)
-            if step in self.steps
+            for rows in self._levels
         ]
         return reduce(DataFrame.unionByName, parts)
 
     def repriced_payments(self) -> ChangeSet:
         """Amount and reversal flag of touched payments that keep transactions."""
-        rows = self.payment_state.where(F.col("staying") > 0).select(
-            "tx_payment_id",
+        rows = self._rows("@payments").where(F.col("staying") > 0).select(
+            F.col("row_key").alias("tx_payment_id"),
             F.abs("net").alias("amount"),
             F.when(F.col("net") < 0, False).otherwise(True).alias("is_reversal"),
         )
         return ChangeSet("tx_payment", "tx_payment_id", rows)
 
     def apply(self) -> Tables:
-        """The bundle after the deletes and the re-pricing, from the stored plan."""
+        """The bundle after the deletes and the re-pricing, from the stored levels."""
+        self.find(*[step.table for step in self.steps])
         left = apply_all(self.T, self.repriced_payments())
-        plan = stored(self.plan(), "cascade-plan", by=["table_name"])
-
-        def going(step: Step) -> DataFrame:
-            return plan.where(F.col("table_name") == step.table).select(F.col("row_key").alias(step.key))
-
-        survivors = {step.table: left[step.table].join(going(step), step.key, "left_anti") for step in self.steps}
+        survivors = {
+            step.table: left[step.table].join(self.doomed(step.table), step.key, "left_anti") for step in self.steps
+        }
         return left.replace(**survivors)
+
+    def apply_in(self, book: Book, run: str) -> int:
+        """The same in a book: only the units that hold a row in question are written, and all tables
+        change at once.  The cascade must be of the book's tables."""
+        edit = book.edit(run)
+        if not edit.done:
+            self.find(*[step.table for step in self.steps])
+            edit.update(self.repriced_payments())
+            for step in self.steps:
+                edit.delete(step.table, self.doomed(step.table), step.key)
+        return edit.publish()

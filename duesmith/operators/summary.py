@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duesmith.functions.money import money, sum_where
 from duesmith.functions.relations import keys_of, left_join_sparse
-from duesmith.functions.times import day_crossings, in_window, to_utc, ts, undated
+from duesmith.functions.times import day_crossings, in_window, moment, to_utc, to_utc_by, ts, undated
 from duesmith.operators.ledger import first_sale_item
 from duesmith.schema import (
     CARD_INTERFACES, ROLE_MEMBER, ROLE_ORGANIZATION, TX_FEE, TX_PAYMENT, TX_SALE, TX_TAX, TX_TENDER,
@@ -41,6 +41,54 @@ def billing_base(
     return tx
 
 
+def billing_base_of_units(
+    T: Tables, from_local: datetime | str, to_local: datetime | str, gap: str = "forward", overlap: str = "earlier"
+) -> DataFrame:
+    """Billing-service transactions in ``[from, to)`` of each unit's own local time.
+
+    Each row carries its unit's window in UTC.  Rows without a unit, or of one without a zone, are in
+    no window.  ``gap`` and ``overlap`` as for ``times.to_utc_by``.
+    """
+    edges = {"window_start": from_local, "window_end": to_local}
+    windows = T.business_unit.select(
+        "business_unit_id",
+        *[to_utc_by(ts(edge), F.col("time_zone_name"), gap, overlap).alias(name) for name, edge in edges.items()],
+    )
+    # Zones lie between 12 hours behind UTC and 14 before it: that much is known to the scan.
+    earliest, latest = moment(from_local) - timedelta(hours=14), moment(to_local) + timedelta(hours=12)
+    tx = in_window(T.dated("billing_service_tx"), "target_date_utc", earliest, latest)
+    date = F.col("target_date_utc")
+    inside = tx.join(windows, "business_unit_id").where((date >= F.col("window_start")) & (date < F.col("window_end")))
+    return inside.select(*tx.columns, *edges)
+
+
+def _reportable_of_units(base: DataFrame, T: Tables) -> DataFrame:
+    """``keep_reportable`` for rows that carry their own window."""
+    dated = T.tx_payment.select("tx_payment_id", F.col("target_date_utc").alias("paid_on"))
+    asked = base.where(F.col("is_payment_declined") & F.col("decline_tx_payment_id").isNull())
+    asked = asked.select(F.col("tx_payment_id").alias("decline_tx_payment_id"), "window_start", "window_end").distinct()
+    excused = (
+        T.payment_process_response.select("payment_process_request_id", "decline_tx_payment_id")
+        .join(asked, "decline_tx_payment_id")
+        .join(T.payment_process_request.select("payment_process_request_id", "tx_payment_id"), "payment_process_request_id")
+        .join(dated, "tx_payment_id")
+        .where((F.col("paid_on") >= F.col("window_start")) & (F.col("paid_on") < F.col("window_end")))
+        .select(F.struct(F.col("decline_tx_payment_id").alias("tx_payment_id"), "window_start").alias("_asked"))
+        .distinct()
+        .withColumn("_in_window", F.lit(True))
+    )
+    asks = F.when(F.col("tx_payment_id").isNotNull(), F.struct("tx_payment_id", "window_start"))
+    return (
+        left_join_sparse(base.withColumn("_asked", asks), excused, "_asked", "tx_transaction_id")
+        .where(
+            ~F.col("is_payment_declined")
+            | F.col("decline_tx_payment_id").isNotNull()
+            | F.coalesce("_in_window", F.lit(False))
+        )
+        .select(*base.columns)
+    )
+
+
 def keep_reportable(base: DataFrame, T: Tables, from_utc: Column, to_utc_: Column) -> DataFrame:
     """Drop declined rows whose decline is neither booked nor due to a payment dated
     in the window."""
@@ -163,7 +211,7 @@ def billing_summary(
     T: Tables,
     from_local: datetime | str,
     to_local: datetime | str,
-    zone: str = "UTC",
+    zone: str | None = "UTC",
     units: Sequence[int] | None = None,
     division: int | None = None,
     tenders: Sequence[int] | None = None,
@@ -177,16 +225,25 @@ def billing_summary(
 ) -> DataFrame:
     """Who was billed for what in the window, with tax, tender, decline and payment.
 
-    ``ordered`` sorts by invoice, group and transaction.
+    ``ordered`` sorts by invoice, group and transaction.  Without a ``zone`` the window is read in
+    each unit's own local time, so that one job bills units of different zones.
 
     A group may hold several distinct sale or tax amounts.  By default each row sees
     their sum once.  ``reference_mode`` reproduces the original result, in which
     every pair of them repeats the row; the repeats are counted, never built.
     """
-    start, end = to_utc(ts(from_local), zone), to_utc(ts(to_local), zone)
-    base = billing_base(T.dated("billing_service_tx"), zone, from_local, to_local, batched_only, gateway_batch)
-
-    kept = keep_reportable(base, T, start, end)
+    if zone is None:
+        if gateway_batch is not None:
+            raise ValueError("a gateway batch is no window, so it needs a zone to date its declines")
+        end = F.col("window_end")
+        base = billing_base_of_units(T, from_local, to_local)
+        if batched_only:
+            base = base.where(F.col("payment_process_batch_id").isNotNull())
+        kept = _reportable_of_units(base, T)
+    else:
+        start, end = to_utc(ts(from_local), zone), to_utc(ts(to_local), zone)
+        base = billing_base(T.dated("billing_service_tx"), zone, from_local, to_local, batched_only, gateway_batch)
+        kept = keep_reportable(base, T, start, end)
     if tenders is not None:
         kept = kept.where(F.col("tender_type_id").isin(*tenders))
 

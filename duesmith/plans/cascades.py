@@ -13,6 +13,8 @@ from duesmith.operators import link_defects, removal, schedule_defects
 from duesmith.operators.cascade import STEPS, Cascade, agreements_of_members, key_of
 from duesmith.plans import Query
 from duesmith.plans import defects as found
+from duesmith.sources.book import Book, Layout
+from duesmith.sources.layout import BUCKET_KEYS
 from duesmith.sources.tables import Tables
 from duesmith.sources.workspace import new_folder, stored
 
@@ -225,6 +227,15 @@ def _survivors(T: Tables) -> DataFrame:
     return _sizes(T, _cascade(T).apply(), [step.table for step in STEPS])
 
 
+def _survivors_in_place(T: Tables) -> DataFrame:
+    """The same in a book, published as one version."""
+    spark = T.tx_invoice.sparkSession
+    book = Book(spark, new_folder(spark, "book"))
+    book.create("first", T, {step.table: Layout.bucketed(BUCKET_KEYS.get(step.table, step.key), 16) for step in STEPS})
+    _cascade(T.replace(**{step.table: book.tables()[step.table] for step in STEPS})).apply_in(book, "cascade")
+    return _sizes(T, book.tables(), [step.table for step in STEPS])
+
+
 def _old_form(T: Tables) -> DataFrame:
     """The cascade as it was before promotions were stored."""
     cancelled = schedule_defects.cancelled_agreements(T, CANCELLED_BEFORE)
@@ -339,6 +350,7 @@ QUERIES: dict[str, Query] = {
     ),
     "agreement_cascade_plan": Query(lambda T: _cascade(T).plan(), PLAN),
     "cascade_apply": Query(_survivors, SURVIVORS),
+    "cascade_apply_in_place": Query(_survivors_in_place, SURVIVORS),
     "payment_reprice_after_delete": Query(_repriced, REPRICED),
     "empty_batches": Query(
         lambda T: _cascade(T).empty_batches, f"WITH {ROOTS} SELECT payment_process_batch_id FROM batch"

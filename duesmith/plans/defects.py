@@ -309,6 +309,22 @@ WHERE time_utc BETWEEN '{start}' AND '{end}' AND type <> 'AccessDenied' AND type
   AND type <> 'ScheduleDate' AND source <> 'PdfWriter' AND message NOT LIKE '%Web.LoginController%'"""
     for n, (start, end) in enumerate(WINDOWS)
 )
+# A window of minutes around every hundredth error, and one of days around every thousandth.
+_AROUND = """
+SELECT error_id AS window_no,
+       CASE WHEN error_id % 1000 = 7 THEN time_utc - INTERVAL '2' DAY ELSE time_utc - INTERVAL '3' MINUTE END AS {start},
+       CASE WHEN error_id % 1000 = 7 THEN time_utc + INTERVAL '1' DAY ELSE time_utc + INTERVAL '7' MINUTE END AS {end}
+FROM {log} WHERE error_id % 100 = 7"""
+AROUND = _AROUND.format(start="begins", end="ends", log="{error_log}")
+ERRORS_AROUND = f"""
+SELECT w.window_no, e.* FROM {{error_log}} e JOIN ({AROUND}) w ON e.time_utc BETWEEN w.begins AND w.ends
+WHERE e.type <> 'AccessDenied' AND e.type <> 'UserNotice' AND e.type <> 'ScheduleDate'"""
+
+
+def _windows_around(T: Tables) -> DataFrame:
+    return T.error_log.sparkSession.sql(_AROUND.format(start="start", end="end", log="{log}"), log=T.error_log)
+
+
 NO_ACCOUNT = "Payment is missing client account id."
 
 
@@ -398,6 +414,9 @@ WHERE tx_payment_id IS NULL AND invoice_request_id IN (SELECT invoice_request_id
     "error_log_window": Query(
         lambda T: error_log.error_window(T.error_log, WINDOWS, NOISE, "PdfWriter", "%Web.LoginController%"), ERRORS
     ),
+    "error_log_windows_of_table": Query(
+        lambda T: error_log.errors_in_windows(T.dated("error_log"), _windows_around(T), NOISE), ERRORS_AROUND
+    ),
     "error_log_exact_message": Query(
         lambda T: error_log.error_by_message(
             T.error_log, NO_ACCOUNT, ("2024-01-01 12:00:00", "2024-01-20 01:00:00"), -4

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from duesmith.functions.money import money
 from duesmith.functions.times import to_utc, ts
-from duesmith.operators import agreements, aging, ledger, summary
+from duesmith.operators import aging_state, agreements, aging, ledger, summary
 from duesmith.plans import Query
 from duesmith.schema import ACTIVE, ACTIVE_STATUSES, ROLE_MEMBER, TX_FEE, TX_SALE
 from duesmith.sources import snapshots
+from duesmith.sources.book import Book
 from duesmith.sources.tables import Tables
 from duesmith.sources.workspace import new_folder, stored
 
@@ -255,6 +256,19 @@ FILTERED_SUMMARY = _summary_sql(_summed(1), _summed(3)).replace(
 )
 
 
+# Each unit's own local time, from the day on which some zones change their clocks.
+CHANGE, CHANGE_BACK = "1998-04-05 00:00:00", "1998-10-25 12:00:00"
+_UNIT_FROM = f"(timezone(u.time_zone_name, TIMESTAMP '{CHANGE}') AT TIME ZONE 'UTC')"
+_UNIT_TO = f"(timezone(u.time_zone_name, TIMESTAMP '{CHANGE_BACK}') AT TIME ZONE 'UTC')"
+UNITS_BASE = f"""
+SELECT x.*, {_UNIT_FROM} AS window_start, {_UNIT_TO} AS window_end
+FROM {{billing_service_tx}} x JOIN {{business_unit}} u ON u.business_unit_id = x.business_unit_id
+WHERE x.target_date_utc >= {_UNIT_FROM} AND x.target_date_utc < {_UNIT_TO}"""
+UNITS_SUMMARY = (
+    SUMMARY.replace(BASE, UNITS_BASE).replace(UTC_FROM, "b.window_start").replace(UTC_TO, "b.window_end")
+)
+
+
 def _base(T: Tables) -> DataFrame:
     return summary.billing_base(T.dated("billing_service_tx"), ZONE, FROM, TO)
 
@@ -351,6 +365,39 @@ def _partly_refreshed(T: Tables) -> DataFrame:
     return snapshots.refresh_snapshot(second, later, LATER, previous=first, units=SOME_UNITS)
 
 
+# Two cutoffs a day apart, and one some days later by which part of the ledger has changed.
+DAY, NEXT_DAY, SOME_DAYS_ON = "1996-05-01 00:00:00", "1996-05-02 00:00:00", "1996-05-09 12:00:00"
+_GONE = "tx_invoice_id % 17 = 3 AND tx_type_id IN (2, 4)"
+_POSTPONED = "tx_invoice_id % 29 = 5"
+
+
+def _state(T: Tables) -> Book:
+    spark = T.tx_invoice.sparkSession
+    book = Book(spark, new_folder(spark, "aging-state"))
+    aging_state.begin(book, T, DAY, "first")
+    return book
+
+
+def _next_day(T: Tables) -> DataFrame:
+    book = _state(T)
+    aging_state.refresh(book, T, NEXT_DAY, "next")
+    return aging_state.snapshot(book)
+
+
+def _after_changes(T: Tables) -> DataFrame:
+    """Lines of some invoices removed and due dates of others moved, between two cutoffs."""
+    book = _state(T)
+    later = T.replace(
+        tx_transaction=T.tx_transaction.where(f"NOT ({_GONE})"),
+        tx_invoice=T.tx_invoice.withColumn(
+            "payment_due_date", F.expr(f"CASE WHEN {_POSTPONED} THEN target_date + INTERVAL '45' DAY ELSE payment_due_date END")
+        ),
+    )
+    changed = T.tx_invoice.where("tx_invoice_id % 17 = 3 OR tx_invoice_id % 29 = 5")
+    aging_state.refresh(book, later, SOME_DAYS_ON, "later", changed)
+    return aging_state.snapshot(book)
+
+
 KNOWN = f"SELECT * FROM ({FILLED}) f WHERE business_unit_id IN (SELECT business_unit_id FROM {{business_unit}})"
 
 
@@ -392,6 +439,17 @@ UNION ALL SELECT DATE '{LATER[:10]}', f.* FROM ({KNOWN.replace(AS_OF, LATER)}) f
         lambda T: aging.ar_aging(T, AS_OF, account=ONE_ACCOUNT),
         f"SELECT * FROM ({AGING}) a WHERE client_account_id = {ONE_ACCOUNT}",
     ),
+    "ar_aging_next_day": Query(_next_day, AGING.replace(AS_OF, NEXT_DAY)),
+    "ar_aging_after_changes": Query(
+        _after_changes,
+        AGING.replace(AS_OF, SOME_DAYS_ON)
+        .replace("{tx_transaction}", f"(SELECT * FROM {{tx_transaction}} WHERE NOT ({_GONE}))")
+        .replace(
+            "{tx_invoice}",
+            f"""(SELECT * REPLACE (CASE WHEN {_POSTPONED} THEN target_date + INTERVAL '45' DAY
+                                        ELSE payment_due_date END AS payment_due_date) FROM {{tx_invoice}})""",
+        ),
+    ),
     "ar_aging_row_count": Query(
         lambda T: snapshots.snapshot_count(_refreshed(T)), f"SELECT count(*) AS row_count FROM ({KNOWN}) f"
     ),
@@ -429,6 +487,10 @@ LEFT JOIN {item} it ON it.item_id = t.item_id WHERE nth = 1""",
         f"WITH base AS ({BASE}) SELECT tx_invoice_id, {SPLIT_COLUMNS} FROM base b GROUP BY tx_invoice_id",
     ),
     "billing_summary": Query(lambda T: summary.billing_summary(T, FROM, TO, ZONE), SUMMARY),
+    "billing_base_of_units": Query(lambda T: summary.billing_base_of_units(T, CHANGE, CHANGE_BACK), UNITS_BASE),
+    "billing_summary_of_units": Query(
+        lambda T: summary.billing_summary(T, CHANGE, CHANGE_BACK, zone=None), UNITS_SUMMARY
+    ),
     "billing_summary_in_order": Query(
         lambda T: summary.billing_summary(T, FROM, TO, ZONE, ordered=True), SUMMARY
     ),

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from duesmith.operators import changes, link_defects, repairs, schedule_defects
 from duesmith.plans import Query
 from duesmith.plans import defects as found
+from duesmith.sources.book import Book, Layout
 from duesmith.sources.tables import Tables
-from duesmith.sources.workspace import stored
+from duesmith.sources.workspace import new_folder, stored
 
 
 def _preview_sql(table: str, key: str, columns: dict[str, str], rows: str) -> str:
@@ -235,7 +236,66 @@ def _surplus_marks(T: Tables) -> changes.ChangeSet:
     return repairs.mark_do_not_process(T, "invoice_request", found.surplus(T))
 
 
+# --- the same in a stored book, of which only the units with changed rows are written ---------------
+
+def _book(T: Tables, layouts: dict[str, Layout]) -> Book:
+    spark = T.tx_invoice.sparkSession
+    book = Book(spark, new_folder(spark, "book"))
+    book.create("first", T, layouts)
+    return book
+
+
+def _marked_in_place(T: Tables) -> DataFrame:
+    book = _book(T, {"invoice_request": Layout.monthly("bill_date")})
+    edit = book.edit("mark-surplus")
+    edit.update(_surplus_marks(T))
+    edit.publish()
+    return book.tables().invoice_request
+
+
+def _orphans_gone_in_place(T: Tables) -> DataFrame:
+    book = _book(T, {"payment_request_item": Layout.bucketed("payment_request_id", 32)})
+    edit = book.edit("delete-orphans")
+    edit.delete("payment_request_item", schedule_defects.orphan_items(T), "payment_request_item_id")
+    edit.publish()
+    return book.tables().payment_request_item
+
+
+def _created_in_place(T: Tables) -> DataFrame:
+    """Payment items and whether their transaction is booked, after the missing ones were published."""
+    book = _book(T, {
+        "tx_transaction": Layout.bucketed("tx_invoice_id", 32),
+        "payment_request_item": Layout.bucketed("payment_request_item_id", 32),
+        "party_role_status": Layout.bucketed("party_role_id", 32),
+    })
+    created = _created(T)
+    edit = book.edit("create-missing")
+    edit.insert("tx_transaction", created.inserts)
+    edit.update(created.items)
+    edit.update(created.statuses)
+    edit.publish()
+    after = book.tables()
+    booked = after.tx_transaction.select("tx_transaction_id", F.lit(True).alias("booked"))
+    return after.payment_request_item.join(booked, "tx_transaction_id", "left").select(
+        "payment_request_item_id", "tx_transaction_id", F.coalesce("booked", F.lit(False)).alias("booked")
+    )
+
+
+CREATED_LINKS = f"""WITH created AS ({CREATED_ITEMS})
+SELECT i.payment_request_item_id, coalesce(c.new_tx_transaction_id, i.tx_transaction_id) AS tx_transaction_id,
+       c.new_tx_transaction_id IS NOT NULL OR t.tx_transaction_id IS NOT NULL AS booked
+FROM {{payment_request_item}} i
+LEFT JOIN created c ON c.payment_request_item_id = i.payment_request_item_id
+LEFT JOIN {{tx_transaction}} t ON t.tx_transaction_id = i.tx_transaction_id"""
+
 QUERIES: dict[str, Query] = {
+    "mark_do_not_process_in_place": Query(_marked_in_place, SURPLUS_APPLIED),
+    "create_missing_payment_tx_in_place": Query(_created_in_place, CREATED_LINKS),
+    "delete_orphan_items_in_place": Query(
+        _orphans_gone_in_place,
+        f"""SELECT * FROM {{payment_request_item}} WHERE payment_request_item_id NOT IN (
+              SELECT payment_request_item_id FROM ({found.ORPHANS}) o)""",
+    ),
     "mark_do_not_process": Query(lambda T: _surplus_marks(T).preview(T), SURPLUS_MARKS),
     "mark_do_not_process_applied": Query(lambda T: _surplus_marks(T).apply(T), SURPLUS_APPLIED),
     "mark_surplus_payment_requests": Query(

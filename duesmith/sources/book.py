@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from duesmith.functions.times import MONTH_OF
 from duesmith.operators.changes import ChangeSet
 from duesmith.sources.tables import Tables
-from duesmith.sources.workspace import drop_folder
+from duesmith.sources.workspace import drop_folder, stored
 
 COMMIT, CHANGED = "book_commit", "book_changed"
 #: Runs whose repetition is recognised.
@@ -42,7 +42,7 @@ class Damaged(RuntimeError):
 
 @dataclass(frozen=True)
 class Layout:
-    """How rows are dealt to units: ``bucket`` of a key, or ``month`` or ``day`` of a date."""
+    """How rows are dealt to units: ``bucket`` of a key, ``month`` or ``day`` of a date, ``value`` of a text."""
 
     kind: str
     column: str
@@ -60,14 +60,20 @@ class Layout:
     def daily(cls, column: str) -> Layout:
         return cls("day", column)
 
+    @classmethod
+    def by_value(cls, column: str) -> Layout:
+        return cls("value", column)
+
     @property
     def name(self) -> str:
         """The folder column; that of a month is known to ``times.in_window``."""
         return f"{MONTH_OF}{self.column}" if self.kind == "month" else f"{self.kind}_of_{self.column}"
 
     def unit(self, column: Column | None = None) -> Column:
-        """The unit of a row, as text; rows without a date are a unit of their own."""
+        """The unit of a row, as text; rows without a date or text are a unit of their own."""
         column = F.col(self.column) if column is None else column
+        if self.kind == "value":
+            return F.coalesce(column, F.lit("none"))
         if self.kind == "bucket":
             return F.pmod(F.xxhash64(column.cast("string")), F.lit(self.buckets)).cast("string")
         return F.coalesce(F.date_format(column, "yyyy-MM" if self.kind == "month" else "yyyy-MM-dd"), F.lit("none"))
@@ -306,6 +312,31 @@ class Edit:
         self.state[name] = table
         return before - written
 
+    def rows_in(self, name: str, units: Iterable[str]) -> DataFrame:
+        """Rows of some units as this edit has left them."""
+        return self.book._read(name, self.state[name], units)
+
+    def swap(self, name: str, units: Iterable[str], rows: DataFrame) -> None:
+        """Other rows in place of all that some units hold; the new ones may belong to any unit."""
+        if self.done:
+            return
+        table = self.state[name].copy()
+        self._write(name, table, rows, list(units))
+        self.state[name] = table
+
+    def combine(self, name: str, rows: DataFrame, change: Callable[[DataFrame], DataFrame]) -> None:
+        """More rows, passed through ``change`` together with those of their units (MERGE).
+
+        ``change`` must not move rows to other units.
+        """
+        if self.done:
+            return
+        rows = stored(rows, "book-merge")
+        unit = self.state[name].layout.unit().alias("unit")
+        units = [row["unit"] for row in rows.select(unit).distinct().collect()]  # at most all units
+        if units:
+            self.swap(name, units, change(self.rows_in(name, units).unionByName(rows)))
+
     def update(self, change: ChangeSet) -> None:
         """New values for the rows that the change set names; keys that are not there change nothing."""
         units = [] if self.done else self.units_of(change.table, change.key, change.rows)
