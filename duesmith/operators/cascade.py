@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duesmith.functions.money import money, signed
-from duesmith.functions.relations import keys_of
+from duesmith.functions.relations import keys_of, union_all
 from duesmith.operators.changes import ChangeSet, apply_all
 from duesmith.operators.ledger import lines_of
 from duesmith.schema import (
@@ -97,17 +96,25 @@ def agreements_of_members(T: Tables, role_ids: DataFrame) -> DataFrame:
     )
 
 
-def _keyed(rows: DataFrame, key: str, **others: Column) -> DataFrame:
-    return rows.select(F.col(key).cast("bigint").alias("row_key"), *[value.alias(name) for name, value in others.items()])
+#: What sets carry besides their keys.
+_EXTRAS = {"tx_invoice_id": "bigint", "staying": "bigint", "net": "decimal(18,2)"}
 
 
-def _all_columns(rows: DataFrame) -> DataFrame:
-    """The columns of every set, so that sets can be stored together."""
-    kinds = {"tx_invoice_id": "bigint", "staying": "bigint", "net": "decimal(18,2)"}
-    return rows.select(
-        "row_key",
-        *[F.col(name) if name in rows.columns else F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()],
-    )
+@dataclass(frozen=True)
+class _Set:
+    """Rows with the column that is their key, and what else is kept of them."""
+
+    rows: DataFrame
+    key: str
+    extras: tuple[str, ...] = ()
+
+    def tagged(self, name: str) -> DataFrame:
+        """The columns of every set, so that sets can be stored together; one projection, one analysis."""
+        extras = [
+            (F.col(extra) if extra in self.extras else F.lit(None)).cast(kind).alias(extra)
+            for extra, kind in _EXTRAS.items()
+        ]
+        return self.rows.select(F.col(self.key).cast("bigint").alias("row_key"), *extras, F.lit(name).alias("belongs"))
 
 
 class Cascade:
@@ -124,16 +131,16 @@ class Cascade:
         self._agreements = agreements
         # The oldest form of the cascade knew no promotion tables.
         self.steps = STEPS if promotions else tuple(s for s in STEPS if s.table not in PROMOTION_TABLES)
-        self._found: dict[str, DataFrame] = {}
+        #: The level that holds the rows of a table or set.
+        self._found: dict[str, int] = {}
         self._levels: list[DataFrame] = []
 
     # --- the sets that steps start from ---
 
-    def _sets(self) -> dict[str, tuple[tuple[str, ...], Callable[[], DataFrame]]]:
-        """For each set what it needs, and its rows: ``row_key`` and the columns that others read."""
+    def _sets(self) -> dict[str, tuple[tuple[str, ...], Callable[[], _Set]]]:
+        """For each set what it needs, and its rows."""
         return {
-            "@agreements": ((), lambda: _keyed(keys_of(self._agreements, "member_agreement_id"), "member_agreement_id")),
-            "@requests": (("invoice_request",), lambda: self._keys("invoice_request", "row_key")),
+            "@agreements": ((), lambda: _Set(keys_of(self._agreements, "member_agreement_id"), "member_agreement_id")),
             "@item_transactions": (("invoice_request",), self._item_transactions),
             "@touched": (("@item_transactions",), self._touched),
             "@payments": (("@touched", "@item_transactions"), self._payments),
@@ -144,25 +151,25 @@ class Cascade:
             "@groups": (("@agreements",), self._groups),
         }
 
-    def _item_transactions(self) -> DataFrame:
+    def _item_transactions(self) -> _Set:
         """Existing transactions of the agreements' request items, with their invoice."""
         requests = self._keys("invoice_request", "invoice_request_id")
         items = self.T.invoice_request_item.join(requests, "invoice_request_id", "left_semi")
         rows = self.T.tx_transaction.select("tx_transaction_id", "tx_invoice_id").join(
             keys_of(items, "tx_transaction_id"), "tx_transaction_id", "left_semi"
         )
-        return _keyed(rows, "tx_transaction_id", tx_invoice_id=F.col("tx_invoice_id"))
+        return _Set(rows, "tx_transaction_id", ("tx_invoice_id",))
 
     def _invoices(self) -> DataFrame:
-        return self._rows("@item_transactions").select("tx_invoice_id").dropna().distinct()
+        return keys_of(self._rows("@item_transactions"), "tx_invoice_id")
 
     def _paying(self) -> DataFrame:
         return self.T.tx_transaction.where(F.col("tx_type_id").isin(TX_PAYMENT, TX_TENDER))
 
-    def _touched(self) -> DataFrame:
-        return _keyed(keys_of(lines_of(self._paying(), self._invoices()), "item_id"), "item_id")
+    def _touched(self) -> _Set:
+        return _Set(keys_of(lines_of(self._paying(), self._invoices()), "item_id"), "item_id")
 
-    def _payments(self) -> DataFrame:
+    def _payments(self) -> _Set:
         """Each touched payment with the count and signed net of its rows that stay.
 
         A payment may cover invoices that stay, so its lines are taken by payment, not by invoice.
@@ -174,16 +181,16 @@ class Cascade:
             .join(self._keys("@touched", "item_id"), "item_id", "left_semi")
             .join(going, "tx_invoice_id", "left")
             .groupBy("item_id")
-            .agg(F.count(F.when(stays, 1)).alias("staying"), F.sum(F.when(stays, signed())).alias("net"))
+            .agg(F.count(F.when(stays, 1)).alias("staying"), money(F.sum(F.when(stays, signed()))).alias("net"))
         )
-        return _keyed(state, "item_id", staying=F.col("staying"), net=money("net"))
+        return _Set(state, "item_id", ("staying", "net"))
 
-    def _batches(self) -> DataFrame:
+    def _batches(self) -> _Set:
         payments = self._keys("@payments", "tx_payment_id")
         touched = self.T.payment_process_request.join(payments, "tx_payment_id", "left_semi")
-        return _keyed(keys_of(touched, "payment_process_batch_id"), "payment_process_batch_id")
+        return _Set(keys_of(touched, "payment_process_batch_id"), "payment_process_batch_id")
 
-    def _empty_batches(self) -> DataFrame:
+    def _empty_batches(self) -> _Set:
         """Existing batches that lose a request and keep none."""
         going = self._keys("@payments", "tx_payment_id").withColumn("going", F.lit(True))
         key = "payment_process_batch_id"
@@ -195,36 +202,36 @@ class Cascade:
             .agg(F.count("*").alias("requests"), F.count("going").alias("going"))
             .where(F.col("going") == F.col("requests"))
         )
-        return _keyed(self.T.payment_process_batch.join(emptied, key, "left_semi"), key)
+        return _Set(self.T.payment_process_batch.join(emptied, key, "left_semi"), key)
 
-    def _suspensions(self) -> DataFrame:
+    def _suspensions(self) -> _Set:
         rows = self.T.suspension.where(F.col("target_entity_id_type") == SUSPENSION_OF_AGREEMENT)
-        return _keyed(rows.join(self._keys("@agreements", "target_entity_id"), "target_entity_id", "left_semi"), "suspension_id")
+        return _Set(rows.join(self._keys("@agreements", "target_entity_id"), "target_entity_id", "left_semi"), "suspension_id")
 
-    def _cancellations(self) -> DataFrame:
+    def _cancellations(self) -> _Set:
         agreements = self._keys("@agreements", "entity_id").withColumn("entity_id_type", F.lit(ENTITY_AGREEMENT))
         invoices = self._invoices().select(
             F.col("tx_invoice_id").alias("entity_id"), F.lit(ENTITY_INVOICE).alias("entity_id_type")
         )
         named = agreements.unionByName(invoices)
-        return _keyed(self.T.cancellation.join(named, ["entity_id", "entity_id_type"], "left_semi"), "cancellation_id")
+        return _Set(self.T.cancellation.join(named, ["entity_id", "entity_id_type"], "left_semi"), "cancellation_id")
 
-    def _groups(self) -> DataFrame:
+    def _groups(self) -> _Set:
         """Groups that one of the agreements owns."""
         owned = self.T.member_agreement_group_role.where(F.col("role_type") == 1).join(
             self._keys("@agreements", "member_agreement_id"), "member_agreement_id", "left_semi"
         )
-        return _keyed(keys_of(owned, "member_agreement_group_id"), "member_agreement_group_id")
+        return _Set(keys_of(owned, "member_agreement_group_id"), "member_agreement_group_id")
 
     # --- levels ---
 
     def _needs(self, name: str) -> tuple[str, ...]:
         if name in _STEP_OF:
             parent = _STEP_OF[name].parent
-            return ("@payments",) if parent == "@emptied_payments" else ("@item_transactions",) if parent == "@invoices" else (parent,)
+            return ({"@emptied_payments": "@payments", "@invoices": "@item_transactions"}.get(parent, parent),)
         return self._sets()[name][0]
 
-    def _build(self, name: str) -> DataFrame:
+    def _build(self, name: str) -> _Set:
         if name not in _STEP_OF:
             return self._sets()[name][1]()
         step = _STEP_OF[name]
@@ -234,14 +241,15 @@ class Cascade:
             parents = self._rows("@payments").where(F.col("staying") == 0).select(F.col("row_key").alias(step.link))
         else:
             parents = self._keys(step.parent, step.link)
-        return _keyed(self.T[name].join(parents, step.link, "left_semi"), step.key)
+        return _Set(self.T[name].join(parents, step.link, "left_semi"), step.key)
 
     def _rows(self, name: str) -> DataFrame:
         if name == "@requests":  # the doomed requests under another name
             name = "invoice_request"
         if name not in self._found:
             self.find(name)
-        return self._found[name]
+        rows = self._levels[self._found[name]]
+        return rows.where(F.col("belongs") == name)
 
     def _keys(self, name: str, column: str) -> DataFrame:
         return self._rows(name).select(F.col("row_key").alias(column))
@@ -263,11 +271,9 @@ class Cascade:
             place(name)
         for n in range(1, max(level.values(), default=0) + 1):
             here = [name for name, at in level.items() if at == n]
-            tagged = [_all_columns(self._build(name)).withColumn("belongs", F.lit(name)) for name in here]
-            rows = stored(reduce(DataFrame.unionByName, tagged), f"cascade-level-{n}", by=["belongs"])
-            self._levels.append(rows)
-            for name in here:
-                self._found[name] = rows.where(F.col("belongs") == name).drop("belongs")
+            tagged = [self._build(name).tagged(name) for name in here]
+            self._levels.append(stored(union_all(tagged), f"cascade-level-{n}", by=["belongs"]))
+            self._found |= dict.fromkeys(here, len(self._levels) - 1)
 
     # --- results ---
 
@@ -290,7 +296,7 @@ class Cascade:
             )
             for rows in self._levels
         ]
-        return reduce(DataFrame.unionByName, parts)
+        return union_all(parts)
 
     def repriced_payments(self) -> ChangeSet:
         """Amount and reversal flag of touched payments that keep transactions."""
