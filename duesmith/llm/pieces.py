@@ -18,6 +18,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 from duesmith.llm.common import in_portions
+from duesmith.llm.words import digest, lane_hashes
 
 # Spark runs a worker for each core; more threads below it would only cost memory.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -31,8 +32,9 @@ WHITE_SPACE = [
 PORTION = 200_000
 #: Slots of the table of known pre-tokens; it is emptied when half of them are taken.
 SLOTS_LOG2 = 21
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+#: Code points of a piece that are hashed two at a time; longer pieces are hashed one by one.
+LONG_PIECE = 64
+_MASKS = np.array([0, (1 << 32) - 1, (1 << 64) - 1], np.uint64)
 
 
 @functools.cache
@@ -48,24 +50,6 @@ def _classes() -> np.ndarray:
     return kinds
 
 
-class _Powers:
-    """Powers of the hash base and of its inverse, as many as any portion has needed."""
-
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
-                steps = np.full(n + n // 4, base, np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.cumprod(steps, dtype=np.uint64))
-        return self.up[:n], self.down[:n]
-
-
-_powers = _Powers()
-
-
 def piece_starts(points: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
     """Where pre-tokens begin in the joined code points of several non-empty texts."""
     n = len(points)
@@ -102,14 +86,13 @@ def piece_starts(points: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
 
 def piece_hashes(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each piece's code points and length; never 0."""
-    up, down = _powers.get(len(points) + 1)
-    sums = np.zeros(len(points) + 1, np.uint64)
-    np.cumsum((points.astype(np.uint64) + np.uint64(1)) * up[: len(points)], out=sums[1:])
-    h = (sums[ends] - sums[starts]) * down[starts]
-    h ^= (ends - starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(32)
+    padded = np.concatenate([points.astype("<u4"), np.zeros(2, "<u4")])
+    lanes = np.ndarray((len(points) + 1,), "<u8", padded, strides=(4,))
+    long = ends - starts > LONG_PIECE
+    h = np.zeros(len(starts), np.uint64)
+    h[~long] = lane_hashes(lanes, 2, starts[~long], ends[~long], _MASKS)
+    for i in np.flatnonzero(long).tolist():
+        h[i] = digest(padded[starts[i] : ends[i]].tobytes())
     h[h == 0] = 1
     return h
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duesmith.llm.common import id_and_text, read_table, ship_code
-from duesmith.llm.words import Words, mix, powers, words_of
+from duesmith.llm.words import Words, range_hashes, words_of
 from duesmith.sources.workspace import stored
 
 WINDOW = 35
@@ -38,14 +38,6 @@ WINDOW = 35
 RUN = 8
 
 
-def _range_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of the word sequence in each range."""
-    up, down = powers.get(len(hashes) + 1)
-    sums = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum(hashes * up[: len(hashes)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-
-
 def _leftmost_least(values: np.ndarray, width: int) -> np.ndarray:
     """Place of the smallest of each ``width`` neighbours, the first one of equals."""
     n = len(values) - width + 1
@@ -64,7 +56,7 @@ def _factors(words: Words, window: int, run: int) -> tuple[np.ndarray, ...]:
     if len(h) < window:
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
     at = np.arange(len(h) - run + 1)
-    runs = _range_hashes(h, at, at + run)
+    runs = range_hashes(h, at, at + run)
     anchor = _leftmost_least(runs, window - run + 1)
     inside = text[: len(anchor)] == text[window - 1 :]
     new = inside.copy()
@@ -73,7 +65,7 @@ def _factors(words: Words, window: int, run: int) -> tuple[np.ndarray, ...]:
     stops = inside.copy()
     stops[:-1] &= (anchor[1:] != anchor[:-1]) | ~inside[1:]
     ends = np.flatnonzero(stops) + 1
-    content = _range_hashes(h, begins, ends + window - 1)
+    content = range_hashes(h, begins, ends + window - 1)
     return text[begins], begins - words.cuts[text[begins]], ends - begins, runs[anchor[begins]], content
 
 
@@ -125,7 +117,7 @@ def _windows(texts: DataFrame, window: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         flat.field("anchor").take(pa.array(factor)),
-                        pa.array(_range_hashes(words.hashes, begin, begin + window).view(np.int64)),
+                        pa.array(range_hashes(words.hashes, begin, begin + window).view(np.int64)),
                         pa.array(keys[words.first + of[factor]]),
                         pa.array(place.astype(np.int32)),
                     ],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -11,8 +12,10 @@ import pyarrow.compute as pc
 
 #: Bytes handled by one round of array operations; keeps the arrays in cache.
 PORTION = 1 << 18
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+#: Bytes of a word that are hashed eight at a time; longer words are hashed one by one.
+LANES = 16
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_PRIMES, _BASES = ((1 << 31) - 1, (1 << 31) - 19), (1_103_515_245, 1_566_083_941)
 
 #: Bytes that end a word: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANK = np.zeros(256, bool)
@@ -30,20 +33,60 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-class _Powers:
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, np.uint64)
+def lane_hashes(lanes: np.ndarray, step: int, starts: np.ndarray, ends: np.ndarray, masks: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the units from each start to end.
 
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            for name, base in (("up", _BASE), ("down", _BASE_INVERSE)):
-                steps = np.full(n + n // 4, base, np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.cumprod(steps, dtype=np.uint64))
-        return self.up[:n], self.down[:n]
-
-
-powers = _Powers()
+    ``lanes[i]`` holds the ``step`` units from unit i on, ``masks[k]`` keeps the first k of them.  Each
+    lane goes through a mixing that is no sum, so no pattern of units makes hashes meet; units of one
+    lane and length never share a hash.
+    """
+    length = ends - starts
+    h = mix(length.astype(np.uint64))
+    rows, at, left = np.arange(len(starts)), starts, length
+    while len(rows):
+        h[rows] = mix(h[rows] ^ (lanes[at] & masks[np.minimum(left, step)]))
+        more = left > step
+        rows, at, left = rows[more], at[more] + step, left[more] - step
+    return h
+
+
+def digest(unit_bytes: bytes) -> int:
+    """The hash of something too long for lanes."""
+    return int.from_bytes(hashlib.blake2b(unit_bytes, digest_size=8).digest(), "little")
+
+
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    lanes = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    long = ends - starts > 8 * LANES
+    hashes = np.zeros(len(starts), np.uint64)
+    hashes[~long] = lane_hashes(lanes, 8, starts[~long], ends[~long], _MASKS)
+    for i in np.flatnonzero(long).tolist():
+        hashes[i] = digest(data[starts[i] : ends[i]].tobytes())
+    return hashes
+
+
+def _powers(base: int, prime: int, n: int) -> np.ndarray:
+    out = np.ones(n, np.uint64)
+    done = 1
+    while done < n:
+        more = min(done, n - done)
+        out[done : done + more] = out[:more] * np.uint64(pow(base, done, prime)) % np.uint64(prime)
+        done += more
+    return out
+
+
+def range_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the sequence of hashes in each range: polynomials modulo two primes, from running sums."""
+    n = len(hashes)
+    found = np.zeros((2, len(starts)), np.uint64)
+    for k, (prime, base) in enumerate(zip(_PRIMES, _BASES, strict=True)):
+        p = np.uint64(prime)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((hashes ^ hashes >> np.uint64(32)) % p * _powers(base, prime, n) % p, out=sums[1:])
+        down = _powers(pow(base, -1, prime), prime, n + 1)
+        found[k] = (sums[ends] - sums[starts]) % p * down[starts] % p
+    return mix(mix(found[0] << np.uint64(32) | found[1]) + (ends - starts).astype(np.uint64))
 
 
 @dataclass
@@ -98,8 +141,5 @@ def _find(first: int, data: np.ndarray, bounds: np.ndarray, separators: np.ndarr
     stop = inside.copy()
     stop[:-1] &= ~inside[1:] | edge[1:n]
     starts, ends = np.flatnonzero(start), np.flatnonzero(stop) + 1
-    up, down = powers.get(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    hashes = _word_hashes(data, starts, ends)
     return Words(first, data, starts, ends, hashes, np.searchsorted(starts, bounds), bounds)
