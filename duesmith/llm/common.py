@@ -18,8 +18,18 @@ BLANKS = r"[\x20\x09-\x0D]+"
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
 
+#: Bytes of an Arrow batch: what a task holds of its texts at once, in the JVM and in Python.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship_code(spark: SparkSession) -> None:
-    """Give executors this package, once for each application, as ``--py-files`` would."""
+    """Give executors this package, once for each application, as ``--py-files`` would.
+
+    The session's Arrow batches become small as well; their default of 64 MB is held several times
+    over by each task, on either side.
+    """
+    spark.conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
