@@ -15,7 +15,7 @@ from duesmith.llm.common import read_table, unused_name
 from duesmith.llm.decontamination import clean_rows
 from duesmith.llm.exact_dedup import keep_first
 from duesmith.llm.packing import TOKENIZER, pack_documents
-from duesmith.llm.simhash import one_of_each
+from duesmith.llm.simhash import one_of_near
 from duesmith.llm.toxicity import learn, score_rows
 from duesmith.sources.workspace import stored
 
@@ -36,8 +36,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share at least 0.8 of their five-word shingles the one with the smallest id."""
-    return one_of_each(docs)
+    """Of documents whose fingerprints link (four-word shingles, at most 4 bits) the one with the smallest id."""
+    return one_of_near(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
