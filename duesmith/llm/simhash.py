@@ -350,14 +350,32 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
 
 
 def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that stay when similar texts are reduced to one.
+    """The rows of ``docs``, with all their columns, that stay when similar texts are reduced to one."""
+    return _one_of(docs, similar_groups(docs, words, similarity))
 
-    Of each group the smallest ``doc_id`` stays (a null one only if all are), of repeated rows one.
-    """
+
+def near_roots(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
+    """``row_key`` (hash of id and text) and ``root`` (a fingerprint) of its component, for every document."""
+    marked = fingerprints(_keyed(docs).select(F.col("row_key").alias("doc_id"), "text"), words)
+    marked = stored(marked.select(F.col("doc_id").alias("row_key"), "fp"), "fingerprints")
+    distinct = stored(marked.select("fp").distinct(), "distinct-fingerprints")
+    roots = components(links(distinct, distinct.count(), radius)).withColumnRenamed("node", "fp")
+    named = distinct.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    return marked.join(stored(named, "named-fingerprints"), "fp").select("row_key", "root")
+
+
+def one_of_near(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay when linked fingerprints are reduced to one."""
+    return _one_of(docs, near_roots(docs, words, radius))
+
+
+def _one_of(docs: DataFrame, grouped: DataFrame) -> DataFrame:
+    """Of each group of ``row_key, root`` the row with the smallest ``doc_id`` (a null one only if all
+    are), of repeated rows one."""
     key, kept, again = (unused_name(name, docs) for name in ("row_key", "kept_key", "again"))
     keyed = docs.withColumn(key, F.xxhash64(docs["doc_id"], F.coalesce(docs["text"], F.lit(""))))
     ids = keyed.select(F.col(key).alias("id_key"), "doc_id").distinct()
-    groups = similar_groups(docs, words, similarity).distinct()
+    groups = grouped.distinct()
     least = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_key")))
     stay = (
         groups.join(ids, groups["row_key"] == ids["id_key"])

@@ -183,6 +183,34 @@ def test_similar_groups_against_exact_shares(spark):
     assert sorted(r["doc_id"] for r in kept) == sorted({rows[x][0] for x in least})
 
 
+def test_one_of_linked_fingerprints_against_brute_force(spark):
+    rng = random.Random(21)
+    rows = list(cases.ROWS)
+    for i in range(60):
+        base = _words(rng, rng.choice([30, 400, 900]))
+        for j in range(4):
+            text = list(base)
+            for at in rng.sample(range(len(text)), j and rng.randint(1, 3)):
+                text[at] = f"changed{j}"
+            rows.append((100 + 10 * i + j, " ".join(text)))
+    marks = [_fingerprint(text) for _, text in rows]
+    least = list(range(len(rows)))
+    for b in range(len(rows)):
+        for a in range(b):
+            if (marks[a] ^ marks[b]).bit_count() <= 4:
+                low, high = sorted((least[a], least[b]))
+                least = [low if x == high else x for x in least]
+    groups: dict[int, list] = {}
+    for (doc_id, _), root in zip(rows, least):
+        groups.setdefault(root, []).append((doc_id is None, doc_id or 0))
+    docs = cases.documents(spark, rows)
+    kept = simhash.one_of_near(docs)
+    assert kept.columns == docs.columns
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.select("doc_id").collect())
+    assert got == sorted(min(group) for group in groups.values())
+    assert simhash.one_of_near(cases.nothing(spark)).count() == 0
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(1, 40)] + [(300, 200), (200, 250)]
     found = components(spark.createDataFrame(edges, "a long, b long"))
@@ -379,7 +407,9 @@ def _pipeline_docs(spark, tmp_path):
         role[i] = "copy"
         if j % 2:
             text[j % 100] = "changed"
-            role[i] = "near"
+            # The stage goes by its operator's contract: at most 4 bits of the fingerprint differ.
+            linked = (_fingerprint(" ".join(text)) ^ _fingerprint(" ".join(base))).bit_count() <= 4
+            role[i] = "near" if linked else "clean"
         rows.append((i, " ".join(text)))
     for i in range(700, 710):
         rows.append((i, " ".join([*_words(rng, 80), item, *_words(rng, 30)])))
@@ -392,6 +422,7 @@ def _pipeline_docs(spark, tmp_path):
 def test_pipeline_stages_take_effect_and_keep_clean_documents(spark, tmp_path):
     docs, role = _pipeline_docs(spark, tmp_path)
     columns = docs.columns
+    assert list(role.values()).count("near") >= 5
     removed = {"toxicity": "toxic", "exact_dedup": "copy", "near_dedup": "near", "decontamination": "leak"}
     gone = set()
     for name, stage in corpus_pipeline.STAGES[:-1]:
