@@ -7,7 +7,10 @@ repeats, keyboard walks and single characters tried at random.
 
 from __future__ import annotations
 
-from math import log10
+from collections.abc import Iterable
+from heapq import heappop, heappush
+from itertools import product
+from math import inf, log10
 
 #: Words that are tried first, in this order.
 COMMON = (
@@ -24,18 +27,67 @@ LOOKALIKES = str.maketrans("@4301!5$7", "aaeoiisst")
 ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 
 _RANK = {word: rank for rank, word in enumerate(COMMON, 1)}
-_LONGEST = max(map(len, COMMON))
 _PLACE = {c: (x + 0.5 * y, y) for y, row in enumerate(ROWS) for x, c in enumerate(row)}
+_NEAR = {
+    a + b
+    for (a, (ax, ay)), (b, (bx, by)) in product(_PLACE.items(), repeat=2)
+    if a != b and abs(ax - bx) <= 1 and abs(ay - by) <= 1
+}
+#: A-Z in lower case; other letters stay, so that places do not shift.
+_LOWER = {ord(c): ord(c) + 32 for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
 #: Logarithm of the ways to order one more part.
 _JOIN = log10(2)
 _YEARS = 150
 
 
-def _near(a: str, b: str) -> bool:
-    if a not in _PLACE or b not in _PLACE or a == b:
-        return False
-    (ax, ay), (bx, by) = _PLACE[a], _PLACE[b]
-    return abs(ax - bx) <= 1 and abs(ay - by) <= 1
+class Words:
+    """Words by rank: the fixed ones first, then others in the order given."""
+
+    def __init__(self, others: Iterable[str] = ()):
+        self.rank = dict(_RANK)
+        for word in others:
+            self.rank.setdefault(word, len(self.rank) + 1)
+        self.longest = max(map(len, self.rank))
+
+
+_FIXED = Words()
+
+
+class _Runs:
+    """How far runs go from a place in a text.  What was found for one place serves all within the run."""
+
+    def __init__(self, value: str, low: str):
+        self.value, self.low = value, low
+        self.repeats: dict[int, tuple[int, int]] = {}
+        self.walk = (0, 0)
+
+    def repeat_end(self, i: int, size: int) -> int:
+        """Where the text stops to repeat itself after ``size`` characters, counted from ``i``."""
+        begin, end = self.repeats.get(size, (0, 0))
+        if not begin <= i < end:
+            value, end, step = self.value, i, 16
+            while step:  # ever larger pieces while they are alike, then ever smaller ones
+                alike = value[end : end + step] == value[end + size : end + size + step] and end + size + step <= len(value)
+                end, step = (end + step, step * 2) if alike else (end, step // 2)
+                if not alike and step:
+                    break
+            while step:
+                if end + size + step <= len(value) and value[end : end + step] == value[end + size : end + size + step]:
+                    end += step
+                else:
+                    step //= 2
+            self.repeats[size] = (i, end)
+        return end
+
+    def walk_end(self, i: int) -> int:
+        """Where the walk over neighbouring keys from ``i`` ends."""
+        begin, end = self.walk
+        if not begin <= i < end:
+            low, n, end = self.low, len(self.low), i + 1
+            while end < n and low[end - 1 : end + 1] in _NEAR:
+                end += 1
+            self.walk = (i, end)
+        return end
 
 
 def _at_random(c: str) -> float:
@@ -60,36 +112,48 @@ def _date(text: str) -> float | None:
     return None
 
 
-def guess_cost(value: str) -> float:
-    """Base-10 logarithm of the guesses that ``value`` takes."""
+def guess_cost(value: str, words: Words = _FIXED, enough: float = inf) -> float:
+    """Base-10 logarithm of the guesses that ``value`` takes; infinite if it is ``enough`` or more.
+
+    Places are taken from left to right, and only those that some split reaches for less than
+    ``enough``; so a long value is given up as soon as none is left.
+    """
     n = len(value)
-    low = value.lower()
+    low = value.translate(_LOWER)
     plain = low.translate(LOOKALIKES)
-    best = [0.0] + [float("inf")] * n
+    runs = _Runs(value, low)
+    best = {0: 0.0}
+    open_ = [0]
 
-    def reach(i: int, j: int, cost: float) -> None:
-        best[j] = min(best[j], best[i] + cost)
+    def reach(j: int, cost: float) -> None:
+        if cost < min(enough, best.get(j, inf)):
+            if j not in best:
+                heappush(open_, j)
+            best[j] = cost
 
-    for i in range(n):
-        reach(i, i + 1, _at_random(value[i]))
-        for j in range(i + 3, min(n, i + _LONGEST) + 1):
+    while open_:
+        i = heappop(open_)
+        if i == n:
+            break
+        so_far = best[i]
+        reach(i + 1, so_far + _at_random(value[i]))
+        for j in range(i + 3, min(n, i + words.longest) + 1):
             for form, extra in ((low, 0.0), (plain, log10(4))):
-                if (rank := _RANK.get(form[i:j])) is not None:
+                if (rank := words.rank.get(form[i:j])) is not None:
                     mixed = 0.0 if value[i:j] in (low[i:j], low[i:j].upper()) else log10(4)
-                    reach(i, j, log10(rank + 1) + mixed + extra + _JOIN)
+                    reach(j, so_far + log10(rank + 1) + mixed + extra + _JOIN)
         for j in range(i + 4, min(n, i + 10) + 1):
             if (cost := _date(value[i:j])) is not None:
-                reach(i, j, cost + _JOIN)
+                reach(j, so_far + cost + _JOIN)
         for size in (1, 2, 3, 4):
-            unit, j = value[i : i + size], i + size
-            while value.startswith(unit, j) and len(unit) == size:
-                j += size
-            if j > i + max(2, size):
-                reach(i, j, sum(map(_at_random, unit)) + log10((j - i) // size) + _JOIN)
+            if i + size > n:
+                break
+            copies = 1 + (runs.repeat_end(i, size) - i) // size
+            if size * copies > max(2, size):
+                unit = sum(map(_at_random, value[i : i + size]))
+                reach(i + size * copies, so_far + unit + log10(copies) + _JOIN)
                 break
-        j = i + 1
-        while j < n and _near(low[j - 1], low[j]):
-            j += 1
+        j = runs.walk_end(i)
         if j - i >= 4:
-            reach(i, j, log10(len(_PLACE) * (j - i) * 4) + _JOIN)
-    return best[n]
+            reach(j, so_far + log10(len(_PLACE) * (j - i) * 4) + _JOIN)
+    return best.get(n, inf)

@@ -23,6 +23,8 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +34,10 @@ from duesmith.sources.workspace import stored
 KINDS = ("email", "ip", "card", "phone")
 #: Possessive groups keep the matcher from recursing on very long runs; they match the same.
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++",
-    "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
+    # A run that fails from its first character fails from all others, which are not tried; a match
+    # may begin within a run only where the one before has ended.
+    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
+    "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     # Shorter runs of digits would be dropped anyway.
     "card": r"[0-9](?:[\x20-]?[0-9]){12,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
@@ -41,22 +45,31 @@ PATTERNS = {
 #: What a text must contain for a search to be worth while.
 NEEDED = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
-#: Characters before a seed among which its context is looked for.
+#: Characters before a seed among which its context, its last one or two words, is looked for; of a
+#: word that begins further back only what lies within them counts.
 LOOK_BACK = 80
+#: Elements of an array that are handled together.
+BLOCK = 256
 LEAST_SEEDS = 3
 LEAST_CONFIDENCE = 0.7
 ROUNDS = 3
 SPAN = "struct<start: int, end: int, value: string>"
 
 
+def _blocks(items: Column) -> Column:
+    """A non-empty array in parts of ``BLOCK``: what grows element by element is only ever as long as one."""
+    first = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int"))
+    return F.transform(first, lambda n: F.slice(items, n * BLOCK + 1, F.lit(BLOCK)))
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """Start, end (in code points) and value of every match, from left to right."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.slice(F.split(text, pattern, -1), 1, F.size(found))
-    sizes = F.zip_with(
-        gaps, found, lambda gap, value: F.struct(F.length(gap).alias("gap"), F.length(value).alias("size"), value.alias("value"))
-    )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+    none = F.array().cast(f"array<{SPAN}>")
 
     def put(done: Column, x: Column) -> Column:
         begin = done["at"] + x["gap"]
@@ -64,7 +77,33 @@ def _matches(text: Column, pattern: str) -> Column:
         span = F.struct(begin.alias("start"), end.alias("end"), x["value"].alias("value"))
         return F.struct(end.alias("at"), F.concat(done["out"], F.array(span)).alias("out"))
 
-    return F.aggregate(sizes, start, put)["out"]
+    def placed(block: Column, at: Column) -> Column:
+        return F.aggregate(block, F.struct(at.alias("at"), none.alias("out")), put)["out"]
+
+    def placed_in_blocks(blocks: Column) -> Column:
+        totals = F.transform(
+            blocks, lambda block: F.aggregate(block, F.lit(0), lambda done, x: done + x["gap"] + x["size"])
+        )
+        begins = F.aggregate(
+            totals, F.array(F.lit(0)), lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x))
+        )
+        return F.flatten(F.zip_with(blocks, F.slice(begins, F.lit(1), F.size(blocks)), placed))
+
+    def sized(found: Column) -> Column:
+        return F.zip_with(
+            F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)),
+            found,
+            lambda gap, value: F.struct(F.length(gap).alias("gap"), F.length(value).alias("size"), value.alias("value")),
+        )
+
+    def all_placed(sizes: Column) -> Column:
+        few = F.when(F.size(sizes) <= BLOCK, placed(sizes, F.lit(0)))
+        return few.otherwise(_let(_blocks(sizes), placed_in_blocks))
+
+    def found_placed(found: Column) -> Column:
+        return F.when(F.size(found) == 0, none).otherwise(_let(sized(found), all_placed))
+
+    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), found_placed)
 
 
 def _digits(value: Column) -> Column:
@@ -131,7 +170,9 @@ def _contexts(before: Column) -> Column:
 
 def _bare(value: Column) -> Column:
     """A token without quotes, brackets and full stops around it."""
-    return F.regexp_extract(value, r"^[^\p{L}\p{N}+@]*(.*?)[^\p{L}\p{N}]*$", 1)
+    ends = r"^[^\p{L}\p{N}+@]++|(?:(?<=[\p{L}\p{N}])|^)[^\p{L}\p{N}]++$"
+    # What stands in front of a value may be all that there is: then the rest ends it.
+    return F.regexp_replace(F.regexp_replace(value, ends, ""), ends, "")
 
 
 def _tokens(text: Column, bases: Column) -> Column:
@@ -139,17 +180,25 @@ def _tokens(text: Column, bases: Column) -> Column:
     none = F.array().cast(f"array<{SPAN}>")
 
     def bare(s: Column) -> Column:
-        value = _bare(s["value"])
-        begin = (s["start"] + F.instr(s["value"], value) - 1).cast("int")
-        return F.struct(begin.alias("start"), (begin + F.length(value)).cast("int").alias("end"), value.alias("value"))
+        def cut(value: Column) -> Column:
+            begin = (s["start"] + F.instr(s["value"], value) - 1).cast("int")
+            end = (begin + F.length(value)).cast("int")
+            return F.struct(begin.alias("start"), end.alias("end"), value.alias("value"))
 
-    def free(s: Column) -> Column:
-        return (F.length(s["value"]) >= 4) & ~F.exists(
-            bases, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])
-        )
+        return _let(_bare(s["value"]), cut)
+
+    def meet(b: Column, s: Column) -> Column:
+        return (b["start"] < s["end"]) & (s["start"] < b["end"])
+
+    def free(block: Column) -> Column:
+        """Those that touch no base span; spans are first reduced to those around the block."""
+        around = F.struct(F.get(block, F.lit(0))["start"].alias("start"), F.element_at(block, -1)["end"].alias("end"))
+        near = _let(around, lambda x: F.filter(bases, lambda b: meet(b, x)))
+        return _let(near, lambda some: F.filter(block, lambda s: ~F.exists(some, lambda b: meet(b, s))))
 
-    found = F.filter(F.transform(_matches(text, TOKEN), bare), free)
-    return F.when(text.rlike("[0-9@]"), found).otherwise(none)
+    found = F.filter(F.transform(_matches(text, TOKEN), bare), lambda s: F.length(s["value"]) >= 4)
+    kept = _let(found, lambda s: F.when(F.size(s) > 0, F.flatten(F.transform(_blocks(s), free))).otherwise(none))
+    return F.when(text.rlike("[0-9@]"), kept).otherwise(none)
 
 
 def _scores(edges: DataFrame) -> DataFrame:
