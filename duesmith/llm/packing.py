@@ -146,7 +146,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     plan = spark.createDataFrame(rows, f"length bigint, slots array<{slot}>")
 
     chunks = -(-max(sum(histogram.values()), 1) // RANK_CHUNK)
-    dealt = pieces.withColumn("chunk_", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(chunks)))
+    # By all that tells pieces apart, so that null and repeated ids are dealt like others.
+    apart = [name for name in ("doc_id", "piece", "start", "length", "ids_crc32") if name in pieces.columns]
+    dealt = pieces.withColumn("chunk_", F.pmod(F.xxhash64(*apart), F.lit(chunks)))
     before = Window.partitionBy("length").orderBy("chunk_").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         dealt.groupBy("length", "chunk_")

@@ -53,7 +53,8 @@ BLOCK = 256
 LEAST_SEEDS = 3
 LEAST_CONFIDENCE = 0.7
 ROUNDS = 3
-SPAN = "struct<start: int, end: int, value: string>"
+#: A span, with the characters before it that may be its context.
+SPAN = "struct<start: int, end: int, value: string, before: string>"
 
 
 def _blocks(items: Column) -> Column:
@@ -74,7 +75,7 @@ def _matches(text: Column, pattern: str) -> Column:
     def put(done: Column, x: Column) -> Column:
         begin = done["at"] + x["gap"]
         end = begin + x["size"]
-        span = F.struct(begin.alias("start"), end.alias("end"), x["value"].alias("value"))
+        span = F.struct(begin.alias("start"), end.alias("end"), x["value"].alias("value"), x["before"].alias("before"))
         return F.struct(end.alias("at"), F.concat(done["out"], F.array(span)).alias("out"))
 
     def placed(block: Column, at: Column) -> Column:
@@ -90,10 +91,18 @@ def _matches(text: Column, pattern: str) -> Column:
         return F.flatten(F.zip_with(blocks, F.slice(begins, F.lit(1), F.size(blocks)), placed))
 
     def sized(found: Column) -> Column:
-        return F.zip_with(
-            F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)),
-            found,
-            lambda gap, value: F.struct(F.length(gap).alias("gap"), F.length(value).alias("size"), value.alias("value")),
+        def one(gaps: Column, value: Column, i: Column) -> Column:
+            # Two matches further back are two words at least.
+            before = F.concat_ws("", F.get(found, i - 2), F.get(gaps, i - 1), F.get(found, i - 1), F.get(gaps, i))
+            return F.struct(
+                F.length(F.get(gaps, i)).alias("gap"),
+                F.length(value).alias("size"),
+                value.alias("value"),
+                F.right(before, F.lit(LOOK_BACK)).alias("before"),
+            )
+
+        return _let(
+            F.split(text, pattern, -1), lambda gaps: F.transform(found, lambda value, i: one(gaps, value, i))
         )
 
     def all_placed(sizes: Column) -> Column:
@@ -149,11 +158,6 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(worth, F.filter(_matches(text, PATTERNS[kind]), lambda s: VALID[kind](s["value"]))).otherwise(none)
 
 
-def _before(text: Column, start: Column) -> Column:
-    """The text before a place, as far as contexts reach."""
-    return F.substring(text, F.greatest(start - LOOK_BACK, F.lit(0)) + 1, F.least(start, F.lit(LOOK_BACK)))
-
-
 def _contexts(before: Column) -> Column:
     """The last word and the last two words, in lower case, without outer punctuation."""
     words = F.filter(
@@ -183,7 +187,7 @@ def _tokens(text: Column, bases: Column) -> Column:
         def cut(value: Column) -> Column:
             begin = (s["start"] + F.instr(s["value"], value) - 1).cast("int")
             end = (begin + F.length(value)).cast("int")
-            return F.struct(begin.alias("start"), end.alias("end"), value.alias("value"))
+            return F.struct(begin.alias("start"), end.alias("end"), value.alias("value"), s["before"].alias("before"))
 
         return _let(_bare(s["value"]), cut)
 
@@ -242,16 +246,16 @@ def personal_spans(docs: DataFrame) -> DataFrame:
                 s["start"].alias("start"),
                 s["end"].alias("end"),
                 F.lower(s["value"]).alias("value"),
-                _contexts(_before(text, s["start"])).alias("patterns"),
+                _contexts(s["before"]).alias("patterns"),
             ),
         )
 
     others = _tokens(text, F.concat(*map(F.col, KINDS)))
     instances = F.concat(*[with_context(kind, F.col(kind)) for kind in KINDS], with_context(None, others))
     # The four columns must be there before the tokens between them can be told.
-    searched = stored(
-        searched.withColumn("instances", instances).select("doc_id", "row_key", *KINDS, "instances"), "personal-data"
-    )
+    told = [F.transform(kind, lambda s: s.dropFields("before")).alias(kind) for kind in KINDS]
+    searched = searched.withColumn("instances", instances).select("doc_id", "row_key", *told, "instances")
+    searched = stored(searched, "personal-data")
 
     seen = searched.select("row_key", F.explode("instances").alias("i")).select("row_key", "i.*")
     edges = seen.select(F.explode("patterns").alias("pattern"), "value", "kind")
