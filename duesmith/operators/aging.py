@@ -132,11 +132,13 @@ def ar_aging(
     business_unit: int | None = None,
     party: int | None = None,
     account: int | None = None,
+    party_roles: DataFrame | None = None,
 ) -> DataFrame:
     """Open amounts by days past due for each unit, account, party, agreement and role.
 
     Only invoices with a positive net enter the buckets; negative nets add up to
-    the account credit, which stays NULL where there is none.
+    the account credit, which stays NULL where there is none.  ``party_roles`` (``party_role_id``)
+    asks for the rows of some roles, at the cost of their invoices.
     """
     invoices = T.tx_invoice.where(F.col("target_date") < ts(as_of))
     roles = T.party_role.select("party_role_id", "party_id")
@@ -147,8 +149,10 @@ def ar_aging(
     if party is not None:
         roles = roles.where(F.col("party_id") == party)
         invoices = invoices.join(roles, "party_role_id", "left_semi")
+    if party_roles is not None:
+        invoices = invoices.join(keys_of(party_roles, "party_role_id"), "party_role_id", "left_semi")
     tx = T.tx_transaction
-    if (business_unit, party, account) != (None, None, None):
+    if (business_unit, party, account, party_roles) != (None, None, None, None):
         tx = lines_of(tx, invoices)
 
     requests = T.invoice_request.select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -113,7 +113,7 @@ def cash_overcredited(T: Tables, interfaces: Sequence[int]) -> DataFrame:
 
 def repeat_declines(
     T: Tables,
-    aging: DataFrame,
+    aging: DataFrame | Callable[[DataFrame], DataFrame],
     card_like: str = "%VISA%",
     sponsor_like: str = "%Sponsor%",
     min_past_due: Decimal | str = "1",
@@ -124,7 +124,8 @@ def repeat_declines(
 
     A funnel: invoices with a decline row for the card; party roles with more than
     one decline row on such invoices; their unsponsored declines under an active
-    agreement; members with more than one of those; members past due.
+    agreement; members with more than one of those; members past due.  ``aging`` is a snapshot, or
+    what gives the aging rows of the few roles (``party_role_id``) that are left by then.
     """
     declines = T.tx_transaction.where(
         (F.col("tx_type_id") == TX_PAYMENT) & ~F.col("is_accounting_credit")
@@ -135,29 +136,31 @@ def repeat_declines(
     on_card = stored(declines.join(first, "tx_invoice_id", "left_semi").join(invoices, "tx_invoice_id"), "declines")
     repeated = on_card.groupBy("party_role_id").agg(F.count("*").alias("n")).where(F.col("n") > 1)
 
+    repeated = stored(repeated.select("party_role_id"), "declined-roles")
     agreements = (
         T.member_agreement.where(F.col("status") == status)
+        .join(repeated, "party_role_id", "left_semi")
         .groupBy("party_role_id")
         .agg(F.count("*").alias("agreements"))
     )
     third = (
         on_card.where(~like("description", sponsor_like, ignore_case))
-        .join(repeated.select("party_role_id"), "party_role_id", "left_semi")
+        .join(repeated, "party_role_id", "left_semi")
         .join(T.party_role.select("party_role_id", "role_id"), "party_role_id")
         .join(agreements, "party_role_id")
     )
     third = stored(third, "declines")
     # Each decline counts once for every active agreement, as the original join repeats it.
     fourth = third.groupBy("role_id").agg(F.sum("agreements").alias("n")).where(F.col("n") > 1)
-    past_due = keys_of(aging.where(F.col("total_past_due") > money(F.lit(str(min_past_due)))), "party_role_id")
-    members = keys_of(
-        T.party_role.where(F.col("party_role_type_id") == ROLE_MEMBER)
-        .join(past_due, "party_role_id", "left_semi"),
-        "role_id",
+    left = T.party_role.where(F.col("party_role_type_id") == ROLE_MEMBER).join(
+        fourth.select("role_id"), "role_id", "left_semi"
     )
+    left = stored(left.select("party_role_id", "role_id"), "declined-members")
+    rows = aging(left) if callable(aging) else aging
+    past_due = keys_of(rows.where(F.col("total_past_due") > money(F.lit(str(min_past_due)))), "party_role_id")
+    members = keys_of(left.join(past_due, "party_role_id", "left_semi"), "role_id")
     return (
-        third.join(fourth.select("role_id"), "role_id", "left_semi")
-        .join(members, "role_id", "left_semi")
+        third.join(members, "role_id", "left_semi")
         .select("role_id", "tx_invoice_id", "billing_status", "tx_invoice_status_id", "description", "link_type_id")
         .distinct()
     )

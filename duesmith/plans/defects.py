@@ -406,7 +406,8 @@ WHERE tx_payment_id IS NULL AND invoice_request_id IN (SELECT invoice_request_id
         lambda T: payment_defects.cash_overcredited(T, CASH_INTERFACES), OVERCREDITED
     ),
     "repeat_card_declines": Query(
-        lambda T: payment_defects.repeat_declines(T, aging.ar_aging(T, AS_OF)), DECLINES
+        lambda T: payment_defects.repeat_declines(T, lambda roles: aging.ar_aging(T, AS_OF, party_roles=roles)),
+        DECLINES,
     ),
     "rebill_candidates": Query(
         lambda T: payment_defects.rebill_candidates(T, BILLING_UNITS, BILLING_DATE, 7, 700), REBILLS
