@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duesmith.functions.relations import keys_of
@@ -136,6 +136,11 @@ def run_label(started: datetime) -> str:
     return f"invoice_removal_{started:%Y_%m_%d_%H_%M_%S}"
 
 
+def run_label_of(started: Column) -> Column:
+    """The same for a column of starts."""
+    return F.date_format(started, "'invoice_removal_'yyyy_MM_dd_HH_mm_ss")
+
+
 def before_images(
     T: Tables, plan: DataFrame, run_folder: str, tables: Sequence[str] = tuple(table for table, _, _ in ACTIONS)
 ) -> dict[str, DataFrame]:

@@ -373,5 +373,13 @@ QUERIES: dict[str, Query] = {
         )
         for table, condition in _CLEARS.values()
     },
+    "removal_run_label": Query(
+        lambda T: T.tx_invoice.join(_suspects(T).distinct(), "tx_invoice_id", "left_semi").select(
+            "tx_invoice_id", removal.run_label_of(F.col("target_date")).alias("run_label")
+        ),
+        f"""WITH {_TARGETS}
+SELECT tx_invoice_id, strftime(target_date, 'invoice_removal_%Y_%m_%d_%H_%M_%S') AS run_label
+FROM {{tx_invoice}} WHERE {_IN_TARGETS}""",
+    ),
     "before_images": Query(_images, f"SELECT table_name, row_key FROM ({DRY_RUN}) p"),
 }
