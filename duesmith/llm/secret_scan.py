@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from duesmith.llm.common import id_and_text, read_table, ship_code, texts_of
 from duesmith.llm.guessing import Words, guess_cost
+from duesmith.sources.workspace import stored
 
 KINDS = ("assign", "access", "hex", "guess")
 #: Guesses, as a power of ten, from which a value counts as a secret.
@@ -47,7 +48,11 @@ _WORDS = ("passw", "secret", "token", "apikey", "api_key", "passphrase", "passco
 
 
 def common_words(docs: DataFrame, most: int = MOST_WORDS) -> list[str]:
-    """The ``most`` words of 3 to 20 letters a-z that the most documents have, in that order."""
+    """About ``most`` words of 3 to 20 letters a-z that the most documents have, in that order.
+
+    Classes of like frequency are taken whole from the top; of the class at the border a hash chooses
+    as many as there is room for.  So only the sizes of classes and the chosen words are collected.
+    """
     found = F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), "[^a-z]+"))
     counted = (
         docs.select(F.explode(found).alias("word"))
@@ -56,7 +61,17 @@ def common_words(docs: DataFrame, most: int = MOST_WORDS) -> list[str]:
         .agg(F.count("*").alias("n"))
         .where(F.col("n") >= LEAST_DOCUMENTS)
     )
-    return [row["word"] for row in counted.orderBy(F.desc("n"), "word").limit(most).collect()]
+    counted = stored(counted, "word-counts").withColumn("class", F.floor(8 * F.log2("n")))
+    sizes = {row["class"]: row["count"] for row in counted.groupBy("class").count().collect()}  # a few hundred
+    room, border, share = most, -1, 0.0
+    for level in sorted(sizes, reverse=True):
+        if sizes[level] > room:
+            border, share = level, room / sizes[level]
+            break
+        room -= sizes[level]
+    by_hash = F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < int(share * (1 << 20))
+    chosen = counted.where((F.col("class") > border) | ((F.col("class") == border) & by_hash)).collect()
+    return [row["word"] for row in sorted(chosen, key=lambda row: (-row["n"], row["word"]))]
 
 
 def _joined_up(spans: list[tuple[str, int, int]]) -> tuple[list[int], list[int]]:

@@ -95,6 +95,16 @@ def test_ordinary_words_are_no_secrets(spark):
     assert spans == {(100, "x7#kQ9!zWv"), (100, "zebrafinch")}  # a word of one document alone is none
 
 
+def test_common_words_are_chosen_by_frequency(spark):
+    rows = [(i, " ".join([f"often{c}" for c in "abc"] + [f"w{chr(97 + i % 26)}{chr(97 + k)}x" for k in range(20)])) for i in range(260)]
+    rows += [(1000 + i, "rare words stand here") for i in range(3)] + [(2000, None), (2001, "")]
+    every = secret_scan.common_words(cases.documents(spark, rows))
+    assert len(every) == 3 + 26 * 20 and set(every[:3]) == {"oftena", "oftenb", "oftenc"}
+    some = secret_scan.common_words(cases.documents(spark, rows), most=100)
+    assert every[:3] == some[:3] and 60 < len(some) < 140 and set(some) < set(every)
+    assert secret_scan.common_words(cases.nothing(spark)) == []
+
+
 LONG = {
     "letters": "x" * 400_000 + " @ y",
     "letters and a domain": "x" * 400_000 + "@a.b",
