@@ -224,9 +224,16 @@ def zero_fill(aging: DataFrame, T: Tables) -> DataFrame:
     return aging.unionByName(zero_rows(aging, T))
 
 
-def due_invoices(T: Tables, as_of: datetime | str, parties: DataFrame | None = None) -> DataFrame:
-    """Invoices before the cutoff on accounts that the parties hold as primary ones."""
+def due_invoices(
+    T: Tables, as_of: datetime | str, parties: DataFrame | None = None, external: DataFrame | None = None
+) -> DataFrame:
+    """Invoices before the cutoff on accounts that the parties hold as primary ones.
+
+    ``external`` names accounts (``client_account_id``) that are to be left out.
+    """
     holders = T.client_account_party.where("primary_party").select("party_id", "client_account_id")
+    if external is not None:
+        holders = holders.join(keys_of(external, "client_account_id"), "client_account_id", "left_anti")
     invoices = T.tx_invoice.where(F.col("target_date") < ts(as_of)).select(
         "tx_invoice_id",
         "client_account_id",
@@ -352,7 +359,9 @@ def party_due_buckets(
     )
 
 
-def buckets_of_parties(T: Tables, as_of: datetime | str, parties: DataFrame) -> DataFrame:
-    """Due buckets of the given parties, at the cost of their own invoices."""
-    invoices = due_invoices(T, as_of, parties)
+def buckets_of_parties(
+    T: Tables, as_of: datetime | str, parties: DataFrame, external: DataFrame | None = None
+) -> DataFrame:
+    """Due buckets of the given parties, at the cost of their own invoices; without ``external`` accounts."""
+    invoices = due_invoices(T, as_of, parties, external)
     return party_due_buckets(transactions_due(T, as_of, parties, invoices), T, as_of, invoices)

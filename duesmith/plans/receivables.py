@@ -409,6 +409,10 @@ def _after_changes(T: Tables) -> DataFrame:
 KNOWN = f"SELECT * FROM ({FILLED}) f WHERE business_unit_id IN (SELECT business_unit_id FROM {{business_unit}})"
 
 
+# No table says which accounts are external; callers name them.
+_EXTERNAL = "client_account_id % 11 = 4"
+
+
 def _some_parties(T: Tables) -> DataFrame:
     """Every seventh member."""
     return T.party_role.where((F.col("party_role_type_id") == ROLE_MEMBER) & (F.col("party_id") % 7 == 0))
@@ -475,6 +479,13 @@ UNION ALL SELECT DATE '{LATER[:10]}', f.* FROM ({KNOWN.replace(AS_OF, LATER)}) f
         lambda T: aging.buckets_of_parties(T, AS_OF, _some_parties(T)),
         f"""SELECT b.* FROM ({BUCKETS}) b WHERE party_id IN (
   SELECT party_id FROM {{party_role}} WHERE party_role_type_id = 1 AND party_id % 7 = 0)""",
+    ),
+    "party_due_buckets_without_external": Query(
+        lambda T: aging.buckets_of_parties(
+            T, AS_OF, _some_parties(T), T.client_account_party.where(_EXTERNAL)
+        ),
+        f"""SELECT b.* FROM ({BUCKETS.replace("AND cap.primary_party", f"AND cap.primary_party AND NOT (cap.{_EXTERNAL})")}) b
+WHERE party_id IN (SELECT party_id FROM {{party_role}} WHERE party_role_type_id = 1 AND party_id % 7 = 0)""",
     ),
     "billing_base": Query(_base, BASE),
     "sale_amount_by_group": Query(lambda T: _amounts(T, TX_SALE), _amounts_sql(1)),
