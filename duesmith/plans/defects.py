@@ -51,11 +51,15 @@ FROM {{payment_request}} mapr
 JOIN ({DUPLICATED}) d ON d.invoice_request_id = mapr.invoice_request_id AND d.due_date_utc IS NOT DISTINCT FROM mapr.due_date_utc
 WHERE mapr.process_type IS NULL"""
 
+# As it was written, every request of an invoice request stands once for each of its duplicate groups,
+# so a position counts each earlier request that many times.
 RANKED_AS_WRITTEN = f"""
-SELECT DISTINCT rank() OVER (PARTITION BY d.invoice_request_id ORDER BY mapr.status, mapr.payment_request_id) AS position,
-       mapr.payment_request_id, mapr.invoice_request_id, mapr.due_date_utc, mapr.status, mapr.tx_payment_id
-FROM {{payment_request}} mapr
-JOIN ({DUPLICATED}) d ON d.invoice_request_id = mapr.invoice_request_id"""
+SELECT (numbered.nth - 1) * repeated.times + 1 AS position,
+       payment_request_id, invoice_request_id, due_date_utc, status, tx_payment_id
+FROM (SELECT *, row_number() OVER (PARTITION BY invoice_request_id ORDER BY status, payment_request_id) AS nth
+      FROM {{payment_request}}) numbered
+JOIN (SELECT invoice_request_id, count(*) AS times FROM ({DUPLICATED}) found GROUP BY invoice_request_id) repeated
+  USING (invoice_request_id)"""
 
 ORPHANS = """
 SELECT mapri.* FROM {payment_request_item} mapri

@@ -166,15 +166,14 @@ UTC_TO = f"(timezone('{ZONE}', TIMESTAMP '{TO}') AT TIME ZONE 'UTC')"
 BASE = f"""
 SELECT * FROM {{billing_service_tx}} WHERE target_date_utc >= {UTC_FROM} AND target_date_utc < {UTC_TO}"""
 
+# Kept are rows that were not declined, whose decline is booked, or whose payment a response of the
+# window's payments declines.
 REPORTABLE = f"""
-(b.is_payment_declined = false
- OR (b.is_payment_declined AND b.decline_tx_payment_id IS NOT NULL)
- OR (b.is_payment_declined AND b.decline_tx_payment_id IS NULL AND EXISTS (
-       SELECT 1 FROM {{payment_process_response}} rsp
-       JOIN {{payment_process_request}} req ON req.payment_process_request_id = rsp.payment_process_request_id
-       JOIN {{tx_payment}} dpay ON dpay.tx_payment_id = req.tx_payment_id
-       WHERE rsp.decline_tx_payment_id = b.tx_payment_id
-         AND dpay.target_date_utc >= {UTC_FROM} AND dpay.target_date_utc < {UTC_TO})))"""
+(NOT b.is_payment_declined OR b.decline_tx_payment_id IS NOT NULL OR b.tx_payment_id IN (
+   SELECT answer.decline_tx_payment_id FROM {{tx_payment}} paid
+   JOIN {{payment_process_request}} asked USING (tx_payment_id)
+   JOIN {{payment_process_response}} answer USING (payment_process_request_id)
+   WHERE paid.target_date_utc >= {UTC_FROM} AND paid.target_date_utc < {UTC_TO}))"""
 
 _NEAR = f"abs(date_diff('day', b.due_date_utc, {UTC_TO})) <= 30"
 _FAR = f"abs(date_diff('day', b.due_date_utc, {UTC_TO})) > 30"
