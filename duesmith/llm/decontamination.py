@@ -1,9 +1,9 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. Document frequencies of hashed words are counted over all documents.
-2. Benchmark passages and a bounded sample of document passages (``MOST_SAMPLE``) become TF-IDF
-   vectors over the benchmark's words; a randomised SVD of that matrix (random projection, a power
-   step, orthonormalisation, each a job over the rows) gives a latent space of ``RANK`` dimensions.
+2. Benchmark passages and all passages of all documents become TF-IDF vectors over the benchmark's
+   words; an SVD of that matrix (a power step from the benchmark's own directions and random ones,
+   orthonormalisation, each a job over the rows) gives a latent space of ``RANK`` dimensions.
 3. Every passage of every document (``PASSAGE`` words, half overlapping) is projected into the
    space and compared with the directions of all benchmark passages; for those with the least
    ``LATENT`` product the cosine of the TF-IDF vectors themselves decides who is a candidate.  Only
@@ -45,8 +45,8 @@ BITS = 18
 RANK = 96
 #: Benchmark passages that share a space, and how much more than a document's passage each weighs.
 SPACE_ITEMS, ITEM_WEIGHT = 256, 3.0
-#: Document passages that a space is fitted on besides, at most.
-MOST_SAMPLE = 2048
+#: What all passages of all documents weigh together in a space, at most; each document the same.
+DOCUMENTS_WEIGHT = 2048
 #: Benchmark passages that travel together; an item has one passage or more.
 BLOCK_ITEMS = 1024
 #: Words of a document passage, and of the halves by which passages move on.
@@ -54,8 +54,13 @@ PASSAGE = 32
 STEP = PASSAGE // 2
 #: Words of a benchmark passage at most; longer items are cut evenly.
 ITEM_WORDS = 64
-#: Tasks that share the rows of a space, and so parts of a matrix that meet on the driver.
+#: Tasks that add up the parts of a matrix, and so parts that the driver adds.
 FIT_TASKS = 4
+#: Parts that one task adds up, while there are more.
+FIT_JOIN = 16
+#: Documents whose passages one task multiplies, and words that it does together.
+FIT_DOCUMENTS = 16_384
+_PORTION = 1 << 15
 LEAST_WORDS = 8
 LATENT, LEAST_COSINE = 0.3, 0.3
 #: Words that follow each other as in the benchmark and so make a place a candidate.
@@ -215,72 +220,149 @@ class Runs:
                 yield int(text_of[word]), word, query
 
 
-def sampled_passages(docs: DataFrame, n: int, most: int = MOST_SAMPLE) -> DataFrame:
-    """``words`` (hashes) of one passage each of at most ``most`` of the ``n`` documents, chosen by a hash.
+def _squares(passage: np.ndarray, bucket: np.ndarray, idf: np.ndarray, n: int) -> np.ndarray:
+    """Squared lengths of the TF-IDF vectors of ``n`` passages, given the passage and bucket of each word."""
+    keys, tf = np.unique((passage << BITS) | bucket, return_counts=True)
+    return np.bincount(keys >> BITS, (tf * idf[keys & ((1 << BITS) - 1)]) ** 2, n)
 
-    The hash first leaves about twice as many; only their passages, no texts, are put in order.
+
+def all_passages(docs: DataFrame, n: int, idf: np.ndarray, wanted: np.ndarray) -> DataFrame:
+    """Every passage of every document, as it takes part in the fit: a row for each document that has words
+    of the benchmark, with the buckets ``at`` of these words, how many of them each passage has
+    (``sizes``) and what passages are multiplied by (``scales``).
+
+    A document's passages lie next to each other.  Documents weigh the same, however many passages
+    they have, and together as much as ``DOCUMENTS_WEIGHT`` passages of weight 1.
     """
-    ship_code(docs.sparkSession)
+    spark = docs.sparkSession
+    ship_code(spark)
+    shared = spark.sparkContext.broadcast((idf, wanted))
+    share = min(1.0, DOCUMENTS_WEIGHT / max(n, 1))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf, wanted = shared.value
         for batch in batches:
-            found = []
-            for words in _hashed(batch.column("text").to_pylist()):
-                places = max(1, len(words) - PASSAGE)
-                begin = words[0] % places if words else 0
-                found.append(_signed(words[begin : begin + PASSAGE]))
-            yield pa.RecordBatch.from_arrays([batch.column("place"), pa.array(found, pa.list_(pa.int64()))], ["place", "words"])
-
-    spread = 1 << 40
-    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(spread))
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select(place.alias("place"), "text")
-    chosen = texts.where(F.col("place") < int(spread * min(1.0, 2 * most / max(n, 1))))
-    passages = chosen.mapInArrow(cut, "place bigint, words array<bigint>")
-    return passages.orderBy("place", "words").limit(most).select("words")
-
-
-def fit(queries: list[Query], sample: DataFrame, idf: np.ndarray, rank: int = RANK) -> LatentSpace:
-    """Randomised SVD of the TF-IDF matrix of queries and sampled passages; tasks work on their share of the rows."""
-    spark = sample.sparkSession
-    vocabulary = np.unique([h >> (64 - BITS) for query in queries for h in query.words])
+            found: list[tuple[bytes, bytes, bytes]] = []
+            for words in words_of(batch.column("text"), NOT_ALNUM, lower=True):
+                bucket, text = _buckets(words), words.text_of
+                tiles = -(-np.diff(words.cuts) // PASSAGE)
+                edges = np.append(0, np.cumsum(tiles))
+                passage = edges[text] + (np.arange(len(bucket)) - words.cuts[text]) // PASSAGE
+                squares = _squares(passage, bucket, idf, edges[-1])
+                scales = np.sqrt(share / np.repeat(tiles, tiles) / np.maximum(squares, 1e-24)).astype(np.float32)
+                known = wanted[bucket]
+                sizes = np.bincount(passage[known], minlength=edges[-1]).astype(np.int32)
+                at = bucket[known].astype(np.int32)
+                begins = np.append(0, np.cumsum(sizes))[edges]
+                for i in np.flatnonzero(np.diff(begins)).tolist():
+                    low, high = edges[i], edges[i + 1]
+                    found.append((
+                        at[begins[i] : begins[i + 1]].tobytes(), sizes[low:high].tobytes(), scales[low:high].tobytes()
+                    ))
+            columns = [pa.array(x, pa.binary()) for x in (zip(*found, strict=True) if found else [()] * 3)]
+            yield pa.RecordBatch.from_arrays(columns, ["at", "sizes", "scales"])
+
+    return docs.select("text").mapInArrow(cut, "at binary, sizes binary, scales binary")
+
+
+def _projected(
+    at: np.ndarray, sizes: np.ndarray, scales: np.ndarray, table: np.ndarray
+) -> Iterator[tuple[np.ndarray, ...]]:
+    """Passages, as rows of a matrix, times ``table``: some at a time, so that what they make stays in cache,
+    each time the words' rows, the passage of each word, the products
+    and the passages' scales."""
+    ends = np.cumsum(sizes)
+    begin = 0
+    while begin < len(sizes):
+        first = ends[begin] - sizes[begin]
+        end = max(begin + 1, int(np.searchsorted(ends, first + _PORTION, "right")))
+        some = sizes[begin:end]
+        if ends[end - 1] > first:
+            rows, scale, some = at[first : ends[end - 1]], scales[begin:end][some > 0], some[some > 0]
+            y = np.add.reduceat(table[rows], np.cumsum(some) - some, axis=0)
+            yield rows, np.repeat(np.arange(len(some)), some), y * scale[:, None], scale
+        begin = end
+
+
+def _turned_back(rows: np.ndarray, owner: np.ndarray, y: np.ndarray, scale: np.ndarray, total: np.ndarray) -> None:
+    """Adds to ``total`` the transpose of that matrix times ``y``."""
+    order = np.argsort(rows, kind="stable")
+    ordered = rows[order]
+    heads = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    total[ordered[heads]] += np.add.reduceat((y * scale[:, None])[owner[order]], heads, axis=0)
+
+
+def fit(queries: list[Query], passages: DataFrame, n: int, idf: np.ndarray, rank: int = RANK) -> LatentSpace:
+    """SVD of the TF-IDF matrix of queries and ``all_passages`` of ``n`` documents; tasks work on
+    their share of the rows."""
+    vocabulary = np.unique([h >> (64 - BITS) for query in queries for h in query.words]).astype(np.int64)
     wide = min(rank + 16, len(vocabulary))
-    row = np.full(1 << BITS, -1, np.int64)
+    row = np.full(1 << BITS, -1, np.int32)
     row[vocabulary] = np.arange(len(vocabulary))
+    weight = idf[vocabulary][:, None]
+    vectors = np.zeros((len(queries), len(vocabulary)), np.float32)
+    for i, query in enumerate(queries):
+        at, tf = np.unique(row[[h >> (64 - BITS) for h in query.words]], return_counts=True)
+        x = tf * weight[at, 0]
+        vectors[i, at] = x / max(np.linalg.norm(x), 1e-12)
+    spark = passages.sparkSession
     ship_code(spark)
+    rows_of = spark.sparkContext.broadcast(row)
+    tasks = max(1, -(-n // FIT_DOCUMENTS))
+    dealt = passages.coalesce(tasks)
 
-    def vector(words: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-        bucket, tf = np.unique([h >> (64 - BITS) for h in words], return_counts=True)
-        weight = tf * idf[bucket.astype(np.int64)]
-        known = row[bucket.astype(np.int64)] >= 0
-        return row[bucket.astype(np.int64)][known], weight[known] / max(np.linalg.norm(weight), 1e-12)
-
-    items = spark.createDataFrame([(_signed(query.words), ITEM_WEIGHT) for query in queries], "words array<bigint>, weight double")
-    rows = stored(items.unionByName(sample.withColumn("weight", F.lit(1.0))).coalesce(FIT_TASKS), "latent-rows")
-
-    def through(directions: np.ndarray) -> np.ndarray:
-        """The matrix and its transpose applied to some directions: one job."""
+    def over_passages(directions: np.ndarray, back: bool) -> np.ndarray:
+        """The passages' matrix and its transpose applied to some directions (``back``), or the products
+        that the directions then have with each other: one job."""
+        table = spark.sparkContext.broadcast((weight * directions).astype(np.float32))
+        shape = directions.shape if back else directions.shape[1:] * 2
 
         def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(directions.shape)
+            total = np.zeros(shape)
             for batch in batches:
-                for words, weight in zip(batch.column("words").to_pylist(), batch.column("weight").to_pylist(), strict=True):
-                    at, x = vector(_unsigned(words))
-                    total[at] += weight * weight * x[:, None] * (x @ directions[at])
+                at, sizes, scales = (
+                    np.frombuffer(b"".join(batch.column(name).to_pylist()), kind)
+                    for name, kind in (("at", np.int32), ("sizes", np.int32), ("scales", np.float32))
+                )
+                at = rows_of.value[at]
+                known = at >= 0
+                if not known.all():  # words of other passages of the benchmark
+                    sizes = np.diff(np.append(0, np.cumsum(known))[np.append(0, np.cumsum(sizes))])
+                for rows, owner, y, scale in _projected(at[known], sizes, scales, table.value):
+                    if back:
+                        _turned_back(rows, owner, y, scale, total)
+                    else:
+                        total += y.T @ y
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["total"])
 
-        parts = rows.mapInArrow(multiply, "total binary").collect()  # one for each of FIT_TASKS
-        return sum((np.frombuffer(part["total"]).reshape(directions.shape) for part in parts), np.zeros(directions.shape))
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(shape)
+            for batch in batches:
+                for part in batch.column("total"):
+                    total += np.frombuffer(part.as_py()).reshape(shape)
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["total"])
 
-    directions = np.random.default_rng(11).standard_normal((len(vocabulary), wide))
-    for _ in range(2):
-        directions, _ = np.linalg.qr(through(directions))
+        parts, many = dealt.mapInArrow(multiply, "total binary"), tasks
+        while many > FIT_TASKS:
+            many = max(FIT_TASKS, -(-many // FIT_JOIN))
+            parts = parts.repartition(many).mapInArrow(add, "total binary")
+        total = np.zeros(shape)
+        for part in parts.toLocalIterator():  # one for each of FIT_TASKS
+            total += np.frombuffer(part["total"]).reshape(shape)
+        table.destroy()
+        return weight * total if back else total
+
+    # The directions of the benchmark itself, and random ones, go through a power step over everything.
+    _, _, own = np.linalg.svd(vectors.astype(float), full_matrices=False)
+    own = own[:rank]
+    more = np.random.default_rng(11).standard_normal((wide - len(own), len(vocabulary)))
+    directions, _ = np.linalg.qr(np.concatenate([own, more]).T)
+    back = ITEM_WEIGHT**2 * (vectors.T @ (vectors @ directions)) + over_passages(directions, back=True)
+    directions, _ = np.linalg.qr(back)
     # Among what the power step has found, the directions of most weight.
-    _, turned = np.linalg.eigh(directions.T @ through(directions))
+    seen = vectors @ directions
+    _, turned = np.linalg.eigh(ITEM_WEIGHT**2 * (seen.T @ seen) + over_passages(directions, back=False))
     basis = directions @ turned[:, ::-1][:, :rank]
-    vectors = np.zeros((len(queries), len(vocabulary)), np.float32)
-    for i, query in enumerate(queries):
-        at, x = vector(query.words)
-        vectors[i, at] = x
     inside = vectors @ basis
     inside /= np.maximum(np.linalg.norm(inside, axis=1, keepdims=True), 1e-12)
     return LatentSpace(idf.astype(np.float32), row, basis.astype(np.float32), inside.astype(np.float32), vectors)
@@ -424,6 +506,13 @@ def _leaks(
             yield words.first + text, item_id, cosine, share, answer, place
 
 
+def _benchmark_buckets(passages: DataFrame) -> np.ndarray:
+    """The hash buckets that the benchmark's words fall into."""
+    every = passages.select(F.explode("words").alias("word"))
+    found = every.select(F.shiftrightunsigned("word", 64 - BITS).alias("bucket")).distinct().toPandas()  # at most all
+    return found["bucket"].to_numpy(np.int64)
+
+
 def _blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[object]:
     """Of each block of the benchmark its queries and their latent spaces, as a broadcast variable."""
     spark = docs.sparkSession
@@ -433,7 +522,9 @@ def _blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[object]:
         return
     df, n = document_frequencies(docs)
     idf = np.log((1 + n) / (1 + df)) + 1
-    sample = stored(sampled_passages(docs, n), "sampled-passages")
+    wanted = np.zeros(1 << BITS, bool)
+    wanted[_benchmark_buckets(passages)] = True
+    every = stored(all_passages(docs, n, idf, wanted), "document-passages")
     block = F.pmod(F.xxhash64("item_id", "words", "answer"), F.lit(parts))
     for part in range(parts):
         queries = [
@@ -442,7 +533,7 @@ def _blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[object]:
         ]
         if queries:
             groups = [queries[at : at + SPACE_ITEMS] for at in range(0, len(queries), SPACE_ITEMS)]
-            yield spark.sparkContext.broadcast([(group, fit(group, sample, idf), Runs.of(group)) for group in groups])
+            yield spark.sparkContext.broadcast([(group, fit(group, every, n, idf), Runs.of(group)) for group in groups])
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

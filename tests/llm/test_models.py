@@ -449,3 +449,35 @@ def test_pipeline_of_odd_and_of_no_rows(spark, tmp_path):
         for name, stage in corpus_pipeline.STAGES:
             docs = stored(stage(spark, docs, str(tmp_path)), name)
         assert (docs.count() > 0) == (docs.where("doc_id = 1").count() > 0)
+
+
+def test_latent_space_is_fitted_on_all_passages(spark):
+    rng = random.Random(21)
+    vocabulary = _words(rng, 60)
+    skewed = [1 / (k + 1) for k in range(60)]
+    rows = [(i, " ".join(rng.choices(vocabulary, skewed, k=rng.choice([0, 5, 70, 40])))) for i in range(3000)]
+    late = _words(rng, 20)  # words that only the last passage of a long document has
+    rows.append((3000, " ".join(rng.choices(vocabulary, skewed, k=3200) + late)))
+    docs = cases.documents(spark, [*rows, (3001, None)])
+    benchmark = spark.createDataFrame([(1, " ".join(vocabulary)), (2, " ".join(late))], "item_id long, text string")
+    (shared,) = decontamination._blocks(docs, benchmark)
+    ((queries, space, _),) = shared.value
+
+    # The same matrix, passage by passage.
+    bucket = {w: h[0] >> (64 - decontamination.BITS) for w in [*vocabulary, *late] for h in decontamination._hashed([w])}
+    n, size = len(rows) + 1, decontamination.PASSAGE
+    gram = decontamination.ITEM_WEIGHT**2 * space.vectors.T.astype(float) @ space.vectors
+    for _, text in rows:
+        words = text.split()
+        parts = [words[a : a + size] for a in range(0, len(words), size)]
+        for part in parts:
+            x = np.zeros(len(gram))
+            np.add.at(x, [space.row[bucket[w]] for w in part], [space.idf[bucket[w]] for w in part])
+            x /= np.linalg.norm(x)
+            gram += min(1, decontamination.DOCUMENTS_WEIGHT / n) / len(parts) * np.outer(x, x)
+    sizes = np.linalg.eigvalsh(gram)
+    basis = space.basis.astype(float)
+    assert basis.shape[1] == len(gram)
+    assert np.allclose(np.diag(basis.T @ gram @ basis), sizes[::-1], rtol=1e-3, atol=1e-3)
+    passages = decontamination.all_passages(docs, n, space.idf.astype(float), space.row >= 0).collect()
+    assert sum(len(row["at"]) for row in passages) // 4 == sum(len(text.split()) for _, text in rows)
