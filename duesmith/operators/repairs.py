@@ -14,6 +14,7 @@ from duesmith.schema import (
     DO_NOT_PROCESS, LINK_INVOICE_REQUEST, LINK_INVOICE_REQUEST_ITEM, LINK_PAYMENT_REQUEST_ITEM, TX_PAYMENT,
 )
 from duesmith.sources.tables import Tables
+from duesmith.sources.workspace import stored
 
 KEYS = {"invoice_request": "invoice_request_id", "payment_request": "payment_request_id"}
 
@@ -203,7 +204,12 @@ def create_missing_tx(T: Tables, missing: DataFrame, style: str = "card") -> Cre
     transaction.  New ids start above the largest id and keep the
     distance between item ids, so no task has to number all rows.  ``style`` chooses
     the description: "card" names the tender and last digits, "plain" only the date.
+
+    The list and the new transactions are stored: the invoices' lines are then counted in a stage of
+    their own, which does not hold the tables that the list comes from, and both change sets start
+    from what was found.
     """
+    missing = stored(missing, "missing-transactions")
     lines = T.tx_transaction.join(keys_of(missing, "tx_invoice_id"), "tx_invoice_id", "left_semi")
     counts = lines.groupBy("tx_invoice_id").agg(F.count("*").alias("lines"))
     top = T.tx_transaction.agg(F.max("tx_transaction_id").alias("top")).scalar()
@@ -243,6 +249,7 @@ def create_missing_tx(T: Tables, missing: DataFrame, style: str = "card") -> Cre
     inserts = missing.join(counts, "tx_invoice_id").select(
         *[values[field.name].cast(field.dataType).alias(field.name) for field in target]
     )
+    inserts = stored(inserts, "created-transactions")
     items = inserts.select(F.col("link_id").alias("payment_request_item_id"), "tx_transaction_id")
     roles = T.tx_invoice.join(keys_of(inserts, "tx_invoice_id"), "tx_invoice_id", "left_semi")
     statuses = (

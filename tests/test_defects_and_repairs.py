@@ -114,6 +114,14 @@ def test_missing_transactions_are_created_once_for_each_item(spark):
     assert link_defects.missing_payment_tx(after).count() == 0
 
 
+def test_created_transactions_are_found_once_for_all_change_sets(spark):
+    T = missing_books(spark)
+    created = repairs.create_missing_tx(T, link_defects.missing_payment_tx(T))
+    for rows in (created.inserts, created.items.rows):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan
+
+
 def relink_books(spark):
     return bundle(
         spark,
