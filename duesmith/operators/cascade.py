@@ -17,7 +17,7 @@ from duesmith.schema import (
 )
 from duesmith.sources.book import Book
 from duesmith.sources.tables import Tables
-from duesmith.sources.workspace import stored
+from duesmith.sources.workspace import side_by_side, stored
 
 
 @dataclass(frozen=True)
@@ -322,7 +322,12 @@ class Cascade:
         edit = book.edit(run)
         if not edit.done:
             self.find(*[step.table for step in self.steps])
-            edit.update(self.repriced_payments())
-            for step in self.steps:
+            repriced = self.repriced_payments()
+
+            def change(step: Step) -> None:
+                if step.table == repriced.table:
+                    edit.update(repriced)
                 edit.delete(step.table, self.doomed(step.table), step.key)
+
+            side_by_side(book.spark, change, self.steps)
         return edit.publish()

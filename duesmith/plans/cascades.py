@@ -18,6 +18,8 @@ from duesmith.sources.layout import BUCKET_KEYS
 from duesmith.sources.tables import Tables
 from duesmith.sources.workspace import new_folder, stored
 
+# Tables that are summed up from others, and from which more are derived: stored first.
+SUMMED = ("tx_transaction", "payment_process_batch", "member_agreement_group")
 CANCELLED_BEFORE = "2000-01-01 00:00:00"
 
 # --- cascade ------------------------------------------------------------------
@@ -231,7 +233,9 @@ def _survivors_in_place(T: Tables) -> DataFrame:
     """The same in a book, published as one version."""
     spark = T.tx_invoice.sparkSession
     book = Book(spark, new_folder(spark, "book"))
-    book.create("first", T, {step.table: Layout.bucketed(BUCKET_KEYS.get(step.table, step.key), 16) for step in STEPS})
+    layouts = {step.table: Layout.bucketed(BUCKET_KEYS.get(step.table, step.key), 16) for step in STEPS}
+    book.create("sources", T, {name: layouts.pop(name) for name in SUMMED})
+    book.create("first", T.rebase(**{name: book.tables()[name] for name in SUMMED}), layouts)
     _cascade(T.replace(**{step.table: book.tables()[step.table] for step in STEPS})).apply_in(book, "cascade")
     return _sizes(T, book.tables(), [step.table for step in STEPS])
 

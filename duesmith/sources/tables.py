@@ -17,6 +17,7 @@ class Tables:
         self._resolve = resolve
         self._known = frozenset(known)
         self._frames: dict[str, DataFrame] = {}
+        self._derive: Callable[[Mapping[str, DataFrame]], Tables] | None = None
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -41,6 +42,10 @@ class Tables:
         """A new bundle with some tables swapped, e.g. for repaired versions."""
         return Tables(lambda name: frames[name] if name in frames else self[name], self._known | set(frames))
 
+    def rebase(self, **frames: DataFrame) -> Tables:
+        """The same with copies of some tables, from which those that are derived from them are derived, too."""
+        return self.replace(**frames) if self._derive is None else self._derive(frames)
+
     @classmethod
     def of(cls, frames: Mapping[str, DataFrame]) -> Tables:
         return cls(frames.__getitem__, frames)
@@ -55,10 +60,13 @@ class Tables:
         return cls(resolve, schema.TABLES)
 
     @classmethod
-    def from_test_data(cls, spark: SparkSession, sf_dir: str) -> Tables:
-        """Billing tables derived from the TPC-H-like test files in ``sf_dir``."""
+    def from_test_data(cls, spark: SparkSession, sf_dir: str, given: Mapping[str, DataFrame] | None = None) -> Tables:
+        """Billing tables derived from the TPC-H-like test files in ``sf_dir``; ``given`` ones are taken as they are."""
+        given = given or {}
 
         def resolve(name: str) -> DataFrame:
+            if name in given:
+                return given[name]
             if name in billing_views.TEST_TABLES:
                 return spark.read.parquet(f"{sf_dir}/{name}.parquet")
             sql = billing_views.VIEWS[name]
@@ -66,4 +74,5 @@ class Tables:
             return spark.sql(billing_views.render(sql, "spark"), **parents)
 
         bundle = cls(resolve, [*billing_views.TEST_TABLES, *billing_views.VIEWS])
+        bundle._derive = lambda frames: cls.from_test_data(spark, sf_dir, {**given, **frames})
         return bundle

@@ -3,14 +3,22 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+#: Jobs that do not need each other and run side by side.
+JOBS_AT_ONCE = 4
 
 _local_folders: dict[str, str] = {}
 _made: dict[str, list[str]] = {}
+_held: dict[tuple[str, str], tuple[int, str | None]] = {}
+_holding = threading.Lock()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -51,6 +59,42 @@ def stored_at(df: DataFrame, path: str, by: Sequence[str] = ()) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def side_by_side(spark: SparkSession, job: Callable, items: Iterable) -> list:
+    """``job`` of each item, a few at a time, so that the last tasks of one leave no cores idle.
+
+    The results come in the order of the items; the first failure is raised when none runs any more.
+    """
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job), item) for item in items]
+        try:
+            return [one.result() for one in running]
+        except BaseException:
+            for one in running:
+                one.cancel()
+            raise
+
+
+@contextmanager
+def held(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting that holds while jobs run, also side by side; the last to end puts the old value back."""
+    key = spark._jsparkSession.sessionUUID(), name
+    with _holding:
+        users, old = _held.get(key) or (0, spark.conf.get(name, None))
+        _held[key] = users + 1, old
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        with _holding:
+            users, old = _held.pop(key)
+            if users > 1:
+                _held[key] = users - 1, old
+            elif old is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, old)
+
+
 def clear_work(spark: SparkSession) -> None:
     """Delete what this application has stored so far; nothing lazy may still need it."""
     for path in _made.pop(spark.sparkContext.applicationId, []):

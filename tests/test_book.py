@@ -15,6 +15,7 @@ from duesmith.operators import summary
 from duesmith.operators.cascade import STEPS, Cascade
 from duesmith.operators.changes import ChangeSet
 from duesmith.sources.book import Book, Conflict, Damaged, Layout
+from duesmith.sources.layout import BUCKET_KEYS
 
 
 def _files(book: Book, table: str) -> dict[str, int]:
@@ -257,3 +258,61 @@ def test_ledger_lines_of_a_payment_over_kept_invoices_stay(spark):
     cascade = Cascade(T, key_list(spark, "member_agreement_id", [1]))
     assert as_set(cascade.doomed("tx_payment"), "tx_payment_id") == set()
     assert {(r["tx_payment_id"], int(r["amount"])) for r in cascade.repriced_payments().rows.collect()} == {(5, 20)}
+
+
+@pytest.mark.parametrize("most, parts, join", [(1 << 20, 1, "BroadcastHashJoin"), (200, 4, None), (0, 4, None)])
+def test_a_delete_writes_rows_where_they_are_read_as_far_as_its_keys_fit(spark, small, tmp_path, monkeypatch, most, parts, join):
+    from duesmith.sources import book as module
+
+    book = Book(spark, str(tmp_path / "book"))
+    book.create("first", small, {"tx_transaction": Layout.bucketed("tx_invoice_id", 4)})
+    keys = small.tx_transaction.where("tx_invoice_id % 3 = 0").select("tx_transaction_id")
+    write, written = module.Edit._write, []
+
+    def seen(self, name, table, rows, replaced, expected=None, in_place=False):
+        written.append((_plan(rows), in_place))
+        return write(self, name, table, rows, replaced, expected, in_place)
+
+    monkeypatch.setattr(module.Edit, "_write", seen)
+    monkeypatch.setattr(module, "KEYS_AT_ONCE", most)
+    edit = book.edit("delete")
+    assert edit.delete("tx_transaction", keys, "tx_transaction_id") == keys.count() > 200
+    assert edit.publish() == 2
+    assert len(written) == parts
+    if join:
+        assert all(join in plan and "hashpartitioning" not in plan and in_place for plan, in_place in written)
+    if not most:
+        assert not any(in_place for _, in_place in written)
+    assert spark_rows(book.tables().tx_transaction) == spark_rows(small.tx_transaction.where("tx_invoice_id % 3 <> 0"))
+
+
+def test_units_go_together_as_far_as_their_keys_fit():
+    from duesmith.sources.book import _together
+
+    assert _together({"1": 3, "2": 2, "3": 9, "4": 1, "5": 4}, 5) == [["1", "2"], ["3"], ["4", "5"]]
+    assert _together({}, 5) == []
+
+
+def test_tables_are_derived_from_the_copies_of_their_sources(small):
+    one = small.activity.selectExpr("min(activity_id)").first()[0]
+    few = small.rebase(tx_transaction=small.tx_transaction.where(f"tx_transaction_id = {one}"))
+    assert as_set(few.activity, "activity_id") == {(one,)} and few.activity_transaction.count() == 2
+    assert spark_rows(small.rebase(tx_transaction=small.tx_transaction).activity) == spark_rows(small.activity)
+    assert few.replace(activity=small.activity).rebase(tx_invoice=small.tx_invoice).tx_invoice is small.tx_invoice
+
+
+def test_deleted_keys_that_are_not_there_and_repeated_ones(spark, small, tmp_path, monkeypatch):
+    from duesmith.sources import book as module
+
+    monkeypatch.setattr(module, "KEYS_AT_ONCE", 5)
+    book = Book(spark, str(tmp_path / "book"))
+    book.create("first", small, {"tx_payment": Layout.bucketed("tx_payment_id", 8), "payment_request": Layout.bucketed("invoice_request_id", 8)})
+    keys = spark.createDataFrame([(k,) for k in [5, 5, 10, 10**9, None, *range(40, 60)]], "tx_payment_id bigint")
+    edit = book.edit("remove")
+    left = {name: small[name].join(keys, "tx_payment_id", "left_anti").select(*small[name].columns) for name in book.tables()._known}
+    for name in left:
+        assert edit.delete(name, keys, "tx_payment_id") == small[name].count() - left[name].count() > 0
+    edit.publish()
+    for name in left:
+        assert spark_rows(book.tables()[name]) == spark_rows(left[name])
+    assert spark.conf.get(module.OPEN_UNITS[0], None) in (None, "0")  # put back
