@@ -133,6 +133,32 @@ def test_ten_thousand_windows_make_no_nested_loop(spark, small, tmp_path):
     assert spark_rows(stored) == spark_rows(error_log.errors_in_windows(log, few))
 
 
+def test_rows_of_one_time_under_many_windows_are_dealt_out(spark):
+    hour = F.expr("timestamp_ntz'2024-01-01 00:00:00'")
+    rows = spark.range(1_000).coalesce(1).select(F.col("id").alias("error_id"), (hour + F.expr("make_dt_interval(0, 0, 0, id / 1000)")).alias("time_utc"))
+    first = hour - F.expr("make_dt_interval(0, 0, cast(id AS int))")
+    table = spark.range(2_500).select(F.col("id").alias("window_no"), first.alias("start"), (first + F.expr("INTERVAL 3 DAY")).alias("end"))
+    found = intervals.in_windows(rows, "time_utc", table)
+    assert {tuple(row) for row in found.groupBy("window_no").count().select("count").distinct().collect()} == {(1_000,)}
+    tasks = [row["count"] for row in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 2_500_000 and max(tasks) <= sum(tasks) / spark.sparkContext.defaultParallelism / 2
+
+
+@pytest.mark.parametrize("values", [0, 1 << 22])
+@pytest.mark.parametrize("named", ["'w'", "map('k', window_no)", "named_struct('n', nullif(window_no, 3))", "nullif(window_no, 3)"])
+def test_windows_in_lists_hold_what_a_plain_join_does(spark, monkeypatch, values, named):
+    monkeypatch.setattr(intervals, "VALUES_AT_ONCE", values)
+    monkeypatch.setattr(intervals, "LIST", 4)
+    base = datetime.datetime(1969, 12, 31, 23, 59)
+    times = [(base + datetime.timedelta(seconds=3 * n)).isoformat() for n in range(60)]
+    windows = [(n, times[n % 50], times[n % 50 + n % 11]) for n in range(80)] + [(3, times[3], times[9])] * 20 + [(None, times[0], times[-1])]
+    rows, table = _moments(spark, [*times, times[5], times[5], None]), _windows(spark, windows).selectExpr("*", f"{named} AS `a.name`")
+    found = intervals.in_windows(rows, "time_utc", table)
+    plain = rows.join(table, F.col("time_utc").between(F.col("start"), F.col("end")))
+    assert found.columns == plain.columns and found.dtypes == plain.dtypes
+    assert spark_rows(found) == spark_rows(plain)
+
+
 # --- local times ---
 
 
